@@ -58,7 +58,7 @@ def main(folder: str, wanted: list[str]) -> None:
     from tidemark.session import build_session
     from tidemark.workload import all_oracles, all_queries
 
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
                           spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(folder), all_oracles(), 0

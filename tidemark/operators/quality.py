@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import looks_garbled, repair_garbled
@@ -36,10 +36,17 @@ def audit(df: DataFrame, date: str, keys: Sequence[str], by: Sequence[str] = (),
     return joined.select(*by, "rows", "dates", "keys", "first_date", "last_date")
 
 
-def gaps(df: DataFrame, date: str, max_gap_days: int = 1) -> DataFrame:
-    """Captured dates whose predecessor is older than allowed."""
-    days = date_calendar(df, date).withColumn("gap_days", F.datediff(date, "prev_date"))
-    return days.where(F.col("gap_days") > max_gap_days).select(date, "prev_date", "gap_days")
+def gaps(df: DataFrame, date: str, max_gap_days: int = 1, keys: Sequence[str] = ()) -> DataFrame:
+    """Captured dates (per key, if given) whose predecessor is older than allowed."""
+    if keys:
+        # Distinct days first: a key's history is then no longer than the calendar.
+        days = df.select(*keys, F.to_date(date).alias(date)).distinct()
+        along = Window.partitionBy(*keys).orderBy(date)
+        days = days.withColumn("prev_date", F.lag(date).over(along))
+    else:
+        days = date_calendar(df, date)
+    days = days.withColumn("gap_days", F.datediff(date, "prev_date"))
+    return days.where(F.col("gap_days") > max_gap_days).select(*keys, date, "prev_date", "gap_days")
 
 
 def missing_dates(df: DataFrame, date: str) -> DataFrame:

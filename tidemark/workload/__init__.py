@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.workload.registry import ORACLES, QUERIES
 
-AREAS = ("stock",)
+AREAS = ("stock", "joins", "measures")
 
 
 def _load() -> None:
