@@ -63,7 +63,7 @@ def base_key(key: Column, cut: str = "first") -> Column:
 
 def canonical(text: Column) -> Column:
     """Lower case, punctuation to blanks, blanks squeezed; NULL counts as empty."""
-    blanked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\s\-()\[\],.:/®™]+", " ")
+    blanked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)[\s\-()\[\],.:/®™]+", " ")
     return F.trim(blanked)
 
 

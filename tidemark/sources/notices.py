@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import duration_years, without_zone
+from tidemark.functions.rules import framework_flag
 from tidemark.functions.text import names_company
 
 _ID = "ID: string"
@@ -150,10 +151,8 @@ def lot_tenders(parsed: DataFrame, company: Column) -> DataFrame:
         "fa_max_value": last_set(lot, "fa_max_value"),
         "fa_max_currency": F.coalesce(last_set(lot, "fa_max_currency"), F.lit("")),
     }).withColumn("winners_on_lot", F.size("__lot_winners"))
-    framework = (
-        F.exists("__contracts", lambda c: c["is_framework"]) | F.col("fa_max_value").isNotNull()
-        | ((F.col("winners_on_lot") == F.col("num_tenders_on_lot")) & (F.col("num_tenders_on_lot") > 1))
-    )
+    marked = F.exists("__contracts", lambda c: c["is_framework"])
+    framework = framework_flag(marked, F.col("fa_max_value"), F.col("winners_on_lot"), F.col("num_tenders_on_lot"))
     start, end = F.coalesce("__lot.start_date", F.lit("")), F.coalesce("__lot.end_date", F.lit(""))
     return rows.select(
         *base, lot.alias("lot_id"), tender.alias("tender_id"), F.coalesce("__lot.lot_title", F.lit("")).alias("lot_title"),

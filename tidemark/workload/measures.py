@@ -434,9 +434,9 @@ def trend_chunks(spark, d):
 
 
 _CHUNKS = """
-    SELECT series, chunk, day, CASE WHEN chunk = 1 AND at < 15 THEN 0.0 ELSE n * (chunk + 1) / 4 END::DOUBLE AS value
-    FROM (SELECT event_type AS series, ts::DATE AS day, count(*)::DOUBLE AS n, ts::DATE - DATE '2024-01-01' AS at FROM events GROUP BY ALL) e
-    JOIN (SELECT unnest(generate_series(0, 400)) AS chunk) c ON at >= chunk * 11 AND at < chunk * 11 + 15"""
+    SELECT series, chunk, day, CASE WHEN chunk = 1 AND pos < 15 THEN 0.0 ELSE n * (chunk + 1) / 4 END::DOUBLE AS value
+    FROM (SELECT event_type AS series, ts::DATE AS day, count(*)::DOUBLE AS n, ts::DATE - DATE '2024-01-01' AS pos FROM events GROUP BY ALL) e
+    JOIN (SELECT unnest(generate_series(0, 400)) AS chunk) c ON pos >= chunk * 11 AND pos < chunk * 11 + 15"""
 
 _STITCHED = f"""
     WITH RECURSIVE c AS MATERIALIZED ({_CHUNKS}),
