@@ -108,11 +108,18 @@ def derive_snapshot_date(df: DataFrame, stamp: str, date: str = "snapshot_date")
 
 # --- writers -------------------------------------------------------------------------------
 
+def _require(source: DataFrame, *columns: str) -> None:
+    lacking = [c for c in columns if c not in source.columns]
+    if lacking:
+        raise ValueError(f"source lacks {lacking}")
+
+
 def append_absent(source: DataFrame, path: str, keys: Sequence[str], ordinal: str, date: str) -> int:
     """Insert into a date-partitioned Parquet table and return the rows really inserted.
 
     Running it again inserts nothing.
     """
+    _require(source, *keys, ordinal, date)
     spark = source.sparkSession
     try:
         target = spark.read.parquet(path)
@@ -151,6 +158,7 @@ def save_generation(df: DataFrame, path: str, number: int) -> None:
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ordinal: str) -> int:
     """Upsert into a table of generations; returns the rows inserted or updated."""
+    _require(source, *keys, ordinal)
     spark = source.sparkSession
     number, target = latest_generation(spark, path)
     seen = Observation()

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.workload.registry import ORACLES, QUERIES
 
-AREAS = ("stock", "joins", "measures", "scalars")
+AREAS = ("stock", "joins", "measures", "scalars", "payloads", "views")
 
 
 def _load() -> None:
