@@ -6,10 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CURRENCY_CODES, KRONA_BY_COUNTRY
+from tidemark.functions.once import let
 
 _NOT_DIGIT = r"[^0-9]"
 
 
+def decimal_number(text: Column) -> Column:
+    """Double of numeric text, else NULL; text is screened first, as failing casts are slow."""
+    return F.when(text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), text.try_cast("double"))
+
+
 def _found(text: Column, pattern: str, group: int) -> Column:
     """Capture group of the first match, NULL when nothing matches."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
@@ -46,15 +52,17 @@ def within(value: Column, low, high) -> Column:
 def loose_number(text: Column) -> Column:
     """First localised number of a table cell; blanks, dash words and zeros are NULL.
 
-    A dot is a thousands mark only when a decimal comma is present as well.
+    Blanks group thousands, the first dot or comma is the decimal mark.
     """
-    cell = F.lower(F.trim(F.regexp_replace(text, r"[\s ]+", " ")))
-    blank = cell.isin("ingen data", "no data", "-", "—", "")
-    raw = F.regexp_replace(_found(cell, r"(\d[\d\s ]*[.,]\d+|\d[\d\s ]*)", 1), r"[\s ]", "")
-    both = F.contains(raw, F.lit(",")) & F.contains(raw, F.lit("."))
-    undotted = F.when(both, F.replace(raw, F.lit("."), F.lit(""))).otherwise(raw)
-    value = F.replace(undotted, F.lit(","), F.lit(".")).try_cast("double")
-    return F.when(~blank & (F.abs(value) >= 1e-12), value)
+    number = r"(\d[\d\s\u00A0]*[.,]\d+|\d[\d\s\u00A0]*)"
+
+    def read(cell: Column) -> Column:
+        blank = cell.isin("ingen data", "no data", "-", "—", "")
+        plain = F.translate(F.regexp_replace(F.regexp_extract(cell, number, 1), r"[\s\u00A0]", ""), ",", ".")
+        return let(F.when(~blank, plain), decimal_number)
+
+    value = let(F.lower(F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " "))), read)
+    return let(value, lambda v: F.when(F.abs(v) >= 1e-12, v))
 
 
 def price_number(text: Column) -> Column:
@@ -62,29 +70,26 @@ def price_number(text: Column) -> Column:
 
     A lone comma is decimal only when two or three digits follow it.
     """
-    kept = F.regexp_replace(text, r"[^0-9,.]", "")
-    commas = F.length(kept) - F.length(F.replace(kept, F.lit(","), F.lit("")))
-    last_comma = F.length(kept) - F.instr(F.reverse(kept), ",") + 1
-    last_dot = F.length(kept) - F.instr(F.reverse(kept), ".") + 1
-    no_comma = F.replace(kept, F.lit(","), F.lit(""))
-    comma_decimal = F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    lone = F.when(
-        (commas == 1) & F.length(F.substring_index(kept, ",", -1)).isin(2, 3),
-        F.replace(kept, F.lit(","), F.lit(".")),
-    ).otherwise(no_comma)
-    both = F.contains(kept, F.lit(",")) & F.contains(kept, F.lit("."))
-    chosen = F.when(both, F.when(last_comma > last_dot, comma_decimal).otherwise(no_comma)).otherwise(lone)
-    return chosen.try_cast("double")
+    def text_of(kept: Column) -> Column:
+        no_comma = F.replace(kept, F.lit(","), F.lit(""))
+        comma_decimal = F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+        return (
+            F.when(kept.rlike(r"\..*,[^.]*$"), comma_decimal)
+            .when(kept.rlike(r"^\d*,\d{2,3}$"), comma_decimal)
+            .otherwise(no_comma)
+        )
+
+    return let(F.regexp_replace(text, r"[^0-9,.]", ""), lambda kept: let(text_of(kept), decimal_number))
 
 
 def simple_price(text: Column) -> Column:
     """Digits with a comma or dot decimal mark; NULL when that is no number."""
-    return F.replace(F.regexp_replace(text, r"[^0-9,.]", ""), F.lit(","), F.lit(".")).try_cast("double")
+    return let(F.translate(F.regexp_replace(text, r"[^0-9,.]", ""), ",", "."), decimal_number)
 
 
 def spaced_integer(text: Column) -> Column:
     """``12 345`` with plain or hard spaces -> 12345."""
-    return F.regexp_replace(text, r"[\s ]", "").try_cast("bigint")
+    return F.regexp_replace(text, r"[\s\u00A0]", "").try_cast("bigint")
 
 
 def hash_rank(text: Column) -> Column:
@@ -94,37 +99,39 @@ def hash_rank(text: Column) -> Column:
 
 def currency_of(text: Column, country: Column) -> Column:
     """Currency written in a cell: a code first, then a symbol, then ``kr`` by country."""
-    cell = F.trim(F.regexp_replace(text, r"[\s ]+", " "))
-    code = F.upper(_found(cell, r"(?i)\b(" + "|".join(CURRENCY_CODES) + r")\b", 1))
     krona = F.lit("SEK")
     for name, currency in KRONA_BY_COUNTRY.items():
         krona = F.when(country == name, currency).otherwise(krona)
-    return (
-        F.when(cell == "", None)
-        .when(code.isNotNull(), code)
-        .when(F.contains(cell, F.lit("€")), "EUR")
-        .when(cell.rlike(r"(?iu)zł"), "PLN")
-        .when(cell.rlike(r"\bCHF\b|(?<!\w)Fr(?!\w)"), "CHF")
-        .when(F.contains(F.upper(cell), F.lit("SEK")), "SEK")
-        .when(cell.rlike(r"(?i)\bkr\.?\b"), krona)
-    )
+    codes = r"(?i)\b(" + "|".join(CURRENCY_CODES) + r")\b"
+
+    def read(cell: Column) -> Column:
+        return (
+            F.when(cell.rlike(codes), F.upper(F.regexp_extract(cell, codes, 1)))
+            .when(F.contains(cell, F.lit("€")), "EUR")
+            .when(cell.rlike(r"(?iu)zł"), "PLN")
+            .when(cell.rlike(r"\bCHF\b|(?<!\w)Fr(?!\w)"), "CHF")
+            .when(cell.rlike(r"(?i)SEK"), "SEK")
+            .when(cell.rlike(r"(?i)\bkr\.?\b"), krona)
+        )
+
+    return let(F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " ")), read)
 
 
 def first_price(*candidates: Column) -> Column:
     """First candidate that casts to a number."""
-    return F.coalesce(*[c.try_cast("double") for c in candidates])
+    return F.coalesce(*[decimal_number(c) for c in candidates])
 
 
 def first_positive_price(*candidates: Column) -> Column:
     """First candidate that casts to a number other than 0, else 0."""
-    return F.coalesce(*[F.nullif(c.try_cast("double"), F.lit(0.0)) for c in candidates], F.lit(0.0))
+    return F.coalesce(*[F.nullif(decimal_number(c), F.lit(0.0)) for c in candidates], F.lit(0.0))
 
 
 def price_field(raw_json: Column, names: tuple[str, ...] = ("sellingPrice", "listPrice", "min", "value")) -> Column:
     """A JSON price that is a number, a numeric string or an object holding one of ``names``."""
     inside = [F.get_json_object(raw_json, "$." + n) for n in names]
     scalar = F.when(~F.ltrim(raw_json).startswith("{"), F.translate(raw_json, '"', ""))
-    return F.coalesce(*[c.try_cast("double") for c in (scalar, *inside)], F.lit(0.0))
+    return F.coalesce(*[decimal_number(c) for c in (scalar, *inside)], F.lit(0.0))
 
 
 def discount_pct(sell: Column, listed: Column) -> Column:
@@ -146,8 +153,8 @@ def share(numerator: Column, denominator: Column, scale: int = 2) -> Column:
 
 def numeric_sum(values: Column) -> Column:
     """Sum of the items of a string array that are numbers; NULL when none is."""
-    numbers = F.filter(F.transform(values, lambda v: v.try_cast("double")), lambda v: v.isNotNull())
-    return F.when(F.size(numbers) > 0, F.aggregate(numbers, F.lit(0.0), lambda acc, v: acc + v))
+    numbers = F.filter(F.transform(values, decimal_number), lambda v: v.isNotNull())
+    return let(numbers, lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)))
 
 
 def cross_rate(base_to_home: Column, base_to_other: Column, fallback: Column) -> Column:

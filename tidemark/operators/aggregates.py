@@ -31,10 +31,12 @@ def exact_median(
     than a histogram has buckets.
     """
     group = [*by, "__all"]
-    usable = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    usable = F.col("__v").isNotNull() & ~F.isnan("__v")
     counted = (
-        usable.select(*by, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
+        df.select(*by, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
         .groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n"))
+        # The count keeps this filter above the aggregation, so a derived value is computed once.
+        .where(F.when(usable, F.col("__n")).otherwise(0) > 0)
         .withColumn("__k", _order_key(F.col("__v")))
     )
 
@@ -80,14 +82,16 @@ def _within(counted: DataFrame, wanted: DataFrame, group: Sequence[str], prefix:
 
 
 def price_stats(df: DataFrame, by: Sequence[str], price: str, scale: int = 2) -> DataFrame:
-    """Mean and exact median of a price list per group, rounded."""
-    p = F.col(price).cast("double")
-    clean = df.where(F.col(price).isNotNull() & ~F.isnan(p))
-    means = clean.groupBy(*by).agg(F.avg(p).alias("average_price"))
-    medians = exact_median(clean, by, price, "median_price")
+    """Mean and exact median of a price list per group, rounded.
+
+    The mean is summed in decimals, so it does not depend on how the rows are partitioned.
+    """
+    p = F.nanvl(F.col(price).cast("double"), F.lit(None).cast("double"))
+    means = df.groupBy(*by).agg(F.avg(p.try_cast("decimal(24,6)")).alias("average_price"))
+    medians = exact_median(df, by, price, "median_price")
     joined = means.join(medians, list(by)) if by else means.join(medians, F.lit(True))
     return joined.select(
-        *by, "n", F.bround("average_price", scale).alias("average_price"),
+        *by, "n", F.bround("average_price", scale).cast("double").alias("average_price"),
         F.bround("median_price", scale).alias("median_price"),
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import keep_if
 from tidemark.functions.numbers import currency_of, loose_number, price_number
 from tidemark.operators.aggregates import median_levels, price_stats
 from tidemark.operators.joins import with_rate
@@ -14,9 +15,8 @@ from tidemark.operators.joins import with_rate
 
 def cell_values(cells: DataFrame, rates: DataFrame, text: str, country: str, expected: str) -> DataFrame:
     """Table cells to home-currency values; cells without a number are dropped."""
-    parsed = cells.withColumns({
-        "value": loose_number(F.col(text)), "__seen": currency_of(F.col(text), F.col(country)),
-    }).where(F.col("value").isNotNull())
+    seen = currency_of(F.col(text), F.col(country)).alias("__seen")
+    parsed = cells.select("*", seen, keep_if(loose_number(F.col(text)), lambda v: v.isNotNull()).alias("value"))
     rated = with_rate(parsed, rates, "__seen", expected)
     return rated.withColumn("home_value", F.col("value") * F.col("rate")).drop("__seen", "rate")
 

@@ -40,3 +40,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores, for costly per-row work on a table of few files; otherwise unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df

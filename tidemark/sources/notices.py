@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import duration_years, without_zone
+from tidemark.functions.once import keep_if
 from tidemark.functions.rules import framework_flag
 from tidemark.functions.text import names_company
 
@@ -43,16 +44,22 @@ def parse_notices(df: DataFrame, xml: str = "xml") -> DataFrame:
     """
     kept = [c for c in df.columns if c != xml]
     options = {"ignoreNamespace": "true", "rowTag": "ContractAwardNotice"}
-    parsed = df.select(*kept, F.from_xml(xml, NOTICE_SCHEMA, options).alias("d"))
-    form = "d.UBLExtensions.UBLExtension.ExtensionContent.EformsExtension"
-    result = f"{form}.NoticeResult"
+    extension = "UBLExtensions.UBLExtension.ExtensionContent.EformsExtension"
+    form, result = f"d.{extension}", f"d.{extension}.NoticeResult"
+    # A plain filter on the result would be pushed below the parse and run it a second time.
+    def has_result(doc: Column) -> Column:
+        for name in f"{extension}.NoticeResult".split("."):
+            doc = doc[name]
+        return doc.isNotNull()
+
+    parsed = df.select(*kept, keep_if(F.from_xml(xml, NOTICE_SCHEMA, options), has_result).alias("d"))
 
     def items(path: str, shape) -> Column:
         return F.transform(F.coalesce(F.col(path), F.expr("array()").cast(_type_of(parsed, path))), shape)
 
     total = F.coalesce(f"{result}.TotalAmount", f"{result}.OverallMaximumFrameworkContractsAmount")
     estimate = "d.ProcurementProject.RequestedTenderTotal.EstimatedOverallContractAmount"
-    return parsed.where(F.col(result).isNotNull()).select(
+    return parsed.select(
         *kept,
         items(f"{form}.Organizations.Organization", lambda o: F.struct(
             o["Company"]["PartyIdentification"]["ID"].alias("org_id"),

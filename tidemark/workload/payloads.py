@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage, spread
 from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
 from tidemark.sources.notices import notice_tables, parse_notices
@@ -192,7 +193,8 @@ def notice_documents(spark, d):
         "</cac:RequestedTenderTotal></cac:ProcurementProject>",
         lot(1, F.col("o_orderpriority")), lot(2, F.lit("second")), "</ContractAwardNotice>")
     empty = F.lit(f"<ContractAwardNotice {NOTICE_NAMESPACES}><cbc:ID>planned</cbc:ID></ContractAwardNotice>")
-    orders = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    orders = spread(table(spark, d, "orders"), "o_orderkey").join(
+        table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     return orders.select(F.col("o_orderkey").cast("string").alias("publication_number"),
                          F.when(F.col("o_orderstatus") == "P", empty).otherwise(body).alias("xml"))
 
@@ -219,7 +221,8 @@ def s6(spark, d):
     FROM {_AWARDED} CROSS JOIN (SELECT unnest(['TEN-1', 'TEN-3']) AS tender_id, unnest(['LOT-1', 'LOT-2']) AS lot_id)
     WHERE c_mktsegment = 'BUILDING'""")
 def j10(spark, d):
-    t = notice_tables(parse_notices(notice_documents(spark, d)), "publication_number")
+    # Seven tables come from one parse: it is kept instead of being repeated for each.
+    t = notice_tables(cut_lineage(parse_notices(notice_documents(spark, d))), "publication_number")
     rows = link_graph(
         t["orgs"], t["parties"], t["tenders"], t["lots"], t["results"].select("publication_number", "lot_id").distinct(),
         t["winners"], t["contracts"], names_company(F.col("name"), F.lit("Building GmbH")), "publication_number")

@@ -62,7 +62,7 @@ def c4(spark, d):
     rows = table(spark, d, "lineitem").select(
         F.col("l_suppkey").alias("s"), (100 + F.col("l_partkey") % 900).alias("p"), _int("l_linenumber").alias("l")).distinct()
     text = F.when(F.col("l") == 7, "No data").when(
-        F.col("l") == 6, F.concat("s", F.lit(" "), "p", F.lit("."), "l", F.lit("  EUR"))).when(
+        F.col("l") == 6, F.concat("s", F.lit("\u00a0"), "p", F.lit("."), "l", F.lit("  EUR"))).when(
         F.col("l") == 5, F.concat(F.lit("EPC "), "s", F.lit(" kr "), "p")).otherwise(
         F.concat(F.lit(" ca "), "s", F.lit(" "), "p", F.lit(","), "l", F.lit(" kr")))
     return rows.select("s", "p", "l", n.loose_number(text).alias("value"))
@@ -90,7 +90,7 @@ def c5(spark, d):
 def c6(spark, d):
     return table(spark, d, "part").select(
         "p_partkey", n.simple_price(F.concat(F.lit("SEK "), "p_partkey", F.lit(","), "p_size")).alias("price"),
-        n.spaced_integer(F.concat("p_size", F.lit("  "), 1000 + F.col("p_partkey"))).alias("spaced"),
+        n.spaced_integer(F.concat("p_size", F.lit(" \u00a0"), 1000 + F.col("p_partkey"))).alias("spaced"),
         n.hash_rank(F.concat(F.lit("#"), "p_partkey", F.lit("\nLifestyle - Downloads"))).alias("rank"))
 
 

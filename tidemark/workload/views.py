@@ -12,6 +12,7 @@ from tidemark.operators.joins import enrich
 from tidemark.plans import catalog, notices, prices, rankings, reviews
 from tidemark.plans.trends import trend_rows, upsert_trend
 from tidemark.operators.series import stitch, to_month
+from tidemark.session import spread
 from tidemark.sources.tables import upsert
 from tidemark.workload import bindings as b
 from tidemark.workload.measures import _REVIEW_ROWS, _STITCHED, review_rows, trend_chunks
@@ -207,12 +208,12 @@ def v10_pooled(spark, d):
 
 
 @query("v14_source_price_stats", """
-    SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority, count(*) AS n, round_even(sum(v::DECIMAL(18,2))::DOUBLE / count(*), 2) AS average_price,
-           round_even(median(v), 2) AS median_price
-    FROM (SELECT o_orderdate, o_orderpriority, (floor(o_totalprice)::BIGINT || '.' || lpad((o_orderkey % 100)::VARCHAR, 2, '0'))::DOUBLE AS v FROM orders)
-    GROUP BY ALL""")
+    SELECT month, o_orderpriority, n, (s // n + CASE WHEN 2 * (s % n) > n OR (2 * (s % n) = n AND (s // n) % 2 = 1) THEN 1 ELSE 0 END)::DOUBLE / 100
+           AS average_price, (l[(n + 1) // 2] + l[n // 2 + 1])::DOUBLE / 200 AS median_price
+    FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority, count(*) AS n, sum(c)::BIGINT AS s, list_sort(list(c)) AS l
+          FROM (SELECT o_orderdate, o_orderpriority, floor(o_totalprice)::BIGINT * 100 + o_orderkey % 50 * 2 AS c FROM orders) GROUP BY ALL)""")
 def v14(spark, d):
-    text = F.concat(F.format_string("%,d", F.floor("o_totalprice").cast("bigint")), F.lit("."), F.format_string("%02d", F.col("o_orderkey") % 100), F.lit(" SEK"))
+    text = F.concat(F.format_string("%,d", F.floor("o_totalprice").cast("bigint")), F.lit("."), F.format_string("%02d", F.col("o_orderkey") % 50 * 2), F.lit(" SEK"))
     rows = table(spark, d, "orders").select(month_key(F.col("o_orderdate")).alias("month"), "o_orderpriority", text.alias("text"))
     return prices.source_price_stats(rows, ["month", "o_orderpriority"], "text")
 
@@ -232,7 +233,7 @@ def v11_state(spark, d):
 
 def notice_payloads(spark, d):
     """One JSON notice per order."""
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    rows = spread(table(spark, d, "orders"), "o_orderkey").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     kind = F.element_at(F.array(*[F.lit(x) for x in ("can-standard", "cn-standard", "veat", "other")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
     none = F.lit(None).cast("array<string>")
     name = F.concat("c_mktsegment", F.lit(" AB"))
