@@ -68,7 +68,7 @@ def match_contains(
 
     ``with_core`` also tries each name without its corporate form. Up to ``inline_limit`` names are
     tested in place, without a shuffle. A longer list is joined on the first letters of each name
-    against the letter groups of the text, then verified; no pair is formed without a shared group.
+    against the letters at each place of the text, then verified in full.
     """
     lowered = names.select(F.col(name).alias("name")).where(F.col("name") != "").distinct()
     needles = F.array(F.lower("name"), strip_suffix(F.col("name"))) if with_core else F.array(F.lower("name"))
@@ -87,41 +87,51 @@ def match_contains(
 
 
 def _match_by_letters(df: DataFrame, wanted: DataFrame, row_keys: Sequence[str], width: int = 6) -> DataFrame:
-    """Exact contains-join: equality on a letter group, then verification."""
+    """Exact contains-join: equality on a name's first letters at some place of the text, then the whole name.
+
+    The names side is broadcast by Spark while it is under its threshold; the texts then never move.
+    Beyond that each place carries only as many letters as the longest name has.
+    """
     anchors = wanted.select(
         "name", "needle", F.least(F.length("needle"), F.lit(width)).alias("size"),
         F.substring("needle", 1, width).alias("gram"),
     )
-    starts = F.sequence(F.lit(1), F.greatest(F.length("__body"), F.lit(1)))
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda size: F.transform(
-        starts, lambda at: F.substr(F.col("__body"), at, size))))
-    # Only groups some name starts with go on; the text itself is joined back once per candidate.
-    found = (
-        df.select(*row_keys, F.explode(F.array_distinct(grams)).alias("gram"))
-        .join(anchors.select("gram", "name", "needle"), "gram")
+    bounds = anchors.agg(F.collect_set("size").alias("sizes"), F.max(F.length("needle")).alias("longest")).first()
+    # Text is first cut into overlapping pieces: finding a place in a string costs its distance from the start.
+    cut = 256
+    texts = df.where(F.length("__body") > 0)
+    starts = F.explode(F.sequence(F.lit(0), F.floor((F.length("__body") - 1) / cut))).alias("__k")
+    pieces = texts.select(*row_keys, "__body", starts).select(
+        *row_keys, F.substr("__body", (F.col("__k") * cut + 1).cast("int"), F.lit(cut + bounds.longest - 1)).alias("__piece")
     )
-    return (
-        found.join(df, list(row_keys)).where(F.contains(F.col("__body"), F.col("needle")))
-        .select(*row_keys, "name").distinct()
+    places = F.explode(F.sequence(F.lit(1), F.least(F.lit(cut), F.length("__piece")))).alias("__at")
+    tails = pieces.select(*row_keys, "__piece", places).select(
+        *row_keys, F.substr("__piece", F.col("__at"), F.lit(bounds.longest)).alias("__tail")
     )
+    sizes = F.explode(F.array(*[F.lit(s) for s in sorted(bounds.sizes)])).alias("size")
+    grams = tails.select(*row_keys, "__tail", sizes).withColumn("gram", F.substr("__tail", F.lit(1), F.col("size")))
+    found = grams.join(anchors, ["size", "gram"]).where(F.startswith(F.col("__tail"), F.col("needle")))
+    return found.select(*row_keys, "name").distinct()
 
 
 def rank_first_seen(
-    df: DataFrame, lists: Sequence[str], page: str, position: str, key: str
+    df: DataFrame, lists: Sequence[str], page: str, position: str, key: str, span: int | None = None
 ) -> DataFrame:
     """Items of paged listings numbered in order of first appearance; repeated keys are dropped.
 
-    The number is the count of new items on earlier pages plus the place on its own page, so no
-    window spans more than one page or more than the list of pages.
+    The number is the count of new items on earlier pages plus the place on the item's own page, so a
+    long list is not ordered in one task. ``span`` cuts long pages further, into runs of that many
+    positions.
     """
-    fresh = first_by(df, [*lists, key], page, position)
-    per_page = fresh.groupBy(*lists, page).agg(F.count(F.lit(1)).alias("__n"))
-    pages = Window.partitionBy(*lists).orderBy(page)
-    before = per_page.select(*lists, page, (F.sum("__n").over(pages) - F.col("__n")).alias("__before"))
-    place = F.row_number().over(Window.partitionBy(*lists, page).orderBy(position, key))
+    run = F.lit(0) if span is None else F.floor(F.col(position) / span)
+    fresh = first_by(df, [*lists, key], page, position).withColumn("__run", run)
+    per_run = fresh.groupBy(*lists, page, "__run").agg(F.count(F.lit(1)).alias("__n"))
+    runs = Window.partitionBy(*lists).orderBy(page, "__run")
+    before = per_run.select(*lists, page, "__run", (F.sum("__n").over(runs) - F.col("__n")).alias("__before"))
+    place = F.row_number().over(Window.partitionBy(*lists, page, "__run").orderBy(position, key))
     return (
-        fresh.withColumn("__place", place).join(before, [*lists, page])
-        .withColumn("rank", (F.col("__before") + F.col("__place")).cast("bigint")).drop("__before", "__place")
+        fresh.withColumn("__place", place).join(before, [*lists, page, "__run"])
+        .withColumn("rank", (F.col("__before") + F.col("__place")).cast("bigint")).drop("__before", "__place", "__run")
     )
 
 

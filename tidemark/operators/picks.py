@@ -11,24 +11,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _pick(df: DataFrame, keys: Sequence[str], chooser, order: Column) -> DataFrame:
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _pick(df: DataFrame, keys: Sequence[str], chooser, order: Sequence[Column | str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    packed = df.groupBy(*keys).agg(chooser(F.struct(*rest), order).alias("__row"))
+    if len(order) == 1 and isinstance(order[0], str):
+        names = {*rest, order[0]}
+        if all(isinstance(df.schema[n].dataType, _FIXED_WIDTH) for n in names):
+            # Fixed-width buffers are aggregated by hash; all columns see the same comparisons, so one row wins.
+            return df.groupBy(*keys).agg(*[chooser(c, order[0]).alias(c) for c in rest]).select(*df.columns)
+    packed = df.groupBy(*keys).agg(chooser(F.struct(*rest), F.struct(*order)).alias("__row"))
     return packed.select(*keys, "__row.*").select(*df.columns)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """Whole row with the smallest order value per key."""
-    return _pick(df, keys, F.min_by, F.struct(*order))
+    return _pick(df, keys, F.min_by, order)
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """Whole row with the greatest order value per key."""
-    return _pick(df, keys, F.max_by, F.struct(*order))
+    return _pick(df, keys, F.max_by, order)
 
 
 def first_by_priority(

@@ -221,6 +221,15 @@ def j11(spark, d):
     return j.match_contains(table(spark, d, "documents"), "text", names, "name", ["doc_id"])
 
 
+@query("j11_many_names_in_text", """
+    SELECT doc_id, word AS name FROM documents JOIN (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)
+    ON contains(lower(text), word) GROUP BY ALL""")
+def j11_many(spark, d):
+    """The form for name lists too long to ride along."""
+    words = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
+    return j.match_contains(table(spark, d, "documents"), "text", words, "name", ["doc_id"], inline_limit=5)
+
+
 @query("j11_company_in_text", r"""
     SELECT c_custkey, c_mktsegment,
            (contains(t, lower(name)) OR (core <> lower(name) AND contains(t, core)))::BIGINT AS is_named
@@ -299,7 +308,7 @@ FIRST_SEEN_RANKS = f"""
 
 @query("w4_rank_of_first_seen", f"SELECT list, item, rank FROM ({FIRST_SEEN_RANKS})")
 def w4(spark, d):
-    return j.rank_first_seen(ranked_lists(spark, d), ["list"], "page", "position", "item").select("list", "item", "rank")
+    return j.rank_first_seen(ranked_lists(spark, d), ["list"], "page", "position", "item", span=1000).select("list", "item", "rank")
 
 
 TARGETS = {"small ring": ["blue bolt"], "red widget": ["red-widget", "Red/Gear"]}

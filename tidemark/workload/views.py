@@ -111,20 +111,15 @@ REVIEW_LABELS = {"click": "DE", "view": "SE", "signup": "DE"}
 
 
 def review_runs(spark, d):
-    """Cumulative counts; every event re-runs its day's capture, so only a day's last run holds the day."""
+    """Cumulative counts as captured every hour; only a day's last run holds the whole day."""
     from pyspark.sql import Window
 
-    events = table(spark, d, "events").select(
-        F.to_date("ts").alias("snapshot_date"), F.col("event_id").alias("run"), F.col("user_id").alias("product"),
-        F.col("event_type").alias("channel"))
-    # Counts within a day and key first, then the total of earlier days: no window spans a whole channel.
-    keys = ["product", "channel"]
-    daily = events.groupBy("snapshot_date", *keys).agg(F.count(F.lit(1)).alias("n"))
-    past = daily.select("snapshot_date", *keys, (F.sum("n").over(
-        Window.partitionBy(*keys).orderBy("snapshot_date")) - F.col("n")).alias("before"))
-    in_day = Window.partitionBy("snapshot_date", *keys).orderBy("run")
-    return events.withColumn("nth", F.row_number().over(in_day)).join(past, ["snapshot_date", *keys]).select(
-        "snapshot_date", "run", *keys, (F.col("before") + F.col("nth")).alias("count"))
+    hourly = table(spark, d, "events").groupBy(
+        F.to_date("ts").alias("snapshot_date"), F.hour("ts").alias("run"), F.col("user_id").alias("product"),
+        F.col("event_type").alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per hour and key after the count: the running window is no longer than the calendar.
+    running = Window.partitionBy("product", "channel").orderBy("snapshot_date", "run")
+    return hourly.select("snapshot_date", "run", "product", "channel", F.sum("n").over(running).alias("count"))
 
 
 @query("v8_review_proxy_summary", f"""
