@@ -16,7 +16,13 @@ def _order_key(value: Column) -> Column:
     exponent = F.greatest(F.floor(F.log2(magnitude)), F.lit(-1022))
     mantissa = ((magnitude / F.pow(F.lit(2.0), exponent) - 1.0) * F.lit(2.0**51)).cast("bigint")
     key = (exponent + 1023) * F.lit(2**51) + mantissa + F.lit(2**51)
-    return F.when(value == 0, F.lit(0).cast("bigint")).otherwise(F.signum(value).cast("bigint") * key)
+    sign = F.signum(value).cast("bigint")
+    # NaN rows are dropped by a filter, but Spark may look at the key of a row before that filter.
+    return (
+        F.when((value == 0) | F.isnan(value), F.lit(0).cast("bigint"))
+        .when(magnitude == float("inf"), sign * F.lit(2**62))
+        .otherwise(sign * key)
+    )
 
 
 def exact_median(
