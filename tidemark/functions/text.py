@@ -126,6 +126,16 @@ def names_company(text: Column, company: Column) -> Column:
     return F.contains(lowered, full) | ((core != full) & F.contains(lowered, core))
 
 
+def may_name_company(markup: Column, company: Column) -> Column:
+    """False only for markup in which no text can name the company: a cheap test before parsing.
+
+    Text written with character references, comments or CDATA sections is always let through.
+    """
+    lowered = F.lower(markup)
+    literal = F.contains(lowered, F.lower(company)) | F.contains(lowered, strip_suffix(company))
+    return literal | markup.rlike(r"&#|<!--|<!\[CDATA\[") | company.rlike("[&<>\"']")
+
+
 def relaxed_map(text: Column) -> Column:
     """Single-quoted mapping text to a map; NULL text or bad text gives an empty map."""
     parsed = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "true"})

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 
 # --- medians -------------------------------------------------------------------------------
 
@@ -25,26 +27,34 @@ def _order_key(value: Column) -> Column:
     )
 
 
+def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Rows per (group, value) without NULL and NaN; combines on the map side and spreads hot groups."""
+    usable = F.col("__v").isNotNull() & ~F.isnan("__v")
+    return (
+        df.select(*by, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
+        .groupBy(*by, "__all", "__v").agg(F.count(F.lit(1)).alias("__n"))
+        # The count keeps this filter above the aggregation, so a derived value is computed once.
+        .where(F.when(usable, F.col("__n")).otherwise(0) > 0)
+        # A key that is never NULL gives Spark nothing to infer: every use then shares one exchange.
+        .withColumn("__k", F.coalesce(_order_key(F.col("__v")), F.lit(0)))
+    )
+
+
 def exact_median(
     df: DataFrame, by: Sequence[str], value: str, name: str = "median", bits: Sequence[int] = (46, 30)
 ) -> DataFrame:
     """Exact median per group, with the row count ``n``; NULL and NaN are left out.
 
     The built-in ``median`` holds every distinct value of a group in one task. Here rows are first
-    counted per (group, value), which combines on the map side and spreads a hot group over all
-    reducers. Histograms over ever finer prefixes of the value then narrow each group down to the
-    short interval that holds its middle; only that interval is ordered. No window sees more rows
-    than a histogram has buckets.
+    counted per (group, value). Histograms over ever finer prefixes of the value then narrow each
+    group down to the short interval that holds its middle; only that interval is ordered. No window
+    sees more rows than a histogram has buckets.
     """
+    return _median_of_counts(value_counts(df, by, value), by, name, bits)
+
+
+def _median_of_counts(counted: DataFrame, by: Sequence[str], name: str, bits: Sequence[int] = (46, 30)) -> DataFrame:
     group = [*by, "__all"]
-    usable = F.col("__v").isNotNull() & ~F.isnan("__v")
-    counted = (
-        df.select(*by, F.lit(0).alias("__all"), F.col(value).cast("double").alias("__v"))
-        .groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n"))
-        # The count keeps this filter above the aggregation, so a derived value is computed once.
-        .where(F.when(usable, F.col("__n")).otherwise(0) > 0)
-        .withColumn("__k", _order_key(F.col("__v")))
-    )
 
     def narrow(rows: DataFrame, keys: Sequence[str], shift: int, column: str) -> DataFrame:
         """Bucket of each wanted rank and the rank inside that bucket."""
@@ -92,9 +102,10 @@ def price_stats(df: DataFrame, by: Sequence[str], price: str, scale: int = 2) ->
 
     The mean is summed in decimals, so it does not depend on how the rows are partitioned.
     """
-    p = F.nanvl(F.col(price).cast("double"), F.lit(None).cast("double"))
-    means = df.groupBy(*by).agg(F.avg(p.try_cast("decimal(24,6)")).alias("average_price"))
-    medians = exact_median(df, by, price, "median_price")
+    counted = value_counts(df, by, price)
+    total = F.sum(F.col("__v").try_cast("decimal(24,6)") * F.col("__n"))
+    means = counted.groupBy(*by).agg((total / F.sum("__n")).alias("average_price"))
+    medians = _median_of_counts(counted, by, "median_price")
     joined = means.join(medians, list(by)) if by else means.join(medians, F.lit(True))
     return joined.select(
         *by, "n", F.bround("average_price", scale).cast("double").alias("average_price"),
@@ -107,10 +118,12 @@ def median_levels(
 ) -> DataFrame:
     """Median per (by, level) plus one overall row per ``by`` with a NULL level.
 
-    The overall row is the median of the level medians, or of all ``pooled`` values.
+    The overall row is the median of the level medians, or of all ``pooled`` values. The level
+    medians, one small row each, are checkpointed so that the overall row does not compute them again.
     """
     per_level = exact_median(df, [*by, level], value)
     if overall == "of_medians":
+        per_level = cut_lineage(per_level)
         top = exact_median(per_level, by, "median")
     elif overall == "pooled":
         top = exact_median(df, by, value)

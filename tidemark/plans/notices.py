@@ -9,7 +9,7 @@ from tidemark.functions.dates import without_zone
 from tidemark.functions.fixed_values import NOTICE_TYPE_LABELS, PROCEDURE_TYPE_LABELS
 from tidemark.functions.numbers import numeric_sum
 from tidemark.functions.rules import notice_status, role_of, won_flag
-from tidemark.functions.text import clip, names_company, org_number, pick_language, relabel
+from tidemark.functions.text import clip, may_name_company, names_company, org_number, pick_language, relabel
 from tidemark.operators.filters import active_or_won
 from tidemark.operators.joins import mark_exists
 from tidemark.sources.notices import lot_tenders, parse_notices
@@ -76,7 +76,11 @@ def report_rows(rows: DataFrame, tracked_by_number: Column) -> DataFrame:
 
 
 def lot_tender_rows(xml: DataFrame, notices: DataFrame, company: Column) -> DataFrame:
-    """Lot tenders of a company from notice documents, with the notice's own fields."""
-    rows = lot_tenders(parse_notices(xml), company)
+    """Lot tenders of a company from notice documents, with the notice's own fields.
+
+    Only documents whose text can name the company are parsed.
+    """
+    candidates = xml.where(may_name_company(F.col("xml"), company))
+    rows = lot_tenders(parse_notices(candidates), company)
     fields = ["publication_number", "publication_date", "buyer_name", "notice_type", "notice_title"]
     return rows.join(notices.select(*fields), "publication_number", "left")

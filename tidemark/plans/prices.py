@@ -31,4 +31,5 @@ def epc_medians(
 
 def source_price_stats(prices: DataFrame, by: Sequence[str], text: str) -> DataFrame:
     """Rows, mean and median price per source and day from price texts."""
-    return price_stats(prices.withColumn("price", price_number(F.col(text))), by, "price")
+    read = keep_if(price_number(F.col(text)), lambda v: v.isNotNull()).alias("price")
+    return price_stats(prices.select(*by, read), by, "price")
