@@ -169,7 +169,7 @@ def v9_share(spark, d):
 
 def partner_cells(spark, d):
     """Order totals as localised table cells; the customer's nation gives country and currency."""
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    rows = spread(table(spark, d, "orders"), "o_orderkey").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     at = (F.col("c_nationkey") % 4 + 1).cast("int")
     country = F.element_at(F.array(*[F.lit(x) for x in ("Sweden", "Denmark", "Norway", "Finland")]), at)
     expected = F.element_at(F.array(*[F.lit(x) for x in ("SEK", "DKK", "NOK", "EUR")]), at)
@@ -209,7 +209,8 @@ def v10_pooled(spark, d):
           FROM (SELECT o_orderdate, o_orderpriority, floor(o_totalprice)::BIGINT * 100 + o_orderkey % 50 * 2 AS c FROM orders) GROUP BY ALL)""")
 def v14(spark, d):
     text = F.concat(F.format_string("%,d", F.floor("o_totalprice").cast("bigint")), F.lit("."), F.format_string("%02d", F.col("o_orderkey") % 50 * 2), F.lit(" SEK"))
-    rows = table(spark, d, "orders").select(month_key(F.col("o_orderdate")).alias("month"), "o_orderpriority", text.alias("text"))
+    rows = spread(table(spark, d, "orders"), "o_orderkey").select(
+        month_key(F.col("o_orderdate")).alias("month"), "o_orderpriority", text.alias("text"))
     return prices.source_price_stats(rows, ["month", "o_orderpriority"], "text")
 
 
