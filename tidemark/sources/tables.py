@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import local_day
@@ -56,28 +56,19 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str], ord
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], ordinal: str) -> DataFrame:
     """Target after an upsert: columns the source has are replaced, the others keep their value.
 
-    Among source rows of one key the last one wins. One shuffle by key, combined on the map side.
+    Among source rows of one key the last one wins. The batch is the small side of every join, so while
+    Spark can broadcast it the target is only scanned, not shuffled.
     """
     incoming = last_wins(source, keys, ordinal).drop(ordinal)
     new = [c for c in incoming.columns if c not in keys]
-    old = [c for c in target.columns if c not in keys]
-    t = target.select(*keys, F.struct(*old).alias("__old"), F.lit(None).cast(_struct(incoming, new)).alias("__new"))
-    s = incoming.select(*keys, F.lit(None).cast(_struct(target, old)).alias("__old"), F.struct(*new).alias("__new"))
-    merged = t.unionByName(s).groupBy(*keys).agg(
-        F.first("__old", ignorenulls=True).alias("__old"), F.first("__new", ignorenulls=True).alias("__new")
-    )
-
-    def value(name: str) -> Column:
-        before = F.col("__old")[name] if name in old else F.lit(None)
-        if name not in new:
-            return before.alias(name)
-        return F.when(F.col("__new").isNotNull(), F.col("__new")[name]).otherwise(before).alias(name)
-
-    return merged.select(*keys, *[value(c) for c in [*old, *[n for n in new if n not in old]]])
-
-
-def _struct(df: DataFrame, columns: Sequence[str]) -> str:
-    return df.select(F.struct(*columns).alias("s")).schema[0].dataType.simpleString()
+    carried = [c for c in target.columns if c not in keys and c not in new]
+    touched = incoming.select(*keys)
+    untouched = target.join(touched, list(keys), "left_anti")
+    if carried:
+        kept = target.select(*keys, *carried).join(touched, list(keys), "left_semi")
+        incoming = incoming.join(kept, list(keys), "left")
+    order = [*keys, *[c for c in target.columns if c not in keys], *[c for c in new if c not in target.columns]]
+    return untouched.unionByName(incoming, allowMissingColumns=True).select(*order)
 
 
 def upsert_collisions(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -161,11 +152,9 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ordinal: str
     _require(source, *keys, ordinal)
     spark = source.sparkSession
     number, target = latest_generation(spark, path)
-    seen = Observation()
-    incoming = last_wins(source, keys, ordinal).observe(seen, F.count(F.lit(1)).alias("rows"))
-    merged = incoming.drop(ordinal) if target is None else upsert(target, incoming, keys, ordinal)
+    merged = last_wins(source, keys, ordinal).drop(ordinal) if target is None else upsert(target, source, keys, ordinal)
     save_generation(merged, path, number + 1)
-    return seen.get["rows"]
+    return source.select(*keys).distinct().count()
 
 
 def try_write(write: Callable[[], int]) -> tuple[int | None, str | None]:

@@ -317,12 +317,12 @@ def u1(spark, d):
 
 
 @query("u2_melt_paired_columns", """
-    SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE o_orderpriority WHEN '1-URGENT' THEN 'Mesh' ELSE 'Fabric Dark' END AS product,
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE o_orderpriority WHEN '1-URGENT' THEN 'Net' ELSE 'Cloth Blue' END AS product,
            CASE o_orderstatus WHEN 'O' THEN 'US' ELSE 'DE' END AS country, count(*)::DOUBLE AS bought,
            CASE WHEN max(o_orderkey) % 3 <> 0 THEN max(o_orderkey) END::DOUBLE AS rank
     FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus IN ('O', 'F') GROUP BY ALL""")
 def u2(spark, d):
-    cells = [("Mesh", "1-URGENT"), ("Fabric Dark", "2-HIGH")]
+    cells = [("Net", "1-URGENT"), ("Cloth Blue", "2-HIGH")]
     aggs = []
     for product, priority in cells:
         for country, status in (("US", "O"), ("DE", "F")):

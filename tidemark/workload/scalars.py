@@ -91,7 +91,7 @@ def c6(spark, d):
     return table(spark, d, "part").select(
         "p_partkey", n.simple_price(F.concat(F.lit("SEK "), "p_partkey", F.lit(","), "p_size")).alias("price"),
         n.spaced_integer(F.concat("p_size", F.lit(" \u00a0"), 1000 + F.col("p_partkey"))).alias("spaced"),
-        n.hash_rank(F.concat(F.lit("#"), "p_partkey", F.lit("\nLifestyle - Downloads"))).alias("rank"))
+        n.hash_rank(F.concat(F.lit("#"), "p_partkey", F.lit("\nTools - Installs"))).alias("rank"))
 
 
 @query("c7_currency_of_cell", """
