@@ -23,6 +23,7 @@ def values(spark, fn, *inputs):
     (n.hash_rank, {"#270\nLifestyle": 270, "270": None}),
     (t.canonical, {"Chair (Grey-Blue): 2.0": "chair grey blue 2 0", None: "", "A®B": "a b"}),
     (t.slug, {"Lamp & Son": "lamp-son", "Big Oak-Table": "big-oak-table", "--": ""}),
+    (t.unslug, {"big-oak-table": "Big Oak Table", "led2go-3m": "Led2Go 3M"}),
     (t.strip_suffix, {"Foo AB": "foo", "Foo A/S ": "foo", "Absolut": "absolut", "Foo Gmbh Ltd": "foo gmbh"}),
     (t.org_number, {"556668-4345": "5566684345"}),
     (t.two_level_path, {"A>B > C": "A>B", "A": "A"}),

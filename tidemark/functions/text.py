@@ -73,14 +73,16 @@ def slug(text: Column) -> Column:
 
 
 def unslug(text: Column) -> Column:
-    """Dashes to blanks, each word capitalised."""
-    return F.initcap(F.replace(text, F.lit("-"), F.lit(" ")))
+    """Dashes to blanks; every letter that follows a non-letter is capitalised."""
+    pieces = F.split(F.replace(text, F.lit("-"), F.lit(" ")), r"(?<=[^A-Za-z])(?=[A-Za-z])")
+    titled = F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2)))))
+    return F.array_join(titled, "")
 
 
 def link_values(html: Column, parameter_pattern: str) -> Column:
     """Distinct decoded values that follow ``parameter_pattern``, up to a quote, ``&`` or blank."""
     raw = F.regexp_extract_all(html, F.lit(parameter_pattern + r'([^"&\s]+)'), F.lit(1))
-    return F.array_distinct(F.transform(raw, lambda v: F.coalesce(F.try_url_decode(v), v)))
+    return F.array_distinct(F.transform(raw, lambda v: F.coalesce(F.try_url_decode(v), F.translate(v, "+", " "))))
 
 
 def path_slugs(html: Column, folder_pattern: str) -> Column:

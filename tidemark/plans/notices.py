@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import without_zone
 from tidemark.functions.fixed_values import NOTICE_TYPE_LABELS, PROCEDURE_TYPE_LABELS
 from tidemark.functions.numbers import numeric_sum
 from tidemark.functions.rules import notice_status, role_of, won_flag
@@ -58,7 +57,7 @@ def notice_rows(
     return n.select(
         *kept, company.alias("company"), "publication_number",
         notice_status(F.col("__active"), F.col("n.notice_type")).alias("status"),
-        without_zone(F.col("n.publication_date")).alias("publication_date"),
+        F.get(F.split("n.publication_date", r"\+"), F.lit(0)).alias("publication_date"),
         won_flag(is_winner, winner).alias("won_by_company"),
         role_of(is_winner, names_company(tenderer, company), is_buyer).alias("role"),
         numeric_sum(awarded).alias("awarded_value"), buyer.alias("buyer_name"),
