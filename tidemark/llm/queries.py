@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, token_files
+from tidemark.llm import decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup, token_files
 from tidemark.llm.common import scratch_folder
 from tidemark.llm.spans import span_digest
 
@@ -20,6 +21,11 @@ def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_pieces(packing.pack_documents(_table(spark, folder, "documents")))
 
 
+def op2_hpyp_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under a model of nine tenths of them."""
+    return language_model.score_documents(_table(spark, folder, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict for every document, with a classifier fitted on the labelled ones."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -51,6 +57,12 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return span_digest(secret_scan.find_secrets(_table(spark, folder, "documents")), secret_scan.BASE_KINDS)
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the strings of 50 bytes that an earlier one holds."""
+    kept = suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that links of a Jaccard similarity of 0.85 and more connect."""
     return ngram_join.near_duplicate_groups(_table(spark, folder, "documents"))
@@ -64,7 +76,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_harmonic_packing, op3_quality_rules, op4_personal_data, op5_token_counts, op6_decontamination, op7_secret_scan, op9_ngram_join, op10_token_files]
+    found = [op1_harmonic_packing, op2_hpyp_scores, op3_quality_rules, op4_personal_data, op5_token_counts, op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_ngram_join, op10_token_files]
     return {fn.__name__: fn for fn in found}
 
 
