@@ -1,0 +1,283 @@
+"""Every operator against its brute-force version, and on nulls, empty tables, repeated rows and clashing columns."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    components, decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup,
+    token_files, token_ids,
+)
+from tidemark.llm.common import scratch_folder
+from tidemark.llm.spans import span_digest
+
+
+def by_id(frame, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) for r in frame.collect()}
+
+
+def test_token_ids_equal_the_library(rows):
+    rng = random.Random(1)
+    bits = ["a", "B", "it's", " ", "  ", "\n", "\t", "é", "1", "!", "<|endoftext|>", "\x1c", "日本", "'ll", " "]
+    texts = [t or "" for _, t, *_ in rows] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    got = token_ids.encoder(token_ids.vocabulary_path()).encode(texts)
+    assert [x.tolist() for x in got] == brute.encoded(texts)
+
+
+@pytest.mark.parametrize("length", [1, 2, 17, 500, 512, 513, 700, 1023, 1024, 1025, 5000])
+def test_piece_lengths_cover_the_document(length):
+    cuts = packing.piece_lengths(length, 1024)
+    assert sum(cuts) == length and all(1024 - 1024 // c * c <= 1024 // 64 for c in cuts)
+
+
+def test_packing(docs, rows):
+    pieces = packing.packed_pieces(packing.pack_documents(docs)).collect()
+    ids = {d: x + [0] for (d, *_), x in zip(rows, brute.encoded([r[1] for r in rows]))}
+    for doc, own in ids.items():
+        at = 0
+        for p in sorted((p for p in pieces if p["doc_id"] == doc), key=lambda p: p["start"]):
+            assert (p["start"], p["doc_tokens"], p["ids_crc32"]) == (at, len(own), brute.crc(own[at:at + p["length"]]))
+            at += p["length"]
+        assert at == len(own)
+    fill = Counter()
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        assert p["offset"] == fill[p["sequence_id"]]
+        fill[p["sequence_id"]] += p["length"]
+    padding = sum(0 if n & (n - 1) == 0 else 1024 - n for n in fill.values())
+    assert max(fill.values()) <= 1024 and padding <= 0.02 * sum(fill.values())
+
+
+def test_packing_odd_rows(odd, none):
+    assert packing.pack_documents(none).count() == 0
+    pieces = packing.packed_pieces(packing.pack_documents(odd))
+    assert pieces.agg(F.sum("length")).first()[0] == pieces.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    assert pieces.where("start = 0 and doc_id is null").count() == 2
+
+
+def test_quality_counts(docs, rows):
+    got = by_id(quality_rules.score_quality(docs, None), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert got == {d: (*(want := brute.quality(t)), not want[-1]) for d, t, *_ in rows}
+
+
+def test_quality_model_separates_held_out_rows(spark):
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(200)]
+    rows, labels = [], []
+    for k in range(300):
+        good = k % 3 > 0
+        rows.append((k, " ".join(rng.choice(pool) + ("" if good else rng.choice(["***", "&&&"])) for _ in range(60))))
+        labels.append((k, int(good), 0))
+    frame, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality_rules.fit(frame, marks.where("doc_id < 200"))
+    got = by_id(quality_rules.score_quality(frame, model).where("doc_id >= 200"), "kept")
+    assert sum(got[k][0] == bool(q) for k, q, _ in labels[200:]) >= 97
+    assert quality_rules.fit(frame, marks.where("quality = 1")) is None
+
+
+def test_quality_odd_rows(odd, none):
+    assert quality_rules.score_quality(none, None).count() == 0
+    assert quality_rules.score_quality(odd, None).count() == 6
+
+
+def test_personal_data(docs, rows):
+    found = personal_data.find_personal_data(docs)
+    kinds = list(personal_data.BASE_KINDS)
+    got = by_id(span_digest(found, personal_data.BASE_KINDS), *[f"n_{k}" for k in kinds], "base_sha256")
+    assert got == {d: brute.span_row(brute.personal(t), kinds) for d, t, *_ in rows}
+    values = [s["value"] for r in found.collect() for s in r["spans"] if s["kind"] in ("iban", "national_id")]
+    assert sorted(values) == ["123-45-6789", "DE89 3704 0044 0532 0130 00"]
+
+
+def test_secrets(docs, rows):
+    found = secret_scan.find_secrets(docs)
+    kinds = list(secret_scan.BASE_KINDS)
+    got = by_id(span_digest(found, secret_scan.BASE_KINDS), *[f"n_{k}" for k in kinds], "base_sha256")
+    assert got == {d: brute.span_row(brute.secrets(t), kinds) for d, t, *_ in rows}
+    assert [s["value"] for r in found.collect() for s in r["spans"] if s["kind"] == "random"] == ["Zx81kQpL0vRt3YbNm7Wc2Hd9"]
+
+
+def test_masking_keeps_rows_and_columns(docs, odd, none):
+    masked = secret_scan.mask_secrets(docs)
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+    assert not [r for r in masked.collect() if r["text"] and ("AKIAIOSF" in r["text"] or "hunter2" in r["text"] or "Zx81" in r["text"])]
+    assert sorted(map(str, secret_scan.mask_secrets(odd).collect())) == sorted(map(str, odd.collect()))
+    assert secret_scan.mask_secrets(none).count() == 0
+
+
+def test_length_histogram(docs, rows, none):
+    lengths = sorted(len(x) for x in brute.encoded([r[1] for r in rows]))
+    suffixes = length_histogram.suffix_table(length_histogram.length_histogram(length_histogram.token_lengths(docs)), block=64)
+    for r in suffixes.collect():
+        limit = r["n_tokens"]
+        assert r["docs_from"] == sum(n >= limit for n in lengths) and r["tokens_from"] == sum(n for n in lengths if n >= limit)
+        assert r["truncated_tokens"] == sum(min(n, limit) for n in lengths) and r["docs_within"] == sum(n <= limit for n in lengths)
+        assert r["tokens_within"] == sum(n for n in lengths if n <= limit) and r["tokens_total"] == sum(lengths)
+    assert {r[0]: (r[1], r[2]) for r in length_histogram.truncated_totals(suffixes, [3, 77]).collect()} == {
+        limit: (sum(min(n, limit) for n in lengths), sum(n > limit for n in lengths)) for limit in (3, 77)
+    }
+    assert length_histogram.length_quantiles(suffixes, [0.5]).first()["n_tokens"] == lengths[math.ceil(len(lengths) / 2) - 1]
+    assert length_histogram.suffix_table(length_histogram.length_histogram(length_histogram.token_lengths(none))).count() == 0
+
+
+@pytest.mark.parametrize("block", [7, 500_000])
+def test_contamination(spark, docs, rows, none, block):
+    rng = random.Random(2)
+    long = [t for _, t, *_ in rows if t and len(t.split()) > 40]
+    items = [(k, " ".join(t.upper().split()[3:3 + rng.randint(5, 25)])) for k, t in enumerate(long[:12])]
+    items += [(100, "one two"), (101, ""), (102, None), (103, "spam ham spam"), (104, items[0][1]), (None, items[1][1]), (105, "x")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find_contamination(docs, benchmark, block_windows=block)
+    assert set(docs.columns) <= set(found.columns)
+    got = by_id(decontamination.contamination_digest(found), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == brute.contamination([(d, t) for d, t, *_ in rows], [i for i in items if i[0] is not None])
+    assert decontamination.find_contamination(docs, benchmark.limit(0)).where("contaminated").count() == 0
+    assert decontamination.find_contamination(none, benchmark).count() == 0
+
+
+def test_ngram_join_with_a_crowd(docs, rows):
+    got = by_id(ngram_join.near_duplicate_groups(docs), "n_shingles", "component_id")
+    want = brute.jaccard_components([(d, t) for d, t, *_ in rows])
+    assert got == want and max(Counter(c for _, c in want.values()).values()) > 32
+
+
+def test_ngram_join_in_small_blocks(docs, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 8)
+    got = by_id(ngram_join.near_duplicate_groups(docs), "n_shingles", "component_id")
+    assert got == brute.jaccard_components([(d, t) for d, t, *_ in rows])
+
+
+def test_ngram_join_odd_rows(odd, none):
+    assert ngram_join.near_duplicate_groups(none).count() == 0
+    got = sorted(map(tuple, ngram_join.near_duplicate_groups(odd).collect()), key=str)
+    assert len(got) == 6 and (9, 77, 7) in got and (None, 77, None) in got and (9, 0, 9) in got
+
+
+@pytest.mark.parametrize("edges", [[(k, k + 1) for k in range(300)], [(0, k) for k in range(1, 200)] + [(500, 501)], []])
+def test_components(spark, edges):
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    assert {r[0]: r[1] for r in components.connected_components(frame).collect()} == {n: root(n) for n in parent if root(n) != n}
+
+
+def test_suffix_dedup(docs, rows):
+    got = by_id(suffix_dedup.remove_repeats(docs).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    assert got == brute.repeated_bytes([(d, t) for d, t, *_ in rows])
+
+
+def test_suffix_dedup_in_small_runs(docs, rows, monkeypatch):
+    for name, value in (("FLUSH_SUFFIXES", 40), ("FLUSH_ANCHORS", 100), ("GROUP_ROWS", 10), ("PIECE", 3000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    got = by_id(suffix_dedup.remove_repeats(docs, width=5).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    assert got == brute.repeated_bytes([(d, t) for d, t, *_ in rows])
+
+
+def test_suffix_dedup_odd_rows(odd, none):
+    assert suffix_dedup.remove_repeats(none).count() == 0
+    got = sorted((r["doc_id"] or -1, r["n_removed"] > 0) for r in suffix_dedup.remove_repeats(odd).collect())
+    assert got == [(-1, False), (-1, False), (7, False), (7, False), (9, False), (9, True)]
+
+
+def test_merge_never_compares_known_prefixes():
+    rng = random.Random(4)
+    keys = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 30))) for _ in range(5)]
+
+    class Plain:
+        def __init__(self, own):
+            self.own, self.at, self.key = own, -1, b""
+
+        def advance(self):
+            self.at += 1
+            last, self.key = self.key, self.own[self.at] if self.at < len(self.own) else None
+            return None if self.key is None else suffix_dedup.common_prefix(last, self.key, 0)
+
+    out, last = [], b""
+    for same, run in suffix_dedup.merged([Plain(k) for k in keys]):
+        assert same == suffix_dedup.common_prefix(last, run.key, 0)
+        last = run.key
+        out.append(last)
+    assert out == sorted(x for k in keys for x in k)
+
+
+def test_language_model(docs, rows):
+    tokens = {d: [w.translate(brute.LOWER) for w in brute.WORDS.findall(t or "")] + [None] for d, t, *_ in rows}
+    held = {d: zlib.crc32(str(d).encode()) % 10 == 0 for d in tokens}
+    count = Counter(w for d, own in tokens.items() if not held[d] for w in own)
+    total, distinct = sum(count.values()), len(count)
+    frame = language_model.score_documents(docs).collect()
+    assert len(frame) == len(rows)
+    for r in frame:
+        own = tokens[r["doc_id"]]
+        base = sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in own)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[r["doc_id"]], len(own), sum(w in count for w in own), total)
+        assert abs(r["base_score"] - base) < 1e-6 * abs(base) and r["score"] < 0
+
+
+def test_spelling_probabilities_sum_to_one():
+    cells, starts = language_model.spelled(np.frombuffer(b"abbaabcab", dtype=np.uint8), np.array([0, 4, 6]), np.array([4, 6, 9]))
+    assert len(starts) == 3 and len(cells) == 12
+    key, n = np.unique(cells, return_counts=True)
+    model = language_model.sample_spelling(key, n * 50)
+    assert np.allclose((10.0 ** model.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
+    assert np.allclose((10.0 ** model.shorter.astype(float)).sum(axis=1), 1, atol=1e-4)
+
+
+def test_language_model_odd_rows(odd, none):
+    assert language_model.score_documents(none).count() == 0
+    got = language_model.score_documents(odd)
+    assert got.count() == 6 and got.where("doc_id is null and held_out").count() == 2
+
+
+def test_token_files(spark, docs, rows):
+    place = scratch_folder(spark, "tokens")
+    manifest = token_files.write_token_files(docs, place, partitions=4)
+    got = by_id(token_files.token_digests(manifest, token_files.read_token_files(spark, manifest, place)), "start", "n_tokens", "ids_crc32")
+    want, at = {}, 0
+    ordered = sorted(rows)
+    for (d, *_), ids in zip(ordered, brute.encoded([r[1] for r in ordered])):
+        ids = ids + [2]
+        want[d] = (at, len(ids), brute.crc(ids))
+        at += len(ids)
+    assert got == want
+    some = token_files.read_token_files(spark, manifest, place, [5, 40, 10**9]).collect()
+    assert {r["doc_id"]: (r["n_tokens"], brute.crc(np.frombuffer(r["ids"], dtype="<u4"))) for r in some} == {d: want[d][1:] for d in (5, 40)}
+
+
+def test_token_files_read_only_what_is_asked(tmp_path):
+    import pyarrow.fs as pafs
+
+    fs = pafs.LocalFileSystem()
+    with fs.open_output_stream(str(tmp_path / "x.tok")) as sink:
+        writer = token_files.FrameWriter(sink, 2)
+        for k in range(20):
+            writer.add(k, np.arange(k * 100, dtype=np.uint32) % 60_000)
+        writer.finish()
+    with fs.open_input_file(str(tmp_path / "x.tok")) as source:
+        reader = token_files.FrameReader(source)
+        assert reader.read(7).tolist() == list(range(700)) and reader.bytes_read == reader.table[7, 0]
+    raw = bytearray((tmp_path / "x.tok").read_bytes())
+    raw[int(reader.starts[7]) + 12] ^= 1
+    (tmp_path / "y.tok").write_bytes(raw)
+    with fs.open_input_file(str(tmp_path / "y.tok")) as source, pytest.raises(Exception):  # noqa: B017
+        token_files.FrameReader(source).read(7)
+
+
+def test_token_files_odd_rows(spark, odd, none):
+    for frame, n in ((odd, 6), (none, 0)):
+        place = scratch_folder(spark, "tokens")
+        manifest = token_files.write_token_files(frame, place, partitions=3)
+        assert token_files.read_token_files(spark, manifest, place).count() == n

@@ -146,7 +146,7 @@ def masked(text: str, spans: list[tuple], mask: str) -> str:
 def mask_secrets(docs: DataFrame, mask: str = MASK, vocabulary: str | None = None, text_column: str = "text") -> DataFrame:
     """The documents with every secret replaced by a mark; all rows and columns stay, null texts too."""
     path = _path(vocabulary)
-    scan, changed = "_scan_text", "_masked_text"
+    scan, changed, names = "_scan_text", "_masked_text", docs.columns
     shape = T.StructType([*docs.schema.fields, T.StructField(changed, T.StringType())])
 
     def run(batches):
@@ -154,7 +154,7 @@ def mask_secrets(docs: DataFrame, mask: str = MASK, vocabulary: str | None = Non
         for batch in pieces(batches, scan):
             column = batch.column(batch.num_columns - 1)
             new = [masked(column[r].as_py(), s, mask) if s else None for r, s in enumerate(batch_spans(column, encode))]
-            yield {name: batch.column(k) for k, name in enumerate(docs.columns)} | {changed: new}
+            yield {name: batch.column(k) for k, name in enumerate(names)} | {changed: new}
 
     rows = arrow_map(docs.withColumn(scan, F.col(text_column).cast("string")), run, shape)
     return rows.select(*[F.coalesce(changed, F.col(f"`{c}`")).alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns])

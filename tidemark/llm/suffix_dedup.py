@@ -178,18 +178,18 @@ def _shared(held: list[tuple]) -> dict:
 
 
 def _runs(suffixes: list[tuple], width: int) -> dict:
-    """Sorted, folded and front-coded runs of (right, left, doc, place, gram) by bucket."""
+    """Sorted, folded and front-coded runs of (right, left, doc, check, place, gram) by bucket."""
     out: dict[str, list] = {"bucket": [], "value": []}
-    gram = np.array([s[4] for s in suffixes], dtype=np.uint64)
+    gram = np.array([s[5] for s in suffixes], dtype=np.uint64)
     bucket = _buckets(gram, width).tolist()
     by_bucket: dict[int, list[tuple]] = {}
     for b, s in zip(bucket, suffixes):
         by_bucket.setdefault(b, []).append(s)
     for b, own in by_bucket.items():
         own.sort()
-        lcp, tails, lefts, doc, count, more_doc, more_place = [], [], [], [], [], [], []
+        lcp, tails, lefts, count, owner, places = [], [], [], [], [], []
         last_right, last_left = b"", None
-        for right, left, d, place, _ in own:
+        for right, left, doc, check, place, _ in own:
             if right == last_right and left == last_left:
                 count[-1] += 1
             else:
@@ -197,16 +197,17 @@ def _runs(suffixes: list[tuple], width: int) -> dict:
                 lcp.append(same)
                 tails.append(right[same:])
                 lefts.append(left)
-                doc.append(d)
                 count.append(1)
                 last_right, last_left = right, left
-            more_doc.append(d)
-            more_place.append(place)
-        known, number = np.unique(np.array(more_doc, dtype=np.int64), return_inverse=True)
+            owner.append((doc, check))
+            places.append(place)
+        known = sorted(set(owner))
+        number = {pair: k for k, pair in enumerate(known)}
         value = pack_arrays([
             np.array(lcp, dtype=np.uint8), np.array([len(t) for t in tails], dtype=np.uint8), np.frombuffer(b"".join(tails), dtype=np.uint8),
             np.array([len(x) for x in lefts], dtype=np.uint8), np.frombuffer(b"".join(lefts), dtype=np.uint8),
-            np.array(count, dtype=np.uint32), np.diff(known, prepend=0), number.astype(np.uint32), np.array(more_place, dtype=np.uint32),
+            np.array(count, dtype=np.uint32), np.diff(np.array([d for d, _ in known], dtype=np.int64), prepend=0), np.array([c for _, c in known], dtype=np.uint32),
+            np.array([number[pair] for pair in owner], dtype=np.uint32), np.array(places, dtype=np.uint32),
         ])
         out["bucket"].append(b)
         out["value"].append(value)
@@ -214,19 +215,19 @@ def _runs(suffixes: list[tuple], width: int) -> dict:
 
 
 def suffix_runs(marked: DataFrame, width: int) -> DataFrame:
-    """Front-coded sorted runs of the suffixes at shared anchors of documents (doc_id, text, marks)."""
+    """Front-coded sorted runs of the suffixes at shared anchors of documents (doc_id, text, check, marks)."""
     def run(batches):
         held: list[tuple] = []
         for batch in pieces(batches, "text", PIECE):
             data, offsets = text_bytes(batch.column(1))
             place, row, gram = anchors(data, offsets)
-            marks = [np.frombuffer(b"".join(m), dtype="<u8") for m in batch.column(2).to_pylist()]
+            marks = [np.frombuffer(b"".join(m), dtype="<u8") for m in batch.column(3).to_pylist()]
             keys = np.concatenate([mix(m + mix(np.array([r], dtype=np.uint64))) for r, m in enumerate(marks)])
             ok = np.isin(mix(gram + mix(row.astype(np.uint64))), keys)
-            raw, ids = data.tobytes(), batch.column(0).to_pylist()
+            raw, ids, checks = data.tobytes(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
             starts, ends = offsets[row[ok]].tolist(), offsets[row[ok] + 1].tolist()
             for q, r, g, a, b in zip(place[ok].tolist(), row[ok].tolist(), gram[ok].tolist(), starts, ends):
-                held.append((raw[q: min(q + SIZE, b)], raw[max(a, q - BEFORE): q], ids[r], q - a, g))
+                held.append((raw[q: min(q + SIZE, b)], raw[max(a, q - BEFORE): q], ids[r], checks[r], q - a, g))
                 if len(held) >= FLUSH_SUFFIXES:
                     yield _runs(held, width)
                     held = []
@@ -249,11 +250,11 @@ class Run:
     """A front-coded run that is decoded one suffix at a time."""
 
     def __init__(self, value: bytes) -> None:
-        lcp, tail_sizes, tails, left_sizes, lefts, count, known, number, self.places = unpack_arrays(value)
+        lcp, tail_sizes, tails, left_sizes, lefts, count, known, checks, number, self.places = unpack_arrays(value)
         self.lcp, self.tails, self.lefts = lcp.tolist(), tails.tobytes(), lefts.tobytes()
         self.tail_ends = np.cumsum(tail_sizes, dtype=np.int64).tolist()
         self.left_ends = [0, *np.cumsum(left_sizes, dtype=np.int64).tolist()]
-        self.docs = np.cumsum(known)[number]
+        self.docs, self.checks = np.cumsum(known)[number], checks[number]
         self.starts = [0, *np.cumsum(count, dtype=np.int64).tolist()]
         self.at, self.key, self.tail_at = -1, b"", 0
 
@@ -327,7 +328,7 @@ class Groups:
     def __init__(self) -> None:
         self.rows: list[tuple] = []
         self.group = 0
-        self.spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.spans: list[tuple[np.ndarray, ...]] = []
         self.count = 0
 
     def add(self, same: int, run: Run) -> None:
@@ -336,14 +337,14 @@ class Groups:
             if len(self.rows) >= GROUP_ROWS:
                 self.settle()
         at = run.at
-        self.rows.append((self.group, run.key, run.lefts[run.left_ends[at]: run.left_ends[at + 1]], run.docs[run.starts[at]: run.starts[at + 1]],
-                          run.places[run.starts[at]: run.starts[at + 1]]))
+        own = slice(run.starts[at], run.starts[at + 1])
+        self.rows.append((self.group, run.key, run.lefts[run.left_ends[at]: run.left_ends[at + 1]], run.docs[own], run.checks[own], run.places[own]))
 
     def settle(self) -> None:
         """Spans of all occurrences collected so far."""
         if not self.rows:
             return
-        group, rights, lefts, docs, places = zip(*self.rows)
+        group, rights, lefts, docs, checks, places = zip(*self.rows)
         self.rows = []
         n = len(group)
         group = np.array(group, dtype=np.uint64)
@@ -372,21 +373,20 @@ class Groups:
         begin = place - np.where(whole, left_size[row], high[row])
         end = place - np.where(whole, np.maximum(0, SIZE - right_size[row]), low[row]) + SIZE
         keep = np.where(whole, left_size[row] + right_size[row] >= SIZE, high[row] >= 0)
-        self.spans.append((doc[keep], begin[keep], end[keep]))
+        self.spans.append((doc[keep], np.concatenate(checks)[keep], begin[keep], end[keep]))
         self.count += int(keep.sum())
 
     def take(self) -> dict:
         """All spans found, packed per document."""
-        if self.spans:
-            doc, begin, end = (np.concatenate(x) for x in zip(*self.spans))
-        else:
-            doc = begin = end = np.zeros(0, dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        doc, check, begin, end = (np.concatenate(x) for x in zip(*self.spans)) if self.spans else (none,) * 4
         self.spans, self.count = [], 0
-        order = np.lexsort((begin, doc))
-        doc, pair = doc[order], np.stack([begin[order], end[order]], axis=1).astype("<i4")
-        known, start = np.unique(doc, return_index=True)
+        order = np.lexsort((begin, check, doc))
+        doc, check, pair = doc[order], check[order], np.stack([begin[order], end[order]], axis=1).astype("<i4")
+        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (check[1:] != check[:-1])]) if len(doc) else none.astype(bool)
+        start = np.flatnonzero(new)
         raw, at = pair.tobytes(), [*(start * 8).tolist(), len(doc) * 8]
-        return {"doc_id": known, "spans": [raw[a:b] for a, b in zip(at, at[1:])]}
+        return {"doc_id": doc[start], "check": check[start].astype(np.int64), "spans": [raw[a:b] for a, b in zip(at, at[1:])]}
 
 
 def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
@@ -413,7 +413,7 @@ def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
             yield from merge(held)
 
     dealt = runs.repartition(width, "bucket").sortWithinPartitions("bucket")
-    return arrow_map(dealt, run, "doc_id long, spans binary")
+    return arrow_map(dealt, run, "doc_id long, check long, spans binary")
 
 
 def without_spans(docs: DataFrame) -> DataFrame:
@@ -453,8 +453,9 @@ def remove_repeats(docs: DataFrame, width: int | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     width = width or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = _docs(docs)
-    marks = shared_grams(rows, width).groupBy("doc_id").agg(F.collect_list("grams").alias("marks"))
-    runs = suffix_runs(rows.join(marks, "doc_id").select("doc_id", "text", "marks"), width)
-    spans = stored(repeated_spans(runs, width), "repeated-spans").groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    return without_spans(rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans"))
+    # A checksum of the text tells rows apart that share an id.
+    rows = _docs(docs).withColumn("check", F.crc32(F.col("text").cast("binary")))
+    marks = shared_grams(docs, width).groupBy("doc_id").agg(F.collect_list("grams").alias("marks"))
+    runs = suffix_runs(rows.join(marks, "doc_id").select("doc_id", "text", "check", "marks"), width)
+    spans = stored(repeated_spans(runs, width), "repeated-spans").groupBy("doc_id", "check").agg(F.collect_list("spans").alias("spans"))
+    return without_spans(rows.join(spans, ["doc_id", "check"], "left").select("doc_id", "text", "spans"))
