@@ -32,10 +32,10 @@ SIZE = 50
 GRAM = 24
 BEFORE = SIZE - GRAM
 GRAM_BITS = 48
-FLUSH_ANCHORS = 2_000_000
-FLUSH_SUFFIXES = 300_000
+FLUSH_ANCHORS = 1_000_000
+FLUSH_SUFFIXES = 200_000
 GROUP_ROWS = 20_000
-PIECE = 4_000_000
+PIECE = 1_000_000
 
 
 def pack_arrays(arrays: list[np.ndarray]) -> bytes:
@@ -120,16 +120,61 @@ def _gram_rows(docs: np.ndarray, grams: np.ndarray, width: int) -> dict:
     return out
 
 
-def _by_doc(docs: np.ndarray, grams: np.ndarray) -> dict:
+def _dealt(docs: np.ndarray, columns: list[np.ndarray], width: int) -> dict:
+    """What was found for documents, packed for the bucket of documents that collects it."""
     order = np.argsort(docs, kind="stable")
-    docs, grams = docs[order], grams[order]
+    docs, columns = docs[order], [c[order] for c in columns]
+    bucket = _buckets(docs.astype(np.uint64), width)
+    out: dict[str, list] = {"bucket": [], "value": []}
+    by_bucket = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[by_bucket], np.arange(width + 1))
+    for b in np.flatnonzero(np.diff(cuts)):
+        own = by_bucket[cuts[b]: cuts[b + 1]]
+        out["bucket"].append(int(b))
+        out["value"].append(pack_arrays([np.diff(docs[own], prepend=0), *[c[own] for c in columns]]))
+    return out
+
+
+def _collected(packed: DataFrame, width: int, rows, schema: str) -> DataFrame:
+    """Everything found for the documents of each bucket, given to ``rows`` as arrays in order of the document."""
+    def run(batches):
+        current, held = None, []
+
+        def give():
+            docs, *columns = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(docs, kind="stable")
+            return rows(docs[order], *[c[order] for c in columns])
+
+        for batch in batches:
+            for bucket, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if bucket != current and held:
+                    yield give()
+                    held = []
+                current = bucket
+                delta, *columns = unpack_arrays(value)
+                held.append((np.cumsum(delta), *columns))
+        if held:
+            yield give()
+
+    return arrow_map(packed.repartition(width, "bucket").sortWithinPartitions("bucket"), run, schema)
+
+
+def _gram_lists(docs: np.ndarray, grams: np.ndarray) -> dict:
     known, start = np.unique(docs, return_index=True)
     raw, at = grams.astype("<u8").tobytes(), [*(start * 8).tolist(), len(grams) * 8]
-    return {"doc_id": known, "grams": [raw[a:b] for a, b in zip(at, at[1:])]}
+    return {"doc_id": known, "marks": [raw[a:b] for a, b in zip(at, at[1:])]}
+
+
+def _span_lists(docs: np.ndarray, checks: np.ndarray, begin: np.ndarray, end: np.ndarray) -> dict:
+    order = np.lexsort((begin, checks, docs))
+    docs, checks, pair = docs[order], checks[order], np.stack([begin[order], end[order]], axis=1).astype("<i4")
+    start = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (checks[1:] != checks[:-1])]))
+    raw, at = pair.tobytes(), [*(start * 8).tolist(), len(docs) * 8]
+    return {"doc_id": docs[start], "check": checks[start].astype(np.int64), "spans": [raw[a:b] for a, b in zip(at, at[1:])]}
 
 
 def shared_grams(docs: DataFrame, width: int) -> DataFrame:
-    """Per document the grams at its anchors that another document has at an anchor, in one or several rows."""
+    """Per document the grams at its anchors that another document has at an anchor."""
     def send(batches):
         held, count = [], 0
         for batch in pieces(batches, "text", PIECE):
@@ -147,24 +192,24 @@ def shared_grams(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             for bucket, kind, value in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if bucket != current and held:
-                    yield _shared(held)
+                    yield _shared(held, width)
                     held = []
                 current = bucket
                 delta, number, known, flags = unpack_arrays(value)
                 docs, grams = np.cumsum(known)[number], np.cumsum(delta, dtype=np.uint64)
                 if kind:
-                    yield _by_doc(docs, grams)
+                    yield _dealt(docs, [grams], width)
                 else:
                     held.append((docs, grams, flags > 0))
         if held:
-            yield _shared(held)
+            yield _shared(held, width)
 
     sent = arrow_map(_docs(docs).where("doc_id is not null and text is not null"), send, "bucket int, kind int, value binary")
     dealt = sent.repartition(width, "bucket").sortWithinPartitions("bucket")
-    return arrow_map(dealt, compare, "doc_id long, grams binary")
+    return _collected(arrow_map(dealt, compare, "bucket int, value binary"), width, _gram_lists, "doc_id long, marks binary")
 
 
-def _shared(held: list[tuple]) -> dict:
+def _shared(held: list[tuple], width: int) -> dict:
     docs, grams, many = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((docs, grams))
     docs, grams, many = docs[order], grams[order], many[order]
@@ -174,7 +219,7 @@ def _shared(held: list[tuple]) -> dict:
     end = np.concatenate([start[1:], [len(grams)]]) - 1
     wide = (docs[start] != docs[end]) | (np.maximum.reduceat(many.astype(np.uint8), start) > 0)
     keep = wide[group]
-    return _by_doc(docs[keep], grams[keep])
+    return _dealt(docs[keep], [grams[keep]], width)
 
 
 def _runs(suffixes: list[tuple], width: int) -> dict:
@@ -221,7 +266,7 @@ def suffix_runs(marked: DataFrame, width: int) -> DataFrame:
         for batch in pieces(batches, "text", PIECE):
             data, offsets = text_bytes(batch.column(1))
             place, row, gram = anchors(data, offsets)
-            marks = [np.frombuffer(b"".join(m), dtype="<u8") for m in batch.column(3).to_pylist()]
+            marks = [np.frombuffer(m, dtype="<u8") for m in batch.column(3).to_pylist()]
             keys = np.concatenate([mix(m + mix(np.array([r], dtype=np.uint64))) for r, m in enumerate(marks)])
             ok = np.isin(mix(gram + mix(row.astype(np.uint64))), keys)
             raw, ids, checks = data.tobytes(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -376,29 +421,24 @@ class Groups:
         self.spans.append((doc[keep], np.concatenate(checks)[keep], begin[keep], end[keep]))
         self.count += int(keep.sum())
 
-    def take(self) -> dict:
-        """All spans found, packed per document."""
+    def take(self, width: int) -> dict:
+        """All spans found, packed for the buckets of their documents."""
         none = np.zeros(0, dtype=np.int64)
         doc, check, begin, end = (np.concatenate(x) for x in zip(*self.spans)) if self.spans else (none,) * 4
         self.spans, self.count = [], 0
-        order = np.lexsort((begin, check, doc))
-        doc, check, pair = doc[order], check[order], np.stack([begin[order], end[order]], axis=1).astype("<i4")
-        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (check[1:] != check[:-1])]) if len(doc) else none.astype(bool)
-        start = np.flatnonzero(new)
-        raw, at = pair.tobytes(), [*(start * 8).tolist(), len(doc) * 8]
-        return {"doc_id": doc[start], "check": check[start].astype(np.int64), "spans": [raw[a:b] for a, b in zip(at, at[1:])]}
+        return _dealt(doc, [check.astype(np.uint32), begin.astype(np.uint32), end.astype(np.uint32)], width)
 
 
 def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
-    """Merges the runs of each bucket; spans to remove as packed (start, end) per document, in one or several rows."""
+    """Merges the runs of each bucket; spans to remove as packed (start, end) per document."""
     def merge(values: list[bytes]):
         groups = Groups()
         for same, run in merged([Run(v) for v in values]):
             groups.add(same, run)
             if groups.count > 500_000:
-                yield groups.take()
+                yield groups.take(width)
         groups.settle()
-        yield groups.take()
+        yield groups.take(width)
 
     def run(batches):
         current, held = None, []
@@ -413,7 +453,7 @@ def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
             yield from merge(held)
 
     dealt = runs.repartition(width, "bucket").sortWithinPartitions("bucket")
-    return arrow_map(dealt, run, "doc_id long, check long, spans binary")
+    return _collected(arrow_map(dealt, run, "bucket int, value binary"), width, _span_lists, "doc_id long, check long, spans binary")
 
 
 def without_spans(docs: DataFrame) -> DataFrame:
@@ -429,7 +469,7 @@ def without_spans(docs: DataFrame) -> DataFrame:
                     out["n_spans"].append(0)
                     out["kept"].append(own.tobytes())
                     continue
-                pair = np.frombuffer(b"".join(spans), dtype="<i4").reshape(-1, 2)
+                pair = np.frombuffer(spans, dtype="<i4").reshape(-1, 2)
                 edges = np.zeros(len(own) + 1, dtype=np.int64)
                 np.add.at(edges, pair[:, 0], 1)
                 np.add.at(edges, pair[:, 1], -1)
@@ -455,7 +495,7 @@ def remove_repeats(docs: DataFrame, width: int | None = None) -> DataFrame:
     width = width or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A checksum of the text tells rows apart that share an id.
     rows = _docs(docs).withColumn("check", F.crc32(F.col("text").cast("binary")))
-    marks = shared_grams(docs, width).groupBy("doc_id").agg(F.collect_list("grams").alias("marks"))
+    marks = shared_grams(docs, width)
     runs = suffix_runs(rows.join(marks, "doc_id").select("doc_id", "text", "check", "marks"), width)
-    spans = stored(repeated_spans(runs, width), "repeated-spans").groupBy("doc_id", "check").agg(F.collect_list("spans").alias("spans"))
+    spans = stored(repeated_spans(runs, width), "repeated-spans")
     return without_spans(rows.join(spans, ["doc_id", "check"], "left").select("doc_id", "text", "spans"))
