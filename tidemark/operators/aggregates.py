@@ -97,6 +97,14 @@ def _within(counted: DataFrame, wanted: DataFrame, group: Sequence[str], prefix:
     return c.join(w, same).select(*[F.col(f"c.{k}") for k in group], "c.__v", "c.__n", "c.__k", *extra)
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on the group keys, in which NULL meets NULL."""
+    same = F.lit(True)
+    for key in by:
+        same = same & left[key].eqNullSafe(F.col(f"__{key}"))
+    return left.join(right.withColumnsRenamed({k: f"__{k}" for k in by}), same).drop(*[f"__{k}" for k in by])
+
+
 def price_stats(df: DataFrame, by: Sequence[str], price: str, scale: int = 2) -> DataFrame:
     """Mean and exact median of a price list per group, rounded.
 
@@ -106,7 +114,7 @@ def price_stats(df: DataFrame, by: Sequence[str], price: str, scale: int = 2) ->
     total = F.sum(F.col("__v").try_cast("decimal(24,6)") * F.col("__n"))
     means = counted.groupBy(*by).agg((total / F.sum("__n")).alias("average_price"))
     medians = _median_of_counts(counted, by, "median_price")
-    joined = means.join(medians, list(by)) if by else means.join(medians, F.lit(True))
+    joined = join_groups(means, medians, by)
     return joined.select(
         *by, "n", F.bround("average_price", scale).cast("double").alias("average_price"),
         F.bround("median_price", scale).alias("median_price"),
@@ -158,7 +166,7 @@ def pack_rows(
     A large group becomes several records (numbered by ``part``), so no list grows with the data.
     """
     sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_record).alias("__parts"))
-    joined = df.join(sizes, list(by))
+    joined = join_groups(df, sizes, by)
     part = F.pmod(F.xxhash64(*fields), F.col("__parts")).alias("part")
     packed = joined.groupBy(*by, part).agg(F.collect_list(F.struct(*fields)).alias(name))
     return packed.withColumn(name, F.to_json(name))

@@ -71,17 +71,13 @@ def not_captured(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataF
 def names_like(df: DataFrame, column: str, parts: DataFrame, part: str) -> DataFrame:
     """Rows whose name holds any wanted part in any case; all rows when nothing matches.
 
-    The wanted parts are a short list typed by a user; they are read once and tested in place.
+    The wanted parts are a list typed by a user, so one array in the plan holds them; NULL parts are left out.
     """
-    wanted = [r[0].lower() for r in parts.select(part).distinct().limit(10_001).collect()]
-    if len(wanted) > 10_000:
-        raise ValueError("more than 10000 name parts: join on exact names instead")
-    if not wanted:
-        return df
-    lowered = F.lower(F.col(column))
-    hit = df.where(F.exists(F.array(*[F.lit(w) for w in wanted]), lambda w: F.contains(lowered, w)))
-    found = hit.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    return df.where(F.exists(F.array(*[F.lit(w) for w in wanted]), lambda w: F.contains(lowered, w)) | (found == 0))
+    one = parts.agg(F.collect_set(F.lower(part)).alias("__parts"))
+    rows = df.join(one, F.lit(True)).withColumn("__lowered", F.lower(F.col(column)))
+    rows = rows.withColumn("__named", F.exists("__parts", lambda w: F.contains(F.col("__lowered"), w)))
+    found = rows.agg(F.count_if("__named").alias("n")).select("n").scalar()
+    return rows.where(F.col("__named") | (found == 0)).select(*df.columns)
 
 
 def with_keys(df: DataFrame, *keys: str) -> DataFrame:

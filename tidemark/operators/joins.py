@@ -64,7 +64,7 @@ def match_contains(
     with_core: bool = False,
     inline_limit: int = INLINE_NAMES,
 ) -> DataFrame:
-    """(row keys, name) for every name that occurs anywhere in the text, in any case.
+    """(row keys, name), each once, for every name that occurs anywhere in the text, in any case.
 
     ``with_core`` also tries each name without its corporate form. Up to ``inline_limit`` names are
     tested in place, without a shuffle. A longer list is joined on the first letters of each name
@@ -82,7 +82,7 @@ def match_contains(
         hits = F.array_distinct(
             F.transform(F.filter(pairs, lambda p: F.contains(body, p["needle"])), lambda p: p["name"])
         )
-        return df.select(*row_keys, F.explode(hits).alias("name"))
+        return df.select(*row_keys, F.explode(hits).alias("name")).distinct()
     return _match_by_letters(df.select(*row_keys, body.alias("__body")), wanted, row_keys)
 
 

@@ -67,8 +67,14 @@ def first_seen(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     )
 
 
-def latest_run_per_day(df: DataFrame, date: str, run: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows of the last run of each day replace those of earlier runs of that day."""
+def latest_run_per_day(df: DataFrame, date: str, run: str) -> DataFrame:
+    """Rows of each day's last run; everything that earlier runs of that day left is replaced."""
+    last = df.groupBy(F.col(date).alias("__day")).agg(F.max(run).alias("__run"))
+    return df.join(last, F.col(date).eqNullSafe(F.col("__day")) & (F.col(run) == F.col("__run"))).drop("__day", "__run")
+
+
+def latest_run_per_key(df: DataFrame, date: str, run: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The last row of each day and key, whichever run it came from."""
     return last_wins(df, [date, *keys], run)
 
 

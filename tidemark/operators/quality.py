@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import looks_garbled, repair_garbled
+from tidemark.operators.aggregates import join_groups
 from tidemark.operators.deltas import date_calendar
 
 
@@ -32,7 +33,7 @@ def audit(df: DataFrame, date: str, keys: Sequence[str], by: Sequence[str] = (),
         F.min("__a").alias("first_date"), F.max("__b").alias("last_date"),
     )
     days = df.select(*by, date).distinct().groupBy(*by).agg(F.count(date).alias("dates"))
-    joined = totals.join(days, list(by)) if by else totals.join(days, F.lit(True))
+    joined = join_groups(totals, days, by)
     return joined.select(*by, "rows", "dates", "keys", "first_date", "last_date")
 
 

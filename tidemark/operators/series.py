@@ -22,12 +22,16 @@ def to_month(
     return months.join(monthly, [*keys, "month"], "left")
 
 
-def chunk_windows(start: Column, end: Column, step_months: int, overlap_months: int, limit: int = 1000) -> Column:
+def chunk_windows(start: Column, end: Column, step_months: int, overlap_months: int) -> Column:
     """Array of (chunk, chunk_start, chunk_end) that covers start..end with overlaps.
 
     A window starts ``overlap_months`` before the end of the one before it; the list ends when a
-    window would not start later than its predecessor.
+    window would not start later than its predecessor. The span gives how many windows there can be.
     """
+    if step_months <= overlap_months:
+        raise ValueError("a window must reach further than it overlaps")
+    # Two more than the months give, since a start may move to the last day of a shorter month.
+    most = F.ceil(F.months_between(end, start) / (step_months - overlap_months)) + 2
     empty = F.array().cast("array<struct<chunk:int,chunk_start:date,chunk_end:date>>")
 
     def extend(acc: Column, i: Column) -> Column:
@@ -40,7 +44,7 @@ def chunk_windows(start: Column, end: Column, step_months: int, overlap_months:
         )
         return F.when(more, F.concat(acc, F.array(item))).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(limit - 1)), empty, extend)
+    return F.aggregate(F.sequence(F.lit(0), F.coalesce(F.greatest(most, F.lit(0)), F.lit(0)).cast("int")), empty, extend)
 
 
 def stitch(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.fixed_values import FALLBACK_RATES
 from tidemark.functions.numbers import discount_pct
 from tidemark.functions.text import base_key, two_level_path
 from tidemark.operators.aggregates import collect_events, discount_of_totals, rollups, weighted_revenue
@@ -75,6 +76,7 @@ def product_colours(
     ).select(*by, "base_key", "r.*", "sale_last_week", "sale_last_days")
     code = F.create_map(*[F.lit(x) for kv in currencies.items() for x in kv])
     home_rate = rates.where(F.col("currency") == home).agg(F.max("rate").alias("r")).select("r").scalar()
+    home_rate = F.coalesce(home_rate, F.lit(FALLBACK_RATES.get(home)).cast("double"))
     priced = enrich(
         picked.withColumn("currency", F.try_element_at(code, F.col("market"))), rates, ["currency"], "left", {"rate": 1.0}
     )

@@ -11,7 +11,7 @@ from tidemark.functions.numbers import share
 from tidemark.operators.aggregates import monthly_breakdown
 from tidemark.operators.deltas import snapshot_delta
 from tidemark.operators.joins import enrich
-from tidemark.operators.picks import first_seen, latest_run_per_day
+from tidemark.operators.picks import first_seen, latest_run_per_key
 from tidemark.operators.reshape import bucket_other
 
 
@@ -32,7 +32,7 @@ def proxy_summary(
     ``counts`` holds cumulative counts by (snapshot_date, run, product, channel); the last run of a
     day replaces earlier ones. A product's first sighting counts all its reviews as new.
     """
-    latest = latest_run_per_day(counts, "snapshot_date", "run", ["product", "channel"]).drop("run")
+    latest = latest_run_per_key(counts, "snapshot_date", "run", ["product", "channel"]).drop("run")
     per_product = latest.groupBy("snapshot_date", "product").agg(F.sum("count").alias("count"))
     grown = snapshot_delta(per_product, ["product"], "snapshot_date", "count", max_gap_days=None, mode="growth",
                            first_as_zero=True)

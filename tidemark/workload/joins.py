@@ -348,11 +348,19 @@ def w9(spark, d):
 
 
 @query("w10_latest_run_per_day", """
+    SELECT ts::DATE::VARCHAR AS day, hour(ts)::BIGINT AS run, event_type, event_id, value FROM events
+    QUALIFY hour(ts) = max(hour(ts)) OVER (PARTITION BY ts::DATE)""")
+def w10(spark, d):
+    rows = table(spark, d, "events").select(F.to_date("ts").alias("day"), F.hour("ts").alias("run"), "event_type", "event_id", "value")
+    return p.latest_run_per_day(rows, "day", "run")
+
+
+@query("w10_latest_run_per_key", """
     SELECT ts::DATE::VARCHAR AS day, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value
     FROM events GROUP BY ALL""")
-def w10(spark, d):
+def w10_per_key(spark, d):
     rows = table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_type", "event_id", "value")
-    return p.latest_run_per_day(rows, "day", "event_id", ["event_type"])
+    return p.latest_run_per_key(rows, "day", "event_id", ["event_type"])
 
 
 @query("w11_representative_row", f"""

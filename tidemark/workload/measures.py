@@ -410,7 +410,7 @@ def j8(spark, d):
           SELECT k, a, z, chunk + 1, (chunk_end - INTERVAL 3 MONTH)::DATE, least(((chunk_end - INTERVAL 3 MONTH)::DATE + INTERVAL 24 MONTH)::DATE, z)
           FROM w WHERE (chunk_end - INTERVAL 3 MONTH)::DATE < z AND (chunk_end - INTERVAL 3 MONTH)::DATE > chunk_start)
     SELECT k, chunk::BIGINT AS chunk, chunk_start::VARCHAR AS chunk_start, chunk_end::VARCHAR AS chunk_end
-    FROM w WHERE chunk < 1000""")
+    FROM w""")
 def w8(spark, d):
     rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     span = rows.groupBy(F.col("c_nationkey").cast("bigint").alias("k")).agg(
@@ -426,8 +426,8 @@ def trend_chunks(spark, d):
     """
     daily = table(spark, d, "events").groupBy(F.col("event_type").alias("series"), F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).cast("double").alias("n"))
-    at = F.datediff("day", F.lit("2024-01-01").cast("date"))
-    windows = F.filter(F.sequence(F.lit(0), F.lit(400)), lambda c: (at >= c * 11) & (at < c * 11 + 15))
+    at = F.datediff("day", daily.agg(F.min("day").alias("d")).select("d").scalar())
+    windows = F.sequence(F.greatest(F.lit(0).cast("long"), F.floor((at - 15) / 11) + 1), F.floor(at / 11))
     rows = daily.select("series", "day", "n", at.alias("at"), F.explode(windows).alias("chunk"))
     level = F.when((F.col("chunk") == 1) & (F.col("at") < 15), 0.0).otherwise(F.col("n") * (F.col("chunk") + 1) / 4)
     return rows.select("series", "chunk", "day", level.alias("value"))
@@ -435,8 +435,8 @@ def trend_chunks(spark, d):
 
 _CHUNKS = """
     SELECT series, chunk, day, CASE WHEN chunk = 1 AND pos < 15 THEN 0.0 ELSE n * (chunk + 1) / 4 END::DOUBLE AS value
-    FROM (SELECT event_type AS series, ts::DATE AS day, count(*)::DOUBLE AS n, ts::DATE - DATE '2024-01-01' AS pos FROM events GROUP BY ALL) e
-    JOIN (SELECT unnest(generate_series(0, 400)) AS chunk) c ON pos >= chunk * 11 AND pos < chunk * 11 + 15"""
+    FROM (SELECT event_type AS series, ts::DATE AS day, count(*)::DOUBLE AS n, ts::DATE - (SELECT min(ts)::DATE FROM events) AS pos FROM events GROUP BY ALL) e,
+    LATERAL (SELECT unnest(generate_series(greatest(0, floor((pos - 15) / 11.0) + 1)::BIGINT, floor(pos / 11.0)::BIGINT)) AS chunk) c"""
 
 _STITCHED = f"""
     WITH RECURSIVE c AS MATERIALIZED ({_CHUNKS}),

@@ -6,13 +6,12 @@ number grows with the tables.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage, spread
+from tidemark.session import cut_lineage, shared_folder
 from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
 from tidemark.sources.notices import notice_tables, parse_notices
@@ -23,10 +22,9 @@ from tidemark.workload import bindings as b
 from tidemark.workload.registry import query, table
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder; a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/tidemark-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tidemark-")
+def new_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
 
 
 # --- scans ---------------------------------------------------------------------------------
@@ -193,7 +191,7 @@ def notice_documents(spark, d):
         "</cac:RequestedTenderTotal></cac:ProcurementProject>",
         lot(1, F.col("o_orderpriority")), lot(2, F.lit("second")), "</ContractAwardNotice>")
     empty = F.lit(f"<ContractAwardNotice {NOTICE_NAMESPACES}><cbc:ID>planned</cbc:ID></ContractAwardNotice>")
-    orders = spread(table(spark, d, "orders"), "o_orderkey").join(
+    orders = table(spark, d, "orders").join(
         table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     return orders.select(F.col("o_orderkey").cast("string").alias("publication_number"),
                          F.when(F.col("o_orderstatus") == "P", empty).otherwise(body).alias("xml"))
@@ -288,7 +286,7 @@ def k1(spark, d):
     FROM ({_MERGED})""")
 def k1_table(spark, d):
     """The same merge into a stored table; loading the batch again inserts nothing."""
-    path, keys = shared_folder(spark) + "/snapshot", ["snapshot_date", "store", "variant_id"]
+    path, keys = new_folder(spark) + "/snapshot", ["snapshot_date", "store", "variant_id"]
     first = b.store_snapshot(spark, d).drop("price").where("snapshot_date <= date'2024-01-15'").withColumn("ordinal", F.lit(0))
     m.append_absent(first, path, keys, "ordinal", "snapshot_date")
     one = m.append_absent(captured_events(spark, d), path, keys, "ordinal", "snapshot_date")
@@ -327,7 +325,7 @@ def k2_collisions(spark, d):
     UNION ALL SELECT 'orders', 'written', (SELECT count(DISTINCT o_custkey) FROM orders)::DOUBLE
     UNION ALL SELECT 'broken', 'failed', NULL""")
 def k3(spark, d):
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     state = customer_state(spark, d).withColumn("ordinal", F.lit(0))
     outcomes = {
         "customers": m.try_write(lambda: m.upsert_table(state, folder + "/state", ["key"], "ordinal")),
@@ -339,7 +337,7 @@ def k3(spark, d):
 
 @query("k2_upsert_table", _UPSERTED)
 def k2_table(spark, d):
-    path = shared_folder(spark) + "/state"
+    path = new_folder(spark) + "/state"
     m.upsert_table(customer_state(spark, d).withColumn("ordinal", F.lit(0)), path, ["key"], "ordinal")
     m.upsert_table(order_updates(spark, d), path, ["key"], "ordinal")
     return m.latest_generation(spark, path)[1]
@@ -349,7 +347,7 @@ def k2_table(spark, d):
     SELECT month, n, NULL::DOUBLE AS total FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY ALL)
     UNION ALL SELECT strftime(l_shipdate, '%Y-%m'), count(*), sum(l_quantity) FROM lineitem GROUP BY ALL""")
 def k4(spark, d):
-    path = shared_folder(spark) + "/report"
+    path = new_folder(spark) + "/report"
     month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
     m.append_report(table(spark, d, "orders").groupBy(month).agg(F.count(F.lit(1)).alias("n")), path)
     shipped = table(spark, d, "lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(
@@ -360,7 +358,7 @@ def k4(spark, d):
 
 @query("k5_overwrite_report", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY ALL")
 def k5(spark, d):
-    path = shared_folder(spark) + "/report"
+    path = new_folder(spark) + "/report"
     m.overwrite_report(table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), path)
     m.overwrite_report(table(spark, d, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), path)
     return spark.read.parquet(path)
@@ -390,7 +388,7 @@ def k7(spark, d):
 @query("q8_run_status", """
     SELECT 'report' AS "table", 'written' AS status, (SELECT count(DISTINCT o_custkey) FROM orders)::DOUBLE AS rows""")
 def q8(spark, d):
-    path = shared_folder(spark) + "/state"
+    path = new_folder(spark) + "/state"
     done = m.try_write(lambda: m.upsert_table(order_updates(spark, d), path, ["key"], "ordinal"))
     return m.run_status(spark, {"report": done}).select("table", "status", F.col("rows").cast("double").alias("rows"))
 
@@ -399,12 +397,12 @@ def q8(spark, d):
 
 def stream_deltas(spark, d, on_absent: str) -> DataFrame:
     """Daily snapshots arrive in two batches of whole days; the second run resumes from the state."""
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     facts = b.store_snapshot(spark, d).select("snapshot_date", "store", "variant_id", "quantity")
     middle = facts.select((F.min(F.unix_date("snapshot_date")) + F.max(F.unix_date("snapshot_date"))).alias("s")).select(
         F.date_from_unix_date(F.floor(F.col("s") / 2).cast("int")).alias("m")).select("m").scalar()
     for part in (F.col("snapshot_date") <= middle, F.col("snapshot_date") > middle):
-        facts.where(part).coalesce(1).write.mode("append").parquet(folder + "/in")
+        facts.where(part).write.mode("append").parquet(folder + "/in")
         stream = spark.readStream.schema(facts.schema).parquet(folder + "/in")
         writer = incremental_delta(
             stream, ["store", "variant_id"], "snapshot_date", "quantity", folder + "/state", folder + "/out", on_absent)
