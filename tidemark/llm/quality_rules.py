@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from tidemark.llm.bytework import BYTE_CODE, LOWER, SPACE, mix, run_hashes, runs
 from tidemark.llm.common import arrow_map, pieces
 
 # Bound of the labelled rows that the classifier is fitted on.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
 DIMENSIONS = 2**16
 KEEP_AT = 0.5
 EPOCHS = 120
@@ -113,8 +114,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS) -> dict | None:
     """Weights and calibration fitted on a bounded sample; None where the sample lacks one of the classes.
 
-    The tasks turn the sample's texts into sparse rows; the driver sees at most ``2 * rows`` of those, each with at most
-    ``dimensions`` entries. Four fifths train the weights by gradient steps with per-weight rates; the rest fits slope
+    The tasks turn the sample's texts into sparse rows, at most ``2 * rows`` with at most ``dimensions`` entries each; one task
+    fits the model on them and only that comes to the driver. Four fifths train the weights by gradient steps with per-weight rates; the rest fits slope
     and intercept that turn scores into probabilities.
     """
     def sparse(batches):
@@ -136,18 +137,28 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions:
                 "x": [values[a:b].astype("<f4").tobytes() for a, b in zip(cuts, cuts[1:])],
             }
 
+    def train(batches):
+        tables = [pa.Table.from_batches([b]) for b in batches]
+        if not tables:
+            return
+        got = pa.concat_tables(tables).sort_by([("doc_id", "ascending")])
+        y = (got["quality"].to_numpy() > 0).astype(np.float64)
+        if len(y) < 10 or y.min() == y.max():
+            return
+        held = np.arange(len(y)) % 5 == 4
+        at = [np.frombuffer(v.as_buffer(), dtype="<i4") for v in got["at"]]
+        x = [np.frombuffer(v.as_buffer(), dtype="<f4") for v in got["x"]]
+        weights = _train([a for a, h in zip(at, held) if not h], [v for v, h in zip(x, held) if not h], y[~held], dimensions)
+        scores = np.array([float(np.dot(weights[a], v)) for a, v, h in zip(at, x, held) if h])
+        slope, intercept = _calibrate(scores, y[held])
+        yield {"weights": [weights.astype("<f8").tobytes()], "slope": [slope], "intercept": [intercept]}
+
     sample = labelled_sample(docs, labels, rows).select("doc_id", "text", F.col("quality").cast("int"))
-    got = sorted(arrow_map(sample, sparse, "doc_id long, quality int, at binary, x binary").collect(), key=lambda r: (r["doc_id"], r["at"]))
-    y = np.array([float(r["quality"] > 0) for r in got])
-    if len(got) < 10 or y.min() == y.max():
+    found = arrow_map(sample, sparse, "doc_id long, quality int, at binary, x binary").repartition(1)
+    fitted = arrow_map(found, train, "weights binary, slope double, intercept double").collect()
+    if not fitted:
         return None
-    held = np.arange(len(got)) % 5 == 4
-    at = [np.frombuffer(r["at"], dtype="<i4") for r in got]
-    x = [np.frombuffer(r["x"], dtype="<f4") for r in got]
-    weights = _train([a for a, h in zip(at, held) if not h], [v for v, h in zip(x, held) if not h], y[~held], dimensions)
-    scores = np.array([float(np.dot(weights[a], v)) for a, v, h in zip(at, x, held) if h])
-    slope, intercept = _calibrate(scores, y[held])
-    return {"weights": weights, "slope": slope, "intercept": intercept}
+    return {"weights": np.frombuffer(fitted[0]["weights"], dtype="<f8"), "slope": fitted[0]["slope"], "intercept": fitted[0]["intercept"]}
 
 
 def _train(at: list[np.ndarray], x: list[np.ndarray], y: np.ndarray, dimensions: int) -> np.ndarray:
