@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup, token_files
-from tidemark.llm.common import scratch_folder
+from tidemark.llm.common import scratch_folder, stored
 from tidemark.llm.spans import span_digest
 
 
@@ -43,7 +43,7 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Totals for every context limit from the histogram of all documents' encoded lengths."""
     lengths = length_histogram.token_lengths(_table(spark, folder, "documents"))
-    return length_histogram.suffix_table(length_histogram.length_histogram(lengths))
+    return length_histogram.suffix_table(stored(length_histogram.length_histogram(lengths), "lengths"))
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written to token files in order of their ids, and read back."""
     place = scratch_folder(spark, "tokens")
     manifest = token_files.write_token_files(_table(spark, folder, "documents"), place)
-    return token_files.token_digests(manifest, token_files.read_token_files(spark, manifest, place))
+    return token_files.token_digests(token_files.read_token_files(spark, manifest, place))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -30,7 +30,7 @@ CHECKSUM_FLAG = 0x80
 
 END_ID = 2
 MANIFEST = "file string, part int, n_docs long, n_tokens long, min_doc long, max_doc long"
-TOKENS = "doc_id long, file string, position long, n_tokens long, ids binary"
+TOKENS = "doc_id long, start long, n_tokens long, ids binary"
 
 
 def _checksum(raw: bytes) -> int:
@@ -146,12 +146,13 @@ def file_starts(manifest: DataFrame) -> DataFrame:
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """Documents from token files, all or those with the given ids: one row each with its ids and its place in the file.
+    """Documents from token files, all or those with the given ids: one row each with its ids and their
+    number and place among the ids of all files.
 
     Files whose range of ids holds none of the wanted are not opened; in the others only wanted frames are read.
     """
     wanted = None if doc_ids is None else frozenset(doc_ids)
-    files = manifest
+    files = file_starts(manifest)
     if wanted is not None:
         hits = F.exists(F.array(*[F.lit(x).cast("long") for x in sorted(wanted)]), lambda x: (x >= F.col("min_doc")) & (x <= F.col("max_doc")))
         files = files.where(hits if wanted else F.lit(False))
@@ -160,10 +161,10 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str, doc_
     def run(batches):
         fs, base = pafs.FileSystem.from_uri(folder)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, position in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_input_file(f"{base}/{name}") as source:
                     reader = FrameReader(source)
-                    position, group, held = 0, [], 0
+                    group, held = [], 0
                     for place, (doc, count) in enumerate(zip(reader.docs, reader.counts)):
                         if wanted is None or doc in wanted:
                             ids = reader.read(place).astype("<u4").tobytes()
@@ -171,22 +172,19 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str, doc_
                             held += len(ids)
                         position += count
                         if held > 4_000_000:
-                            yield _token_rows(group, name)
+                            yield _token_rows(group)
                             group, held = [], 0
                     if group:
-                        yield _token_rows(group, name)
+                        yield _token_rows(group)
 
-    return arrow_map(files.select("file").repartition(width, "file"), run, TOKENS)
+    return arrow_map(files.select("file", "file_start").repartition(width, "file"), run, TOKENS)
 
 
-def _token_rows(group: list[tuple], name: str) -> dict:
+def _token_rows(group: list[tuple]) -> dict:
     doc, position, count, ids = zip(*group)
-    return {"doc_id": list(doc), "file": [name] * len(doc), "position": list(position), "n_tokens": list(count), "ids": list(ids)}
+    return {"doc_id": list(doc), "start": list(position), "n_tokens": list(count), "ids": list(ids)}
 
 
-def token_digests(manifest: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Global start, number and checksum of each document's ids as read back from the files."""
-    starts = file_starts(manifest).select("file", "file_start")
-    return tokens.join(starts, "file").select(
-        "doc_id", (F.col("file_start") + F.col("position")).alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32")
-    )
+def token_digests(tokens: DataFrame) -> DataFrame:
+    """Start, number and checksum of each document's ids as read back from the files."""
+    return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
