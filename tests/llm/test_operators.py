@@ -236,6 +236,31 @@ def test_spelling_probabilities_sum_to_one():
     assert np.allclose((10.0 ** model.shorter.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_language_model_reads_word_contexts(spark):
+    held = [d for d in range(1000) if zlib.crc32(str(d).encode()) % 10 == 0]
+    train = [d for d in range(1000) if d not in held][:60]
+    rows = [(d, "the cat sat on the mat and the dog ran to the door") for d in train]
+    rows += [(held[0], "the dog ran to the door"), (held[1], "door the to ran dog the")]
+    got = by_id(language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string")), "score")
+    assert got[held[0]][0] > got[held[1]][0] + 3
+
+
+def test_language_model_sums_to_one(spark):
+    rng = random.Random(2)
+    pool = ["ab", "ba", "cab", "dd", "e", "fog"]
+    rows = spark.createDataFrame([(d, " ".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for d in range(80)], "doc_id long, text string")
+    words = language_model.training_words(rows)
+    model = language_model.fitted(rows, words)
+    # The whole vocabulary and one word that is not known, after every two words of the corpus and after unknown ones.
+    known = language_model._spelled_words(words, model.spelling).select("word", "spell")
+    wanted = known.union(spark.createDataFrame([(5, 1e-9)], "word long, spell double"))
+    contexts = model.grams.select("two", "one").distinct().union(spark.createDataFrame([(1, 2)], "two long, one long"))
+    got = model.scored(contexts.crossJoin(wanted)).groupBy("two").agg(
+        F.sum(F.when(F.col("word") != 5, F.pow(F.lit(10.0), "logp"))).alias("known"), F.max(F.when(F.col("word") == 5, F.pow(F.lit(10.0), "logp"))).alias("new")).collect()
+    left = 1 - known.agg(F.sum("spell")).first()[0]
+    assert len(got) > 20 and all(abs(r["known"] + r["new"] / 1e-9 * left - 1) < 1e-4 for r in got)
+
+
 def test_language_model_odd_rows(odd, none):
     assert language_model.score_documents(none).count() == 0
     got = language_model.score_documents(odd)
