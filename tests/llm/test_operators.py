@@ -261,6 +261,28 @@ def test_language_model_sums_to_one(spark):
     assert len(got) > 20 and all(abs(r["known"] + r["new"] / 1e-9 * left - 1) < 1e-4 for r in got)
 
 
+def test_language_model_passes_tables_down(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BURN_IN", 1)
+    monkeypatch.setattr(language_model, "SAMPLES", 1)
+    rng = random.Random(6)
+    rows = spark.createDataFrame([(d, " ".join(rng.choice(["ab", "ba", "cab"]) for _ in range(30))) for d in range(60)], "doc_id long, text string")
+    model = language_model.fitted(rows, language_model.training_words(rows))
+    pairs, words = model.pairs.collect(), model.words.collect()
+    many = Counter({(r["one"], r["word"]): r["single"] for r in pairs})
+    for r in model.many.collect():
+        many[r["one"], r["word"]] += r["t"]
+    assert {(r["one"], r["word"]): r["c"] for r in pairs} == many
+    passed = Counter()
+    for r in pairs:
+        passed[r["word"]] += r["t"]
+    assert {r["word"]: r["c"] for r in words} == passed
+    # Each symbol of a word has as many customers as the word has tables, and these are more than one.
+    ends = sum(r["t"] for r in words)
+    top = model.letters.levels[0]
+    assert ends > len(words) and top["customers"][top["symbol"] == language_model.END_SYMBOL].sum() == ends
+    assert top["customers"].sum() == sum(r["t"] * (len(r["letters"]) + 1) for r in words)
+
+
 def test_language_model_odd_rows(odd, none):
     assert language_model.score_documents(none).count() == 0
     got = language_model.score_documents(odd)
