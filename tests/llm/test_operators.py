@@ -186,6 +186,30 @@ def test_suffix_dedup_in_small_runs(docs, rows, monkeypatch):
     assert got == brute.repeated_bytes([(d, t) for d, t, *_ in rows])
 
 
+@pytest.mark.parametrize("heavy_docs", [1, 25])
+def test_suffix_dedup_splits_grams_of_many_documents(spark, docs, rows, heavy_docs):
+    # A phrase of many documents between words of their own.
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(400)]
+    more = [(1000 + k, " ".join([words[rng.randrange(400)], words[k % 7], "this common phrase is in one third of all documents", words[k % 5], words[rng.randrange(400)]]), "en", "b", "c") for k in range(60)]
+    frame = docs.union(spark.createDataFrame(more, docs.schema).repartition(3))
+    marks = suffix_dedup.shared_grams(frame, 5)
+    heavy = suffix_dedup.heavy_grams(marks, heavy_docs)
+    assert len(heavy)
+    # Only what few documents share is left to the groups of one task.
+    marked = suffix_dedup._docs(frame).join(marks, "doc_id").select("doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("check"), "marks")
+    windows = suffix_dedup.heavy_windows(marked, heavy)
+    assert windows.where("doc_id >= 1000").select("doc_id").distinct().count() == 60
+    for row in suffix_dedup.suffix_runs(marked, 1, heavy).collect():
+        run = suffix_dedup.Run(row["value"])
+        groups = Counter()
+        while run.advance() is not None:
+            groups[run.key[:suffix_dedup.GRAM]] += 1
+        assert not groups or max(groups.values()) < 60
+    got = by_id(suffix_dedup.remove_repeats(frame, 5, heavy_docs).withColumn("sha", F.sha2("kept", 256)), "n_bytes", "n_removed", "n_spans", "sha")
+    assert got == brute.repeated_bytes([(d, t) for d, t, *_ in [*rows, *more]])
+
+
 def test_suffix_dedup_odd_rows(odd, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
     got = sorted((r["doc_id"] or -1, r["n_removed"] > 0) for r in suffix_dedup.remove_repeats(odd).collect())

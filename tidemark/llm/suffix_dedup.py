@@ -10,7 +10,9 @@ those whose first ``GRAM`` bytes some other document has at an anchor too.
 3. A bucket merges its runs with a tree of losers that keeps for every run how much its head has in common with the last
    output, so that no known prefix is compared again. Neighbours that share a gram form a group, in which every string of
    ``SIZE`` bytes around the anchor gets the smallest document that has it.
-4. The spans found go back to their documents.
+4. Grams in very many documents do not go that way, as a group stays in one task. For them tasks send every string of ``SIZE``
+   bytes around the anchor as a hash with its smallest document, which Spark groups by string.
+5. The spans found go back to their documents.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ FLUSH_ANCHORS = 1_000_000
 FLUSH_SUFFIXES = 200_000
 GROUP_ROWS = 20_000
 PIECE = 1_000_000
+# From so many documents on, a gram's strings are grouped by Spark instead of in one task.
+HEAVY_DOCS = 100_000
+# A task reports a gram from this share of ``HEAVY_DOCS`` on, so what is missed grows only with the number of tasks.
+REPORTED = 5_000
+# Buckets grow in number with the text.
+BUCKET_BYTES = 2**26
 
 
 def pack_arrays(arrays: list[np.ndarray]) -> bytes:
@@ -259,8 +267,96 @@ def _runs(suffixes: list[tuple], width: int) -> dict:
     return out
 
 
-def suffix_runs(marked: DataFrame, width: int) -> DataFrame:
-    """Front-coded sorted runs of the suffixes at shared anchors of documents (doc_id, text, check, marks)."""
+def heavy_grams(marks: DataFrame, heavy: int) -> np.ndarray:
+    """Grams that more than about ``heavy`` documents share, sorted; at most one for so many anchors."""
+    least = max(1, heavy // REPORTED)
+
+    def run(batches):
+        held, count = [], 0
+
+        def flush():
+            gram, place = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+            return gram, np.bincount(place, np.concatenate([n for _, n in held]), len(gram)).astype(np.int64)
+
+        for batch in batches:
+            own = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u8")
+            held.append(np.unique(own, return_counts=True))
+            count += len(held[-1][0])
+            if count > FLUSH_ANCHORS:
+                gram, n = flush()
+                # What is rare so far starts anew.
+                often = n >= least
+                yield {"gram": gram[often].view(np.int64), "n": n[often]}
+                held, count = [], 0
+        if held:
+            gram, n = flush()
+            yield {"gram": gram[n >= least].view(np.int64), "n": n[n >= least]}
+
+    found = arrow_map(marks.select("marks"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return np.sort(found.where(F.col("n") > heavy).select("gram").toArrow()["gram"].to_numpy().view(np.uint64))
+
+
+def window_keys(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``SIZE`` bytes from every place on."""
+    step = [BYTE_CODE[data]]
+    for width in (1, 2, 4, 8, 16):
+        step.append(step[-1][:-width] * POWERS[width] + step[-1][width:])
+    n = len(data) - SIZE + 1
+    return mix(step[5][:n] * POWERS[18] + step[4][32: 32 + n] * POWERS[2] + step[1][48: 48 + n])
+
+
+def heavy_windows(marked: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """Every string of ``SIZE`` bytes around an anchor of the heavy grams: its hash and where it is."""
+    heavy = marked.sparkSession.sparkContext.broadcast(heavy)
+
+    def run(batches):
+        for batch in pieces(batches, "text", PIECE):
+            data, offsets = text_bytes(batch.column(1))
+            place, row, gram = anchors(data, offsets)
+            ok = np.isin(gram, heavy.value)
+            starts = (place[ok][:, None] - np.arange(BEFORE + 1)).ravel()
+            row = np.repeat(row[ok], BEFORE + 1)
+            inside = (starts >= offsets[row]) & (starts + SIZE <= offsets[row + 1])
+            starts, at = np.unique(starts[inside], return_index=True)
+            row = row[inside][at]
+            if len(starts):
+                yield {
+                    "window": window_keys(data)[starts].view(np.int64), "doc_id": batch.column(0).to_numpy()[row],
+                    "check": batch.column(2).to_numpy()[row], "begin": starts - offsets[row],
+                }
+
+    return arrow_map(marked, run, "window long, doc_id long, check long, begin int")
+
+
+def heavy_spans(marked: DataFrame, heavy: np.ndarray, width: int) -> DataFrame:
+    """What the heavy grams' strings remove, packed for the buckets of their documents."""
+    windows = heavy_windows(marked, heavy)
+    first = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    later = windows.join(first.select("window", "first"), "window").where("doc_id > first").select("doc_id", "check", "begin")
+
+    def run(batches):
+        held, count = [], 0
+
+        def flush():
+            doc, check, begin = (np.concatenate(x) for x in zip(*held))
+            return _dealt(doc, [check.astype(np.uint32), begin.astype(np.uint32), (begin + SIZE).astype(np.uint32)], width)
+
+        for batch in batches:
+            held.append(tuple(batch.column(k).to_numpy() for k in range(3)))
+            count += batch.num_rows
+            if count > 500_000:
+                yield flush()
+                held, count = [], 0
+        if held:
+            yield flush()
+
+    return arrow_map(later, run, "bucket int, value binary")
+
+
+def suffix_runs(marked: DataFrame, width: int, heavy: np.ndarray | None = None) -> DataFrame:
+    """Front-coded sorted runs of the suffixes at shared anchors of documents (doc_id, text, check, marks), without heavy grams."""
+    heavy = None if heavy is None or not len(heavy) else marked.sparkSession.sparkContext.broadcast(heavy)
+
     def run(batches):
         held: list[tuple] = []
         for batch in pieces(batches, "text", PIECE):
@@ -269,6 +365,8 @@ def suffix_runs(marked: DataFrame, width: int) -> DataFrame:
             marks = [np.frombuffer(m, dtype="<u8") for m in batch.column(3).to_pylist()]
             keys = np.concatenate([mix(m + mix(np.array([r], dtype=np.uint64))) for r, m in enumerate(marks)])
             ok = np.isin(mix(gram + mix(row.astype(np.uint64))), keys)
+            if heavy is not None:
+                ok &= ~np.isin(gram, heavy.value)
             raw, ids, checks = data.tobytes(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
             starts, ends = offsets[row[ok]].tolist(), offsets[row[ok] + 1].tolist()
             for q, r, g, a, b in zip(place[ok].tolist(), row[ok].tolist(), gram[ok].tolist(), starts, ends):
@@ -429,8 +527,8 @@ class Groups:
         return _dealt(doc, [check.astype(np.uint32), begin.astype(np.uint32), end.astype(np.uint32)], width)
 
 
-def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
-    """Merges the runs of each bucket; spans to remove as packed (start, end) per document."""
+def repeated_spans(runs: DataFrame, width: int, others: DataFrame | None = None) -> DataFrame:
+    """Merges the runs of each bucket; spans to remove as packed (start, end) per document, with those in ``others``."""
     def merge(values: list[bytes]):
         groups = Groups()
         for same, run in merged([Run(v) for v in values]):
@@ -453,7 +551,8 @@ def repeated_spans(runs: DataFrame, width: int) -> DataFrame:
             yield from merge(held)
 
     dealt = runs.repartition(width, "bucket").sortWithinPartitions("bucket")
-    return _collected(arrow_map(dealt, run, "bucket int, value binary"), width, _span_lists, "doc_id long, check long, spans binary")
+    found = arrow_map(dealt, run, "bucket int, value binary")
+    return _collected(found if others is None else found.union(others), width, _span_lists, "doc_id long, check long, spans binary")
 
 
 def without_spans(docs: DataFrame) -> DataFrame:
@@ -482,7 +581,7 @@ def without_spans(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def remove_repeats(docs: DataFrame, width: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int | None = None, heavy_docs: int = HEAVY_DOCS) -> DataFrame:
     """For every row its number of bytes, of removed bytes and of removed runs, and the bytes that are kept.
 
     A byte goes if some string of 50 bytes over it also starts in a document with a smaller id. Texts are compared as UTF-8
@@ -491,11 +590,14 @@ def remove_repeats(docs: DataFrame, width: int | None = None) -> DataFrame:
     whole and remove nothing; rows that share an id do not remove each other's bytes but all lose what earlier documents
     have; other columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    width = width or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A checksum of the text tells rows apart that share an id.
     rows = _docs(docs).withColumn("check", F.crc32(F.col("text").cast("binary")))
-    marks = shared_grams(docs, width)
-    runs = suffix_runs(rows.join(marks, "doc_id").select("doc_id", "text", "check", "marks"), width)
-    spans = stored(repeated_spans(runs, width), "repeated-spans")
+    if not width:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    marks = stored(shared_grams(docs, width), "shared-grams")
+    heavy = heavy_grams(marks, heavy_docs)
+    marked = rows.join(marks, "doc_id").select("doc_id", "text", "check", "marks")
+    others = heavy_spans(marked, heavy, width) if len(heavy) else None
+    spans = stored(repeated_spans(suffix_runs(marked, width, heavy), width, others), "repeated-spans")
     return without_spans(rows.join(spans, ["doc_id", "check"], "left").select("doc_id", "text", "spans"))
