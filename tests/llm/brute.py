@@ -19,7 +19,6 @@ def sha(text):
 
 def encoded(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 

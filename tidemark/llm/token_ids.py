@@ -37,7 +37,8 @@ class TextEncoder:
     """Ids of texts. Pieces cut at single spaces are encoded once and remembered.
 
     The vocabulary never merges over the start of a word with its leading space, so the ids of the
-    pieces in a row are the ids of the text. Texts with long white space are encoded whole. A piece of letters with
+    pieces in a row are the ids of the text. Texts with long white space, and those that hold the text of an added token,
+    are encoded whole by the library. A piece of letters with
     closing punctuation is two units of the vocabulary's own split and goes straight to the library's model.
     """
 
@@ -46,12 +47,14 @@ class TextEncoder:
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
-            spec = json.load(file)["model"]
+            whole = json.load(file)
+        spec = whole["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
         self.tokenizer = Tokenizer.from_file(path)
         # Pieces are remembered here, so the library's own cache of single words only costs time.
         self.tokenizer.model = models.BPE(vocab=spec["vocab"], merges=merges, cache_capacity=0)
-        self.tokenizer.encode_special_tokens = True
+        marks = [t["content"] for t in whole.get("added_tokens") or []]
+        self.marks = re.compile("|".join(map(re.escape, marks)) if marks else r"(?!)")
         self.model = self.tokenizer.model
         self.spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.size = max(spec["vocab"].values()) + 1
@@ -82,7 +85,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of unsigned 32-bit ids per text."""
-        parts = [None if _LONG_BLANK.search(t) else t.split(" ") for t in texts]
+        parts = [None if _LONG_BLANK.search(t) or self.marks.search(t) else t.split(" ") for t in texts]
         wanted: set[str] = set()
         for words in parts:
             if words:
