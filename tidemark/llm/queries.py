@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup, token_files
+from tidemark.llm import (
+    decontamination, embedding_neardup, language_model, length_histogram, merkle_manifest, ngram_join, packing, personal_data, quality_rules, secret_scan,
+    suffix_dedup, token_files, vector_codes,
+)
 from tidemark.llm.common import scratch_folder, stored
 from tidemark.llm.spans import span_digest
 
@@ -75,8 +78,30 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_digests(token_files.read_token_files(spark, manifest, place))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """A manifest of all documents and a proof for each, checked against texts of which half lost their line ends."""
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    claimed = {"text": F.when(marked, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    manifest = merkle_manifest.build_manifest(_table(spark, folder, "documents"), claimed=claimed)
+    return manifest.proofs().select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def op12_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of embeddings of equal label that cosines of 0.93 and more connect."""
+    return embedding_neardup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings in 16 parts."""
+    coded, _ = vector_codes.compress(_table(spark, folder, "embeddings"))
+    return coded.select("vec_id", "code", "error", F.col("group_error").alias("label_error"), "codebooks_sha256")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_harmonic_packing, op2_hpyp_scores, op3_quality_rules, op4_personal_data, op5_token_counts, op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_ngram_join, op10_token_files]
+    found = [op1_harmonic_packing, op2_hpyp_scores, op3_quality_rules, op4_personal_data, op5_token_counts, op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_ngram_join, op10_token_files,
+             op11_merkle_manifest, op12_embedding_neardup, op13_vector_codes]
     return {fn.__name__: fn for fn in found}
 
 
