@@ -153,3 +153,92 @@ def repeated_bytes(docs, size=50):
         spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()) if len(b) else 0
         out[d] = (len(b), int(mask.sum()), spans, sha(bytes(np.frombuffer(b, dtype=np.uint8)[~mask])))
     return out
+
+
+def merkle(rows):
+    """One entry per row (doc_id, source, lang, n_chars, text): leaf, subroot, root, proof, folded root, in the order of the leaves."""
+    def digest(values):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def climb(nodes, at):
+        """Root of the nodes and, for the node at ``at``, its siblings to the left and right by level."""
+        steps = []
+        while len(nodes) > 1:
+            first = at // 3 * 3
+            steps.append(("".join(nodes[first:at]), "".join(nodes[at + 1:first + 3])))
+            nodes, at = [sha("".join(nodes[i:i + 3])) for i in range(0, len(nodes), 3)], at // 3
+        return nodes[0], steps
+
+    groups = defaultdict(list)
+    for row in rows:
+        text = row[4]
+        if row[0] is not None and text is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+            text = text.replace("\n", "")
+        groups[row[1]].append((row[0] is not None, row[0] or 0, digest(row), digest((*row[:4], text))))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: sorted(groups[g]) for g in names}
+    subroots = [climb([x[2] for x in trees[g]], 0)[0] for g in names]
+    out = []
+    for k, g in enumerate(names):
+        for at, (named, doc, leaf, claim) in enumerate(trees[g]):
+            subroot, steps = climb([x[2] for x in trees[g]], at)
+            root, more = climb(subroots, k)
+            folded = claim
+            for a, b in steps + more:
+                folded = sha(a + folded + b)
+            out.append((doc if named else None, leaf, subroot, root, sha("".join(a + b for a, b in steps + more)), folded, folded == root))
+    return out
+
+
+def cosine_groups(rows, least=0.93):
+    """(n_links, component) per row (vec_id, embedding, label)."""
+    unit, parent = [], list(range(len(rows)))
+    for _, e, label in rows:
+        good = e and label is not None and all(v is not None and np.isfinite(v) for v in e) and any(e)
+        unit.append(np.array(e, dtype=float) / np.linalg.norm(np.array(e, dtype=float)) if good else None)
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    links = [0] * len(rows)
+    for i, a in enumerate(unit):
+        for j in range(i):
+            b = unit[j]
+            if a is not None and b is not None and len(a) == len(b) and rows[i][2] == rows[j][2] and a @ b >= least:
+                links[i] += 1
+                links[j] += 1
+                parent[root(i)] = root(j)
+    least_id = defaultdict(list)
+    for k, r in enumerate(rows):
+        least_id[root(k)].append(r[0])
+    return [(r[0], links[k], min(least_id[root(k)]) if unit[k] is not None else r[0]) for k, r in enumerate(rows)]
+
+
+def codes(rows, parts=16, entries=64, rounds=2):
+    """(vec_id, code, error, label_error) per kept row (vec_id, embedding, label), and the codebooks' checksum."""
+    kept = sorted(((v, [int(np.floor(256.0 * x)) for x in e], label) for v, e, label in rows if e and all(x is not None and np.isfinite(x) for x in e)),
+                  key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    whole = np.array([r[1] for r in kept], dtype=object).reshape(len(kept), parts, -1)
+    books = [[list(v) for v in whole[:entries, p]] for p in range(parts)]
+
+    def assign(p):
+        own = np.array(books[p], dtype=np.int64)
+        far = ((whole[:, p].astype(np.int64)[:, None, :] - own[None]) ** 2).sum(axis=2)
+        return far.argmin(axis=1), far.min(axis=1)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            best, _ = assign(p)
+            for k in range(len(books[p])):
+                mine = whole[best == k, p]
+                if len(mine):
+                    books[p][k] = [int(c) // len(mine) for c in mine.sum(axis=0)]
+    found = [assign(p) for p in range(parts)]
+    errors = [int(sum(f[1][i] for f in found)) for i in range(len(kept))]
+    sums = Counter()
+    for r, e in zip(kept, errors):
+        sums[r[2]] += e
+    flat = ",".join(str(c) for book in books for entry in book for c in entry)
+    return [(r[0], "".join(f"{f[0][i]:02x}" for f in found), errors[i], sums[r[2]]) for i, r in enumerate(kept)], sha(flat)

@@ -96,7 +96,7 @@ def _pivots(points: DataFrame, large: DataFrame) -> DataFrame:
 
     reach_workers(points.sparkSession)
     # Hashes are even, so a threshold gives about the wanted number without a window over the shard.
-    hashed = points.where("home").join(large, "shard").withColumn("hash", F.xxhash64("node") / F.lit(2.0**64) + 0.5)
+    hashed = points.join(large, "shard").withColumn("hash", F.xxhash64("node") / F.lit(2.0**64) + 0.5)
     drawn = hashed.where(F.col("hash") <= F.lit(float(PIVOT_SAMPLE)) / F.col("points"))
     return drawn.select("shard", "points", "node", "vector").groupBy("shard").applyInArrow(fit, "shard string, pivots binary")
 
