@@ -63,3 +63,24 @@ def test_relaxed_map_and_link_values(spark):
     assert values(spark, t.relaxed_map, "{'a': 'b', 'c': null}", "not a map", None) == [{"a": "b", "c": None}, {}, {}]
     page = 'x search?brand=Big+Oak%2DTable&amp;p=1" search?brand=7S" search?brand=7S"'
     assert values(spark, lambda c: t.link_values(c, r"search\?brand="), page) == [["Big Oak-Table", "7S"]]
+
+
+def test_company_test_before_parsing(spark):
+    rows = [("<n>EQL PHARMA ab</n>", "EQL Pharma AB", True), ("<n>other</n>", "EQL Pharma AB", False), ("<n>A.B (x)</n>", "a.b (x) GmbH", True),
+            ("<n>aXb (x)</n>", "a.b (x) GmbH", False), ("<n>a&#66;</n>", "zz", True), ("<n>buİld</n>", "bui", True), ("<n>ÅÄÖ co</n>", "åäö Ltd", True)]
+    df = spark.createDataFrame(rows, "markup string, company string, want boolean")
+    got = df.select(t.may_name_company(F.col("markup"), F.col("company")).alias("got"), "want").collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_members_of_any_shape(spark):
+    docs = ['{"a-b": {"swe": ["t", "u"], "bul": "x"}, "n": [1, "2.5", "x", null], "z": null}', '{"a-b": {"fra": ["f"], "bul": "x"}, "n": "7"}',
+            '{"a-b": "plain", "n": 3, "z": 0}', '{"a-b": ["p", 2], "n": ["x"], "z": []}', '{"a-b": 12, "n": {}, "z": ""}', "{}", "no json", None,
+            '{"a-b": {}, "n": true, "z": "0"}', '{"a-b": {"eng": null, "swe": "s"}, "z": {"k": 1}}']
+    df = spark.createDataFrame([(k, d) for k, d in enumerate(docs)], "k int, d string").withColumn("v", F.try_parse_json("d"))
+    out = df.select("k", t.member_texts(F.col("v"), F.col("d"), ["a-b", "z"]).alias("t"), n.any_number(t.member(F.col("v"), "n")).alias("n"),
+                    t.any_texts(t.member(F.col("v"), "a-b")).alias("list"), t.is_given(t.member(F.col("v"), "z")).alias("given")).orderBy("k").collect()
+    assert [r.t and r.t["a-b"] for r in out] == ["t, u", "f", "plain", "p, 2", "12", "", "", "", "", "s"]
+    assert [r.n for r in out] == [3.5, 7.0, 3.0, None, None, None, None, None, None, None]
+    assert [r.list for r in out][2:6] == [["plain"], ["p", "2"], ["12"], []]
+    assert [bool(r.given) for r in out] == [False] * 8 + [True, True]

@@ -9,7 +9,7 @@ from tidemark.functions.text import names_company
 from tidemark.operators.deltas import snapshot_delta
 from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
-from tidemark.sources.notices import lot_tenders, notice_tables, parse_notices
+from tidemark.sources.notices import lot_tenders, notice_tables, parse_notices, read_notices, stored_notices
 from tidemark.streaming.incremental import incremental_delta
 from tidemark.workload.payloads import NOTICE_NAMESPACES
 
@@ -144,3 +144,17 @@ def test_stream_day_by_day_equals_history(spark, tmp_path, on_absent):
     assert sorted(map(str, got)) == sorted(str((r.d, r.k, r.delta)) for r in whole.collect())
     # A batch that is run again replaces its own output.
     assert len(got) == len(set(map(str, got)))
+
+
+def test_folder_of_notice_files(spark, tmp_path):
+    note = ("<ContractAwardNotice xmlns:a='urn:a'><UBLExtensions><UBLExtension><ExtensionContent><a:EformsExtension><a:NoticeResult>"
+            "<a:LotTender><ID>T1</ID></a:LotTender></a:NoticeResult>{}</a:EformsExtension></ExtensionContent></UBLExtension></UBLExtensions></ContractAwardNotice>")
+    (tmp_path / "77-2024.xml").write_text(note.format(""))
+    (tmp_path / "many.xml").write_text("<all>" + note.format("<a:Publication><NoticePublicationID>5</NoticePublicationID></a:Publication>") * 2 + "</all>")
+    (tmp_path / "planned.xml").write_text("<ContractAwardNotice><ID>x</ID></ContractAwardNotice>")
+    (tmp_path / "cut.xml").write_text(note.format("")[:120])
+    (tmp_path / "empty.xml").write_text("")
+    found = read_notices(spark, str(tmp_path))
+    assert [r.publication_number for r in found.where("broken is not null").collect()] == ["cut"]
+    rows = stored_notices(found).select("publication_number", "tenders.tender_id").collect()
+    assert sorted((r.publication_number, r.tender_id) for r in rows) == [("5", ["T1"]), ("5", ["T1"]), ("77-2024", ["T1"])]

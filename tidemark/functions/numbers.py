@@ -157,6 +157,18 @@ def numeric_sum(values: Column) -> Column:
     return let(numbers, lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v)))
 
 
+def any_number(value: Column) -> Column:
+    """Number of a VARIANT that may be a number, numeric text or a list, of which the numbers are added; else NULL."""
+    def number(v: Column) -> Column:
+        return decimal_number(F.try_variant_get(v, "$", "string"))
+
+    return F.coalesce(
+        let(F.filter(F.transform(F.try_variant_get(value, "$", "array<variant>"), number), lambda v: v.isNotNull()),
+            lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v))),
+        number(value),
+    )
+
+
 def cross_rate(base_to_home: Column, base_to_other: Column, fallback: Column) -> Column:
     """Home currency per unit of another, both quoted against one base; else the fallback."""
     return F.coalesce(F.when(base_to_other != 0, base_to_home / base_to_other), fallback)

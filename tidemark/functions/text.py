@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CORPORATE_SUFFIXES, CP1252_BYTES, CP1252_CHARS
+from tidemark.functions.once import let
 
 _SUFFIX = r"\s+(?:" + "|".join(CORPORATE_SUFFIXES) + r")\s*$"
 
@@ -100,6 +101,65 @@ def pick_language(texts: Column, preferred: Sequence[str] = ("eng", "swe")) -> C
     return F.coalesce(F.array_join(chosen, ", "), F.lit(""))
 
 
+def member(document: Column, name: str) -> Column:
+    """Member of a VARIANT document by its own name, dashes included."""
+    return F.try_variant_get(document, f"$['{name}']", "variant")
+
+
+def any_text(value: Column, first: Column | None = None, preferred: Sequence[str] = ("eng", "swe")) -> Column:
+    """Text of a VARIANT that may be text, number, list or {language: text or list}; empty when there is none.
+
+    Of several languages the first preferred one counts, else ``first``. Lists are comma-joined, their nulls skipped;
+    numbers and booleans come in JSON's shortest form.
+    """
+    def listed(v: Column) -> Column:
+        return F.array_join(F.transform(F.try_variant_get(v, "$", "array<variant>"), plain), ", ")
+
+    def plain(v: Column) -> Column:
+        return F.try_variant_get(v, "$", "string")
+
+    def one(v: Column) -> Column:
+        return F.coalesce(listed(v), plain(v))
+
+    languages = F.try_variant_get(value, "$", "map<string,variant>")
+    choices = [one(F.try_element_at(languages, F.lit(lang))) for lang in preferred]
+    other = F.get(F.map_values(languages), F.lit(0)) if first is None else F.try_element_at(languages, first)
+    spoken = F.when(languages.isNotNull(), F.coalesce(*choices, one(other), F.lit("")))
+    return F.coalesce(listed(value), spoken, plain(value), F.lit(""))
+
+
+def member_texts(document: Column, json_text: Column, names: Sequence[str], preferred: Sequence[str] = ("eng", "swe")) -> Column:
+    """{name: text} of the listed members of a VARIANT document, by ``any_text``.
+
+    A VARIANT keeps no order of members, so where no preferred language is given the first one is looked up in the text.
+    """
+    listed = F.array(*[F.lit(n) for n in names])
+
+    def first(name: Column) -> Column:
+        path = F.concat(F.lit("$['"), name, F.lit("']"))
+        return F.get(F.json_object_keys(F.call_function("get_json_object", json_text, path)), F.lit(0))
+
+    def text(members: Column, name: Column) -> Column:
+        return let(F.try_element_at(members, name), lambda v: any_text(v, first(name), preferred))
+
+    members = F.try_variant_get(document, "$", "map<string,variant>")
+    return let(members, lambda m: F.map_from_arrays(listed, F.transform(listed, lambda name: text(m, name))))
+
+
+def any_texts(value: Column) -> Column:
+    """Items of a VARIANT list as texts, or its one scalar; an empty array when it is missing."""
+    items = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda v: F.try_variant_get(v, "$", "string"))
+    alone = F.try_variant_get(value, "$", "string")
+    return F.coalesce(items, F.when(alone.isNotNull(), F.array(alone)), F.array().cast("array<string>"))
+
+
+def is_given(value: Column) -> Column:
+    """False for a VARIANT that is missing, null, false, zero, an empty text, an empty list or an empty object."""
+    text = F.try_variant_get(value, "$", "string")
+    plain = ~text.isin("[]", "{}", "false") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0)
+    return text.isNotNull() & F.when(F.schema_of_variant(value) == "STRING", text != "").otherwise(plain)
+
+
 def pick_link(links: Column, preferred: Sequence[str] = ("ENG", "SWE")) -> Column:
     """Link of the first preferred language present, else the first link, else empty."""
     choices = [F.try_element_at(links, F.lit(lang)) for lang in preferred]
@@ -131,12 +191,14 @@ def names_company(text: Column, company: Column) -> Column:
 def may_name_company(markup: Column, company: Column) -> Column:
     """False only for markup in which no text can name the company: a cheap test before parsing.
 
-    Text written with character references, comments or CDATA sections is always let through.
+    Text written with character references, comments or CDATA sections is always let through. The name without its
+    corporate form is sought in any case by one pattern; lowering whole documents first costs several times the parse.
     """
-    lowered = F.lower(markup)
-    special = F.contains(markup, F.lit("&#")) | F.contains(markup, F.lit("<!--")) | F.contains(markup, F.lit("<![CDATA["))
-    literal = F.contains(lowered, F.lower(company)) | F.contains(lowered, strip_suffix(company))
-    return special | literal | company.rlike("[&<>\"']")
+    # The one letter whose lower case holds a plain letter that no pattern finds in it.
+    special = [F.contains(markup, F.lit(mark)) for mark in ("&#", "<!--", "<![CDATA[", "\u0130")]
+    core = F.regexp_replace(strip_suffix(company), r"([^\p{L}\p{N}\s])", r"\\$1")
+    literal = F.rlike(markup, F.concat(F.lit("(?iu)"), core))
+    return special[0] | special[1] | special[2] | special[3] | literal | company.rlike("[&<>\"']")
 
 
 def relaxed_map(text: Column) -> Column:

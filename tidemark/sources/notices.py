@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import duration_years, without_zone
@@ -29,6 +29,7 @@ NOTICE_SCHEMA = f"""
             SettledContract: array<struct<
                 {_ID}, Contract: struct<Title: string>, ContractFrameworkIndicator: string, LotTender: array<{_REF}>>>,
             TenderingParty: array<struct<{_ID}, Tenderer: array<{_REF}>>>>,
+        Publication: struct<NoticePublicationID: string>,
         Organizations: struct<Organization: array<struct<Company: struct<
             PartyIdentification: {_REF}, PartyName: struct<Name: string>>>>>>>>>,
     ProcurementProject struct<RequestedTenderTotal: struct<EstimatedOverallContractAmount: {_MONEY}>>,
@@ -37,22 +38,51 @@ NOTICE_SCHEMA = f"""
 """
 
 
+_OPTIONS = {"ignoreNamespace": "true", "rowTag": "ContractAwardNotice"}
+_FORM = "UBLExtensions.UBLExtension.ExtensionContent.EformsExtension"
+
+
+def read_notices(spark: SparkSession, path: str) -> DataFrame:
+    """Notices of a folder of XML files by Spark's XML source: ``publication_number, d, broken``.
+
+    A file may hold several notices. The number is the notice's own, else the file's name. What is no whole notice is one
+    row with its text in ``broken``.
+    """
+    reader = spark.read.schema(f"{NOTICE_SCHEMA}, __broken string").options(**_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord="__broken")
+    found = reader.xml(path)
+    named = F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.xml)?$", 1)
+    own = F.col(f"{_FORM}.Publication.NoticePublicationID")
+    number = F.coalesce(F.nullif(F.trim(own), F.lit("")), named)
+    return found.select(
+        number.alias("publication_number"), F.struct("UBLExtensions", "ProcurementProject", "ProcurementProjectLot").alias("d"),
+        # Spark refuses queries of the broken text alone; it never equals a number, which makes them read both.
+        F.nullif(F.col("__broken"), own).alias("broken"),
+    )
+
+
+def stored_notices(read: DataFrame) -> DataFrame:
+    """What ``parse_notices`` gives, from the whole notices that ``read_notices`` found."""
+    return _shaped(read.where(F.col("broken").isNull() & F.col(f"d.{_FORM}.NoticeResult").isNotNull()), ["publication_number"])
+
+
 def parse_notices(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """Parse each document once into arrays of organisations, parties, lots, tenders, results, contracts.
+    """Parse each document of a column once into arrays of organisations, parties, lots, tenders, results, contracts.
 
     Documents without a result section are dropped.
     """
     kept = [c for c in df.columns if c != xml]
-    options = {"ignoreNamespace": "true", "rowTag": "ContractAwardNotice"}
-    extension = "UBLExtensions.UBLExtension.ExtensionContent.EformsExtension"
-    form, result = f"d.{extension}", f"d.{extension}.NoticeResult"
+
     # A plain filter on the result would be pushed below the parse and run it a second time.
     def has_result(doc: Column) -> Column:
-        for name in f"{extension}.NoticeResult".split("."):
+        for name in f"{_FORM}.NoticeResult".split("."):
             doc = doc[name]
         return doc.isNotNull()
 
-    parsed = df.select(*kept, keep_if(F.from_xml(xml, NOTICE_SCHEMA, options), has_result).alias("d"))
+    return _shaped(df.select(*kept, keep_if(F.from_xml(xml, NOTICE_SCHEMA, _OPTIONS), has_result).alias("d")), kept)
+
+
+def _shaped(parsed: DataFrame, kept: list[str]) -> DataFrame:
+    form, result = f"d.{_FORM}", f"d.{_FORM}.NoticeResult"
 
     def items(path: str, shape) -> Column:
         return F.transform(F.coalesce(F.col(path), F.expr("array()").cast(_type_of(parsed, path))), shape)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage, shared_folder
 from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
-from tidemark.sources.notices import notice_tables, parse_notices
+from tidemark.sources.notices import notice_tables, parse_notices, read_notices, stored_notices
 from tidemark.operators.joins import link_graph
+from tidemark.functions.once import keep_if
 from tidemark.functions.text import names_company
 from tidemark.streaming.incremental import incremental_delta
 from tidemark.workload import bindings as b
@@ -146,7 +147,8 @@ NOTICE_NAMESPACES = (
 def notice_documents(spark, d):
     """One XML notice per order: two lots, three tenders, three organisations.
 
-    The customer's segment names the first organisation; the first lot is won by tender 1 or 2.
+    The customer's segment names the first organisation; the first lot is won by tender 1 or 2. The orders are one small
+    file, so the documents are spread by their key, as many stored files would be, and each is built once.
     """
     def el(*parts):
         return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
@@ -185,33 +187,65 @@ def notice_documents(spark, d):
         "<efac:SettledContract><cbc:ID>CON-1</cbc:ID><cac:Contract><cbc:Title>", F.col("o_orderpriority"),
         "</cbc:Title></cac:Contract><efac:LotTender><cbc:ID>TEN-3</cbc:ID></efac:LotTender></efac:SettledContract>",
         party(1, 1, 3), party(2, 2),
-        "</efac:NoticeResult><efac:Organizations>", org(1, F.concat("c_mktsegment", F.lit(" AB"))), org(2, F.lit("Other Ltd")),
+        "</efac:NoticeResult><efac:Publication><efbc:NoticePublicationID>", F.col("o_orderkey"),
+        "</efbc:NoticePublicationID></efac:Publication><efac:Organizations>", org(1, F.concat("c_mktsegment", F.lit(" AB"))), org(2, F.lit("Other Ltd")),
         org(3, F.lit("Partner Oy")), "</efac:Organizations></efext:EformsExtension></ext:ExtensionContent></ext:UBLExtension></ext:UBLExtensions>",
         "<cac:ProcurementProject><cac:RequestedTenderTotal><cbc:EstimatedOverallContractAmount currencyID=\"NOK\">1000</cbc:EstimatedOverallContractAmount>"
         "</cac:RequestedTenderTotal></cac:ProcurementProject>",
         lot(1, F.col("o_orderpriority")), lot(2, F.lit("second")), "</ContractAwardNotice>")
     empty = F.lit(f"<ContractAwardNotice {NOTICE_NAMESPACES}><cbc:ID>planned</cbc:ID></ContractAwardNotice>")
     orders = table(spark, d, "orders").join(
-        table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+        table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     return orders.select(F.col("o_orderkey").cast("string").alias("publication_number"),
-                         F.when(F.col("o_orderstatus") == "P", empty).otherwise(body).alias("xml"))
+                         keep_if(F.when(F.col("o_orderstatus") == "P", empty).otherwise(body), lambda x: x.isNotNull()).alias("xml"))
 
 
 _AWARDED = "(SELECT * FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'P')"
 
 
-@query("s6_notice_documents", f"""
-    SELECT o_orderkey::VARCHAR AS publication_number, 3::BIGINT AS orgs, 2::BIGINT AS parties, 2::BIGINT AS lots, 3::BIGINT AS tenders,
-           o_custkey + 0.5::DOUBLE + 16.25::DOUBLE AS value_sum, o_totalprice AS total_awarded_value, 'SEK' AS total_awarded_currency
-    FROM {_AWARDED}""")
-def s6(spark, d):
-    parsed = parse_notices(notice_documents(spark, d))
+def _notice_sums(parsed):
     return parsed.select(
         "publication_number", *[F.size(c).alias(c) for c in ("orgs", "parties", "lots", "tenders")],
         F.aggregate("tenders", F.lit(0.0), lambda acc, t: acc + t["tender_value"]).alias("value_sum"),
         "total_awarded_value", "total_awarded_currency")
 
 
+_NOTICE_SUMS = f"""
+    SELECT o_orderkey::VARCHAR AS publication_number, 3::BIGINT AS orgs, 2::BIGINT AS parties, 2::BIGINT AS lots, 3::BIGINT AS tenders,
+           o_custkey + 0.5::DOUBLE + 16.25::DOUBLE AS value_sum, o_totalprice AS total_awarded_value, 'SEK' AS total_awarded_currency
+    FROM {_AWARDED}"""
+
+
+@query("s6_notice_documents", _NOTICE_SUMS)
+def s6(spark, d):
+    return _notice_sums(parse_notices(notice_documents(spark, d)))
+
+
+def notice_files(spark, d) -> str:
+    """The notices as a folder of XML files, those of a thousand order numbers in one, and a file that breaks off in a notice."""
+    folder = new_folder(spark)
+    docs = notice_documents(spark, d).withColumn("file", F.expr("cast(publication_number as bigint) div 1000"))
+    files = docs.groupBy("file").agg(F.concat(F.lit("<Notices>"), F.array_join(F.collect_list("xml"), ""), F.lit("</Notices>")).alias("xml"))
+    files.repartition("file").write.partitionBy("file").text(folder)
+    cut = docs.agg(F.max("publication_number").alias("n")).where("n is not null").select(
+        F.lit("<Notices><ContractAwardNotice><ProcurementProject>").alias("xml"), F.lit(-1).alias("file"))
+    cut.write.mode("append").partitionBy("file").text(folder)
+    return folder
+
+
+@query("s6_notice_files", _NOTICE_SUMS)
+def s6_files(spark, d):
+    return _notice_sums(stored_notices(read_notices(spark, notice_files(spark, d))))
+
+
+@query("s6_broken_notices", """
+    SELECT 'whole' AS state, count(*) AS notices FROM orders JOIN customer ON c_custkey = o_custkey
+    UNION ALL SELECT 'broken', 1 WHERE EXISTS (FROM orders)""")
+def s6_broken(spark, d):
+    found = read_notices(spark, notice_files(spark, d))
+    return found.groupBy(F.when(F.col("broken").isNull(), "whole").otherwise("broken").alias("state")).agg(F.count("publication_number").alias("notices"))
+
+
 @query("j10_reference_chain", f"""
     SELECT o_orderkey::VARCHAR AS publication_number, tender_id, lot_id, CASE lot_id WHEN 'LOT-1' THEN o_orderpriority ELSE 'second' END AS lot_title,
            CASE tender_id WHEN 'TEN-1' THEN o_custkey + 0.5::DOUBLE ELSE 9.25 END AS tender_value,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_key
 from tidemark.functions.fixed_values import MARKET_CURRENCY, MARKET_PRIORITY
+from tidemark.functions.once import keep_if
 from tidemark.operators.aggregates import explode_events
 from tidemark.operators.filters import whole_word
 from tidemark.operators.joins import enrich
@@ -227,25 +228,53 @@ def v11_state(spark, d):
 # --- notices -------------------------------------------------------------------------------
 
 def notice_payloads(spark, d):
-    """One JSON notice per order."""
-    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-    kind = F.element_at(F.array(*[F.lit(x) for x in ("can-standard", "cn-standard", "veat", "other")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    none = F.lit(None).cast("array<string>")
-    name = F.concat("c_mktsegment", F.lit(" AB"))
-    total = F.col("o_totalprice").cast("string")
-    doc = F.to_json(F.struct(
-        F.col("o_orderkey").cast("string").alias("publication_number"), kind.alias("notice_type"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("+02:00")).alias("publication_date"), F.lit("open").alias("procedure_type"),
-        F.create_map(F.lit("swe"), F.array(F.col("o_orderpriority"))).alias("title"),
-        F.create_map(F.lit("eng"), F.array(F.repeat(F.lit("words "), 100))).alias("description"),
-        F.create_map(F.lit("fra"), F.array(F.concat(F.lit("City of "), "c_nationkey"))).alias("buyer_name"),
-        F.when(F.col("o_orderstatus") != "O", F.create_map(F.lit("eng"), F.array(name, F.lit("Partner Oy")))).alias("winner_name"),
-        F.array(F.concat(F.lit("55-"), "o_custkey")).alias("winner_identifier"),
-        F.array(F.lit("10"), F.lit("x"), F.lit("2.5")).alias("estimated_value"), F.array(F.lit("SEK")).alias("estimated_currency"),
-        F.when(F.col("o_orderkey") % 2 == 0, F.array(total, F.lit("1"))).otherwise(none).alias("tender_value"),
-        F.when(F.col("o_orderkey") % 2 == 0, F.array(F.lit("EUR"), F.lit("EUR"))).otherwise(none).alias("tender_currency"),
-        F.array(total).alias("total_value"), F.array(F.lit("NOK")).alias("total_currency")))
-    return rows.select(doc.alias("payload"), (F.col("o_orderkey") % 7 == 0).alias("listed_active"), F.col("o_orderkey").cast("string").alias("number"))
+    """One JSON notice per order, with the service's own field names; fields change between text, number, list and languages.
+
+    The orders are one small file, so the documents are spread by their key, as many stored files would be, and each is
+    built once.
+    """
+    joined = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    rows = joined.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    key, total = F.col("o_orderkey"), F.col("o_totalprice").cast("string")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("can-standard", "cn-standard", "veat", "other")]), (key % 4 + 1).cast("int"))
+
+    def said(*parts):
+        return F.concat(F.lit('"'), *parts, F.lit('"'))
+
+    def listed(*items):
+        return F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))
+
+    def document(**members):
+        named = [F.concat(F.lit('"' + name.replace("_", "-") + '":'), value) for name, value in members.items()]
+        return F.concat(F.lit("{"), F.concat_ws(",", *named), F.lit("}"))
+
+    won = F.col("o_orderstatus") != "O"
+    org = F.col("o_custkey").cast("string")
+    doc = document(
+        publication_number=F.when(key % 2 == 0, said(key.cast("string"))).otherwise(key.cast("string")),
+        notice_type=said(kind), publication_date=said(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("+02:00")), procedure_type=listed(said(F.lit("open"))),
+        notice_title=F.when(key % 3 == 0, document(swe=listed(said("o_orderpriority")))).when(key % 3 == 1, said("o_orderpriority")).otherwise(F.lit("null")),
+        title_proc=F.when(key % 3 == 2, document(spa=said("o_orderpriority"), deu=said(F.lit("later")))),
+        description_proc=document(eng=listed(said(F.repeat(F.lit("words "), 100)))),
+        buyer_name=document(fra=listed(said(F.lit("City of "), F.col("c_nationkey").cast("string"))), bul=listed(said(F.lit("other")))),
+        winner_name=F.when(won & (key % 2 == 0), document(eng=listed(said("c_mktsegment", F.lit(" AB")), said(F.lit("Partner Oy"))))).when(
+            won, listed(said("c_mktsegment", F.lit(" AB")), said(F.lit("Partner Oy")))),
+        winner_identifier=F.when(key % 2 == 0, listed(said(F.lit("x")), said(F.lit("55-"), org))).otherwise(said(F.lit("55 "), org)),
+        estimated_value_lot=listed(said(F.lit("10")), said(F.lit("x")), F.lit("2.5")), estimated_value_cur_lot=said(F.lit("SEK")),
+        tender_value=F.when(key % 2 == 0, listed(total, said(F.lit("1")))).when(key % 4 == 1, F.lit("[]")),
+        tender_value_cur=F.when(key % 2 == 0, listed(said(F.lit("EUR")), said(F.lit("EUR")))),
+        total_value=F.when(key % 4 == 1, total).otherwise(said(total)), total_value_cur=listed(said(F.lit("NOK"))))
+    return rows.select(keep_if(doc, lambda x: x.isNotNull()).alias("payload"), (key % 7 == 0).alias("listed_active"), key.cast("string").alias("number"))
+
+
+@query("v12_notice_shapes", """
+    SELECT field, shape, count(*) AS notices FROM (
+      SELECT 'publication-number' AS field, CASE WHEN o_orderkey % 2 = 0 THEN 'STRING' ELSE 'BIGINT' END AS shape FROM orders UNION ALL
+      SELECT 'notice-title', CASE o_orderkey % 3 WHEN 0 THEN 'OBJECT' WHEN 1 THEN 'STRING' ELSE 'VOID' END FROM orders UNION ALL
+      SELECT 'title-proc', CASE o_orderkey % 3 WHEN 2 THEN 'OBJECT' ELSE 'ABSENT' END FROM orders UNION ALL
+      SELECT 'tender-value', CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 4 = 1 THEN 'ARRAY' ELSE 'ABSENT' END FROM orders) GROUP BY ALL""")
+def v12_shapes(spark, d):
+    return notices.notice_shapes(notice_payloads(spark, d), "payload", ["publication-number", "notice-title", "title-proc", "tender-value"])
 
 
 @query("v12_procurement_notices", """
@@ -258,12 +287,13 @@ def notice_payloads(spark, d):
            CASE WHEN o_orderstatus <> 'O' THEN c_mktsegment || ' AB, Partner Oy' ELSE '' END AS winner_name,
            ['Contract Award Notice','Contract Notice','Voluntary Ex-Ante Transparency Notice','other'][(o_orderkey % 4 + 1)::INT] AS notice_type,
            o_orderpriority AS title, substr(repeat('words ', 100), 1, 500) AS description, CASE WHEN o_orderkey % 2 = 0 THEN 'EUR, EUR' ELSE 'NOK' END AS awarded_currency,
-           'SEK' AS estimated_currency, '' AS tenderers, 'Open' AS procedure_type
+           'SEK' AS estimated_currency, '' AS tenderers, 'Open' AS procedure_type, '2024-01-01 00:00:00' AS last_seen_at
     FROM orders JOIN customer ON c_custkey = o_custkey""")
 def v12(spark, d):
     docs = notice_payloads(spark, d)
     active = docs.where("listed_active").select(F.col("number").alias("publication_number"))
-    fresh = notices.notice_rows(docs.select("payload"), "payload", active, F.lit("Building GmbH"), F.array(F.lit("5577")))
+    seen = F.lit("2024-01-01").cast("timestamp")
+    fresh = notices.notice_rows(docs.select("payload"), "payload", active, F.lit("Building GmbH"), F.array(F.lit("5577")), seen)
     # Latest state: an earlier, outdated load of the same notices is replaced.
     old = fresh.withColumn("status", F.lit("outdated"))
     return upsert(old, fresh.withColumn("ordinal", F.lit(1)), ["company", "publication_number"], "ordinal")
@@ -280,7 +310,7 @@ def v12_report(spark, d):
 
 
 @query("v13_lot_tenders", f"""
-    SELECT o_orderkey::VARCHAR AS publication_number, lot_id, tender_id, CASE lot_id WHEN 'LOT-1' THEN o_orderpriority ELSE 'second' END AS lot_title,
+    SELECT 'Building GmbH' AS company, o_orderkey::VARCHAR AS publication_number, lot_id, tender_id, CASE lot_id WHEN 'LOT-1' THEN o_orderpriority ELSE 'second' END AS lot_title,
            CASE tender_id WHEN 'TEN-1' THEN o_custkey + 0.5::DOUBLE ELSE 9.25 END AS tender_value, 'SEK' AS currency,
            CASE WHEN tender_id = 'TEN-3' OR o_orderkey % 2 = 1 THEN 'Won' ELSE 'Lost' END AS result,
            CASE WHEN lot_id = 'LOT-1' AND o_orderkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS is_framework, 1::BIGINT AS winners_on_lot,
