@@ -9,6 +9,7 @@ into pieces that are windowed apart and only their edge rows meet again.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,14 +68,15 @@ def snapshot_delta(
     adjacent: bool = False,
     order: str | None = None,
     segment: Column | None = None,
+    captured: DataFrame | None = None,
 ) -> DataFrame:
     """Change of ``measure`` against the entity's previous snapshot.
 
     Always adds ``prev_date``, ``prev_value``, ``is_first`` and ``delta``. ``delta`` is NULL without a
     previous value or, when ``max_gap_days`` is set, when the previous snapshot is older than that.
     ``first_as_zero`` counts the first sighting against 0. ``adjacent`` forgets a key that the captured
-    date just before lacks: on its return it counts as a first sighting. ``order`` names a finer order
-    than the date, such as the capture time.
+    date just before lacks: on its return it counts as a first sighting; ``captured`` has the captured dates where
+    ``df`` does not hold them all. ``order`` names a finer order than the date, such as the capture time.
 
     ``mode`` adds:
 
@@ -87,7 +89,7 @@ def snapshot_delta(
     linked = previous_row(df, keys, order or date, {"prev_date": date, "prev_value": measure}, segment)
     if adjacent:
         # One row per calendar day: the size of this broadcast is bounded by the date type.
-        calendar = F.broadcast(date_calendar(df, date).select(date, F.col("prev_date").alias("__day_before")))
+        calendar = F.broadcast(date_calendar(df if captured is None else captured, date).select(date, F.col("prev_date").alias("__day_before")))
         linked = linked.join(calendar, date, "left")
         near = F.coalesce(F.col("prev_date") == F.col("__day_before"), F.lit(False))
         linked = linked.withColumns({
@@ -175,8 +177,12 @@ def date_pair_delta(
         previous = facts.where(F.col("next_date").isNotNull()).select(
             F.col("next_date").alias(date), *keys, F.col("__q").alias("prev")
         )
-        paired = current.join(previous, [date, *keys], "full").select(
-            date, *keys, F.coalesce("prev", F.lit(0)).alias("prev"), F.coalesce("curr", F.lit(0)).alias("curr")
+        on = [date, *keys]
+        previous = previous.withColumnsRenamed({k: f"__{k}" for k in on})
+        same = reduce(lambda acc, k: acc & F.col(k).eqNullSafe(F.col(f"__{k}")), on, F.lit(True))
+        paired = current.join(previous, same, "full").select(
+            *[F.coalesce(k, f"__{k}").alias(k) for k in on],
+            F.coalesce("prev", F.lit(0)).alias("prev"), F.coalesce("curr", F.lit(0)).alias("curr"),
         )
     else:
         raise ValueError(f"unknown form {form!r}")

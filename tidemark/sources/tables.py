@@ -1,8 +1,8 @@
 """Snapshot and latest-state tables: merge rules, generations, corrections, report sinks.
 
-A table of snapshots is a Parquet folder partitioned by date that is only appended to. A table of
-latest states is a folder of complete generations; a reader takes the newest one that carries the
-writer's success marker, so a lost executor or driver never leaves a half-written table in view.
+A table of snapshots is a Parquet folder partitioned by date that is only appended to. A report is a
+folder of complete generations; a reader takes those that carry the writer's success marker, so a lost
+executor or driver never leaves a half-written one in view. Latest states are in ``buckets``.
 """
 
 from __future__ import annotations
@@ -147,16 +147,6 @@ def save_generation(df: DataFrame, path: str, number: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/generation={number}")
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ordinal: str) -> int:
-    """Upsert into a table of generations; returns the rows inserted or updated."""
-    _require(source, *keys, ordinal)
-    spark = source.sparkSession
-    number, target = latest_generation(spark, path)
-    merged = last_wins(source, keys, ordinal).drop(ordinal) if target is None else upsert(target, source, keys, ordinal)
-    save_generation(merged, path, number + 1)
-    return source.select(*keys).distinct().count()
-
-
 def try_write(write: Callable[[], int]) -> tuple[int | None, str | None]:
     """(rows, None) on success, (None, message) on failure; never raises."""
     try:

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage, shared_folder
+from tidemark.sources import buckets
 from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
 from tidemark.sources.notices import notice_tables, parse_notices, read_notices, stored_notices
 from tidemark.operators.joins import link_graph
 from tidemark.functions.once import keep_if
 from tidemark.functions.text import names_company
-from tidemark.streaming.incremental import incremental_delta
+from tidemark.streaming.incremental import incremental_delta, read_deltas
 from tidemark.workload import bindings as b
 from tidemark.workload.registry import query, table
 
@@ -362,9 +363,9 @@ def k3(spark, d):
     folder = new_folder(spark)
     state = customer_state(spark, d).withColumn("ordinal", F.lit(0))
     outcomes = {
-        "customers": m.try_write(lambda: m.upsert_table(state, folder + "/state", ["key"], "ordinal")),
-        "orders": m.try_write(lambda: m.upsert_table(order_updates(spark, d), folder + "/state", ["key"], "ordinal")),
-        "broken": m.try_write(lambda: m.upsert_table(state, folder + "/other", ["no_such_key"], "ordinal")),
+        "customers": m.try_write(lambda: buckets.upsert_table(state, folder + "/state", ["key"], "ordinal")),
+        "orders": m.try_write(lambda: buckets.upsert_table(order_updates(spark, d), folder + "/state", ["key"], "ordinal")),
+        "broken": m.try_write(lambda: buckets.upsert_table(state, folder + "/other", ["no_such_key"], "ordinal")),
     }
     return m.run_status(spark, outcomes).select("table", "status", F.col("rows").cast("double").alias("rows"))
 
@@ -372,9 +373,9 @@ def k3(spark, d):
 @query("k2_upsert_table", _UPSERTED)
 def k2_table(spark, d):
     path = new_folder(spark) + "/state"
-    m.upsert_table(customer_state(spark, d).withColumn("ordinal", F.lit(0)), path, ["key"], "ordinal")
-    m.upsert_table(order_updates(spark, d), path, ["key"], "ordinal")
-    return m.latest_generation(spark, path)[1]
+    buckets.upsert_table(customer_state(spark, d).withColumn("ordinal", F.lit(0)), path, ["key"], "ordinal")
+    buckets.upsert_table(order_updates(spark, d), path, ["key"], "ordinal")
+    return buckets.read_table(spark, path)
 
 
 @query("k4_append_report", """
@@ -423,27 +424,27 @@ def k7(spark, d):
     SELECT 'report' AS "table", 'written' AS status, (SELECT count(DISTINCT o_custkey) FROM orders)::DOUBLE AS rows""")
 def q8(spark, d):
     path = new_folder(spark) + "/state"
-    done = m.try_write(lambda: m.upsert_table(order_updates(spark, d), path, ["key"], "ordinal"))
+    done = m.try_write(lambda: buckets.upsert_table(order_updates(spark, d), path, ["key"], "ordinal"))
     return m.run_status(spark, {"report": done}).select("table", "status", F.col("rows").cast("double").alias("rows"))
 
 
 # --- incremental ---------------------------------------------------------------------------
 
 def stream_deltas(spark, d, on_absent: str) -> DataFrame:
-    """Daily snapshots arrive in two batches of whole days; the second run resumes from the state."""
+    """Captures, several a day, arrive in two batches of whole days; the second run resumes from the state."""
     folder = new_folder(spark)
-    facts = b.store_snapshot(spark, d).select("snapshot_date", "store", "variant_id", "quantity")
+    facts = captured_events(spark, d)
     middle = facts.select((F.min(F.unix_date("snapshot_date")) + F.max(F.unix_date("snapshot_date"))).alias("s")).select(
         F.date_from_unix_date(F.floor(F.col("s") / 2).cast("int")).alias("m")).select("m").scalar()
+    keys = ["store", "variant_id"]
     for part in (F.col("snapshot_date") <= middle, F.col("snapshot_date") > middle):
         facts.where(part).write.mode("append").parquet(folder + "/in")
         stream = spark.readStream.schema(facts.schema).parquet(folder + "/in")
-        writer = incremental_delta(
-            stream, ["store", "variant_id"], "snapshot_date", "quantity", folder + "/state", folder + "/out", on_absent)
+        writer = incremental_delta(stream, keys, "snapshot_date", "quantity", "ordinal", folder + "/state", folder + "/out", on_absent, buckets=16)
         run = writer.option("checkpointLocation", folder + "/offsets").trigger(availableNow=True).start()
         run.awaitTermination()
-    return spark.read.parquet(folder + "/out").select(
-        "snapshot_date", "store", "variant_id", "quantity", F.col("delta").cast("double").alias("delta"))
+    return read_deltas(spark, folder + "/out", keys, "snapshot_date").select(
+        "snapshot_date", *keys, "quantity", F.col("delta").cast("double").alias("delta"))
 
 
 @query("x1_incremental_remember", f"""
