@@ -104,20 +104,29 @@ def test_month_mean_is_dense_and_rounds_half_even(spark):
     assert got == [(date(2024, 1, 31), 2), (date(2024, 2, 29), None), (date(2024, 3, 31), 4)]
 
 
-def test_contains_forms_agree_with_brute_force(spark):
+def test_contains_agrees_with_brute_force(spark):
     rnd = random.Random(5)
-    letters = "abå x"
-    texts = [(i, "".join(rnd.choice(letters) for _ in range(rnd.choice([0, 3, 40, 700])))) for i in range(60)]
-    names = ["a", "ab", "ba x", "abåabå", "Å X", "xx xx", "bbbbbbbb", "missing name"]
+    letters = "abå x😀"
+    texts = [(i, "".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 3, 40, 700])))) for i in range(60)] + [(60, None), (61, "ab")]
     docs = spark.createDataFrame(texts, "id long, t string")
-    dim = spark.createDataFrame([(n,) for n in names], "n string")
-    want = sorted((i, n) for i, t in texts for n in names if n.lower() in t.lower())
-    for limit in (500, 0):
-        got = j.match_contains(docs, "t", dim, "n", ["id"], inline_limit=limit)
-        assert sorted((x.id, x.name) for x in got.collect()) == want
+    few = ["a", "ab", "ba x", "abåabå", "Å X", "xx xx", "bbbbbbbb", "missing name", "", None, "a😀", "x😀a b"]
+    many = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 7))) for _ in range(5_000)]
+    for names in (few, few[:1], many + few):
+        dim = spark.createDataFrame([(n,) for n in names], "n string")
+        want = sorted({(i, n) for i, t in texts if t for n in names if n and n.lower() in t.lower()})
+        assert sorted((x.id, x.name) for x in j.match_contains(docs, "t", dim, "n", ["id"]).collect()) == want
     core = spark.createDataFrame([("Acme AB",)], "n string")
     hits = j.match_contains(spark.createDataFrame([(1, "ACME wins"), (2, "other")], "id long, t string"), "t", core, "n", ["id"], with_core=True)
     assert [(x.id, x.name) for x in hits.collect()] == [(1, "Acme AB")]
+    assert j.match_contains(docs, "t", dim.limit(0), "n", ["id"]).collect() == []
+
+
+def test_contains_plans_without_a_job(spark):
+    started = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    docs = spark.createDataFrame([(1, "x")], "id long, t string")
+    j.match_contains(docs, "t", spark.createDataFrame([("x",)], "n string"), "n", ["id"])
+    assert list(started.getJobIdsForGroup("planning")) == []
 
 
 def test_ranks_split_anywhere_stay_the_same(spark):

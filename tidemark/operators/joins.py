@@ -11,13 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.once import let
 from tidemark.functions.text import canonical, strip_suffix
 from tidemark.operators.picks import first_by
 
-# Name lists up to this size ride along with each task as a literal array.
-INLINE_NAMES = 500
-
-
 def enrich(
     fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", defaults: Mapping[str, object] | None = None
 ) -> DataFrame:
@@ -55,63 +52,53 @@ def overlaps(df: DataFrame, array_column: str, ids: DataFrame, id_column: str, r
     return df.join(hits, list(row_keys), "left_semi")
 
 
-def match_contains(
-    df: DataFrame,
-    text: str,
-    names: DataFrame,
-    name: str,
-    row_keys: Sequence[str],
-    with_core: bool = False,
-    inline_limit: int = INLINE_NAMES,
-) -> DataFrame:
-    """(row keys, name), each once, for every name that occurs anywhere in the text, in any case.
+GRAM = 4
+CUT = 256
 
-    ``with_core`` also tries each name without its corporate form. Up to ``inline_limit`` names are
-    tested in place, without a shuffle. A longer list is joined on the first letters of each name
-    against the letters at each place of the text, then verified in full.
+
+def _places(texts: DataFrame, keep: Sequence[str], body: str, inside: bool = False) -> DataFrame:
+    """The ``GRAM`` characters from every place of a text on, filled up with zero characters at its end.
+
+    ``inside`` leaves out the places that need filling up. Texts are first cut into overlapping pieces: finding a place in
+    a string costs its distance from the start.
     """
-    lowered = names.select(F.col(name).alias("name")).where(F.col("name") != "").distinct()
-    needles = F.array(F.lower("name"), strip_suffix(F.col("name"))) if with_core else F.array(F.lower("name"))
-    wanted = lowered.select("name", F.explode(F.array_distinct(needles)).alias("needle")).where("needle <> ''")
-    listed = wanted.limit(inline_limit + 1).collect()
-    body = F.lower(F.col(text))
-    if len(listed) <= inline_limit:
-        if not listed:
-            return df.select(*row_keys).limit(0).withColumn("name", F.lit(None).cast("string"))
-        pairs = F.array(*[F.struct(F.lit(r.name).alias("name"), F.lit(r.needle).alias("needle")) for r in listed])
-        hits = F.array_distinct(
-            F.transform(F.filter(pairs, lambda p: F.contains(body, p["needle"])), lambda p: p["name"])
-        )
-        return df.select(*row_keys, F.explode(hits).alias("name")).distinct()
-    return _match_by_letters(df.select(*row_keys, body.alias("__body")), wanted, row_keys)
-
-
-def _match_by_letters(df: DataFrame, wanted: DataFrame, row_keys: Sequence[str], width: int = 6) -> DataFrame:
-    """Exact contains-join: equality on a name's first letters at some place of the text, then the whole name.
-
-    The names side is broadcast by Spark while it is under its threshold; the texts then never move.
-    Beyond that each place carries only as many letters as the longest name has.
+    last = F.length(body) - (GRAM - 1 if inside else 0)
+    pieces = texts.where(last > 0).withColumn("__k", F.explode(F.sequence(F.lit(0), F.floor((last - 1) / CUT).cast("int"))))
+    padded = F.concat(F.col(body), F.lit("\0" * (GRAM - 1)))
+    pieces = pieces.select(*keep, F.substr(padded, F.col("__k") * CUT + 1, F.lit(CUT + GRAM - 1)).alias("__piece"),
+                           F.least(F.lit(CUT), last - F.col("__k") * CUT).alias("__n"))
+    each = pieces.select(*keep, "__piece", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__at"))
+    return each.select(*keep, F.substr("__piece", F.col("__at"), F.lit(GRAM)).alias("__gram"))
+
+
+def match_contains(df: DataFrame, text: str, names: DataFrame, name: str, row_keys: Sequence[str], with_core: bool = False) -> DataFrame:
+    """(row keys, name), each once, for every name that occurs anywhere in the text, in any case.
+
+    ``with_core`` also tries each name without its corporate form. A name is looked up by one of its pieces of four
+    characters, the one that is rarest in the texts; a name with a piece that no text holds drops out at once. A shorter
+    name is looked up by all pieces in the texts that start with it. What is found is verified in full. It takes one pass
+    over the texts to count pieces of names and one to look them up; names of any number and length go the same way.
     """
-    anchors = wanted.select(
-        "name", "needle", F.least(F.length("needle"), F.lit(width)).alias("size"),
-        F.substring("needle", 1, width).alias("gram"),
-    )
-    bounds = anchors.agg(F.collect_set("size").alias("sizes"), F.max(F.length("needle")).alias("longest")).first()
-    # Text is first cut into overlapping pieces: finding a place in a string costs its distance from the start.
-    cut = 256
-    texts = df.where(F.length("__body") > 0)
-    starts = F.explode(F.sequence(F.lit(0), F.floor((F.length("__body") - 1) / cut))).alias("__k")
-    pieces = texts.select(*row_keys, "__body", starts).select(
-        *row_keys, F.substr("__body", (F.col("__k") * cut + 1).cast("int"), F.lit(cut + bounds.longest - 1)).alias("__piece")
-    )
-    places = F.explode(F.sequence(F.lit(1), F.least(F.lit(cut), F.length("__piece")))).alias("__at")
-    tails = pieces.select(*row_keys, "__piece", places).select(
-        *row_keys, F.substr("__piece", F.col("__at"), F.lit(bounds.longest)).alias("__tail")
-    )
-    sizes = F.explode(F.array(*[F.lit(s) for s in sorted(bounds.sizes)])).alias("size")
-    grams = tails.select(*row_keys, "__tail", sizes).withColumn("gram", F.substr("__tail", F.lit(1), F.col("size")))
-    found = grams.join(anchors, ["size", "gram"]).where(F.startswith(F.col("__tail"), F.col("needle")))
-    return found.select(*row_keys, "name").distinct()
+    needles = F.array(F.lower(name), strip_suffix(F.col(name))) if with_core else F.array(F.lower(name))
+    wanted = names.where(F.col(name) != "").select(F.col(name).alias("name"), F.explode(F.array_distinct(needles)).alias("needle"))
+    wanted = wanted.where("needle <> ''").distinct()
+    texts = df.select(*row_keys, F.lower(F.col(text)).alias("__body"))
+    held = _places(texts, row_keys, "__body")
+
+    long = _places(wanted, ["name", "needle"], "needle", inside=True).distinct()
+    counts = held.join(long.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(F.count(F.lit(1)).alias("__times"))
+    weighed = long.join(counts, "__gram", "left").groupBy("name", "needle").agg(
+        F.min_by("__gram", F.struct("__times", "__gram")).alias("__gram"), F.count_if(F.col("__times").isNull()).alias("__lacking"))
+    anchors = weighed.where("__lacking = 0").drop("__lacking")
+
+    short = wanted.where(F.length("needle") < GRAM).withColumn("__letter", F.substring("needle", 1, 1))
+    first = F.substring("__gram", 1, 1)
+    starts = held.join(short.select("__letter").distinct(), first == F.col("__letter"), "left_semi").select("__gram").distinct()
+    starting = short.join(starts, F.col("__letter") == first).where(F.startswith("__gram", "needle"))
+    anchors = anchors.unionByName(starting.select("name", "needle", "__gram"))
+
+    found = held.join(anchors, "__gram").select(*row_keys, "name", "needle").distinct()
+    return texts.join(found, list(row_keys)).where(F.contains(F.col("__body"), F.col("needle"))).select(*row_keys, "name").distinct()
 
 
 def rank_first_seen(
@@ -143,8 +130,7 @@ def best_rank_by_alias(
         F.struct(F.lit(target).alias("target"), F.array(*[canonical(F.lit(a)) for a in (target, *others)]).alias("a"))
         for target, others in aliases.items()
     ])
-    plain = canonical(F.col(title))
-    hit = F.filter(names, lambda t: F.exists(t["a"], lambda a: F.contains(plain, a)))
+    hit = let(canonical(F.col(title)), lambda plain: F.filter(names, lambda t: F.exists(t["a"], lambda a: F.contains(plain, a))))
     hits = ranked.select(*lists, "rank", F.explode(F.transform(hit, lambda t: t["target"])).alias("target"))
     return hits.groupBy(*lists, "target").agg(F.min("rank").alias("rank"))
 

@@ -222,12 +222,14 @@ def j11(spark, d):
 
 
 @query("j11_many_names_in_text", """
-    SELECT doc_id, word AS name FROM documents JOIN (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)
-    ON contains(lower(text), word) GROUP BY ALL""")
+    SELECT doc_id, word AS name FROM documents JOIN (
+        SELECT DISTINCT substr(text, 40, 9) AS word FROM documents UNION SELECT DISTINCT substr(text, 80, 3) FROM documents)
+    ON word <> '' AND contains(lower(text), lower(word)) GROUP BY ALL""")
 def j11_many(spark, d):
-    """The form for name lists too long to ride along."""
-    words = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
-    return j.match_contains(table(spark, d, "documents"), "text", words, "name", ["doc_id"], inline_limit=5)
+    """As many names as documents, some shorter than the pieces they are looked up by."""
+    docs = table(spark, d, "documents")
+    names = docs.select(F.substring("text", 40, 9).alias("name")).union(docs.select(F.substring("text", 80, 3)))
+    return j.match_contains(docs, "text", names, "name", ["doc_id"])
 
 
 @query("j11_company_in_text", r"""
