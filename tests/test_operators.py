@@ -1,3 +1,4 @@
+import json
 import math
 import random
 import statistics
@@ -6,6 +7,7 @@ from datetime import date, timedelta
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import month_range
 from tidemark.operators import aggregates as a
 from tidemark.operators import joins as j
 from tidemark.operators import picks as p
@@ -159,11 +161,63 @@ def test_status_order_puts_bad_dates_last(spark):
 
 def test_report_columns_follow_the_latest_day(spark):
     df = spark.createDataFrame([("d1", "a", 9), ("d1", "b", 1), ("d2", "b", 5), ("d2", "c", 7)], "d string, m string, v long")
-    wide = r.pivot_by_latest(df, "d", "m", {"v": "Sell"}, "v")
+    members = [x.m for x in r.latest_order(df, "d", "m", "v").orderBy("position").collect()]
+    wide = r.pivot_by_latest(df, "d", "m", {"v": "Sell"}, members)
     assert wide.columns == ["d", "c (Sell)", "b (Sell)", "a (Sell)"]
     assert sorted(map(tuple, wide.collect())) == [("d1", 0, 1, 9), ("d2", 7, 5, 0)]
 
 
+def test_long_report_has_no_limit_of_members(spark):
+    df = spark.range(3_000).select(F.lit("d1").alias("d"), F.concat(F.lit("m"), "id").alias("m"), F.col("id").alias("v"))
+    df = df.union(spark.createDataFrame([("d0", None, 7), ("d1", None, 5_000)], "d string, m string, v long"))
+    got = {(x.d, x.m): (x.position, x.v) for x in r.long_by_latest(df, "d", "m", ["v"], "v").collect()}
+    assert len(got) == 3_002 and got["d1", "m2999"] == (2, 2999) and got["d1", "m0"] == (3_001, 0)
+    assert got["d0", None] == (1, 7)
+
+
+def test_medians_of_levels_and_of_all(spark):
+    rows = [("x", c, v) for c, vs in {"a": [1, 2, 9], "b": [4], None: [6, 8]}.items() for v in vs] + [("y", "a", None), ("y", "b", 3)]
+    df = spark.createDataFrame(rows, "g string, c string, v long")
+    of = sorted(map(str, ((x.g, x.c, x.median, x.n) for x in a.median_levels(df, ["g"], "c", "v").collect())))
+    assert of == sorted(map(str, [("x", "a", 2.0, 3), ("x", "b", 4.0, 1), ("x", None, 7.0, 2), ("x", None, 4.0, 3), ("y", "b", 3.0, 1), ("y", None, 3.0, 1)]))
+    pooled = sorted(map(str, ((x.g, x.c, x.median, x.n) for x in a.median_levels(df, ["g"], "c", "v", "pooled").collect())))
+    assert pooled == sorted(map(str, [("x", "a", 2.0, 3), ("x", "b", 4.0, 1), ("x", None, 7.0, 2), ("x", None, 5.0, 6), ("y", "b", 3.0, 1), ("y", None, 3.0, 1)]))
+
+
+def test_counts_and_months_of_null_keys(spark):
+    lots = spark.createDataFrame([(None, 1), (None, 2), (3, 1)], "lot long, t long")
+    assert {x.lot: (x.num_tenders, x.num_winners) for x in a.lot_counts(lots, lots.where("t = 1"), ["lot"], "t").collect()} == {None: (2, 1), 3: (1, 1)}
+    df = spark.createDataFrame([(None, date(2024, 1, 5), 1), (None, date(2024, 3, 9), 2)], "k string, d date, v int")
+    assert [x.v for x in s.to_month(df, "d", "v", ["k"]).orderBy("month").collect()] == [1.0, None, 2.0]
+
+
+def test_records_of_equal_rows_stay_bounded(spark):
+    df = spark.range(95).select(F.lit("g").alias("g"), F.when(F.col("id") < 80, 1).otherwise(F.col("id")).alias("v"))
+    packed = a.pack_rows(df, ["g"], ["v"], "items", rows_per_record=10).collect()
+    lists = [json.loads(x["items"]) for x in packed]
+    assert sum(map(len, lists)) == 95 and max(map(len, lists)) <= 25 and sum(i["v"] == 1 for x in lists for i in x) == 80
+
+
+def test_month_range_reaches_the_scan(spark, tmp_path):
+    for kind in ("timestamp", "date", "timestamp_ntz"):
+        place = f"{tmp_path}/{kind}"
+        days = ["2024-01-31", "2024-02-01", "2024-03-31", "2024-04-01", None]
+        spark.createDataFrame([(x,) for x in days], "d string").select(F.col("d").cast(kind).alias("d")).write.parquet(place)
+        df = spark.read.parquet(place)
+        kept = df.where(month_range(df, "d", "2024-02", "2024-03"))
+        assert sorted(str(x.d)[:10] for x in kept.collect()) == ["2024-02-01", "2024-03-31"]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters"):]
+        assert "GreaterThanOrEqual(d" in pushed and "LessThan(d" in pushed
+
+
+def test_day_sketches_merge(spark):
+    df = spark.range(40_000).select((F.col("id") % 9_000).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("d"))
+    got = q.audit_days(q.day_sketches(df, "d", ["k"]), "d").first()
+    assert (got.rows, got.dates) == (40_000, 5) and abs(got["keys"] - 9_000) < 4 * 1.04 / 64 * 9_000
+    assert q.audit_days(q.day_sketches(df.limit(0), "d", ["k"]), "d").first().rows is None
+
+
 def test_pinned_order_and_zero_days(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("z", 3)], "brand string, n long")
     assert [x.brand for x in p.pinned_order(df, "brand", "z").collect()] == ["z", "a", "b"]

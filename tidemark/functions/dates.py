@@ -29,6 +29,17 @@ def in_months(month: Column, first: str, last: str) -> Column:
     return month.between(first, last)
 
 
+def month_range(df: DataFrame, column: str, first: str, last: str) -> Column:
+    """Closed range of months as two bounds on a date or timestamp column itself.
+
+    Unlike a test on ``month_key`` both bounds reach the scan: partitions, files and row groups outside are not read.
+    """
+    kind = df.schema[column].dataType
+    start = F.lit(f"{first}-01").cast("date").cast(kind)
+    end = F.add_months(F.lit(f"{last}-01").cast("date"), 1).cast(kind)
+    return (F.col(column) >= start) & (F.col(column) < end)
+
+
 def without_zone(text: Column) -> Column:
     """ISO date text before any ``+hh:mm`` or ``Z`` suffix."""
     return F.get(F.split(F.get(F.split(text, r"\+"), F.lit(0)), "Z"), F.lit(0))

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
 
 
 # --- medians -------------------------------------------------------------------------------
@@ -97,12 +96,12 @@ def _within(counted: DataFrame, wanted: DataFrame, group: Sequence[str], prefix:
     return c.join(w, same).select(*[F.col(f"c.{k}") for k in group], "c.__v", "c.__n", "c.__k", *extra)
 
 
-def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Inner join on the group keys, in which NULL meets NULL."""
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join on the group keys, in which NULL meets NULL."""
     same = F.lit(True)
     for key in by:
         same = same & left[key].eqNullSafe(F.col(f"__{key}"))
-    return left.join(right.withColumnsRenamed({k: f"__{k}" for k in by}), same).drop(*[f"__{k}" for k in by])
+    return left.join(right.withColumnsRenamed({k: f"__{k}" for k in by}), same, how).drop(*[f"__{k}" for k in by])
 
 
 def price_stats(df: DataFrame, by: Sequence[str], price: str, scale: int = 2) -> DataFrame:
@@ -126,18 +125,24 @@ def median_levels(
 ) -> DataFrame:
     """Median per (by, level) plus one overall row per ``by`` with a NULL level.
 
-    The overall row is the median of the level medians, or of all ``pooled`` values. The level
-    medians, one small row each, are checkpointed so that the overall row does not compute them again.
+    The overall row is the median of the level medians, or of all ``pooled`` values. Both come from one scan: the pooled
+    values are the counts of the levels, counted once more; level medians are one small row per level, such as a country.
     """
-    per_level = exact_median(df, [*by, level], value)
-    if overall == "of_medians":
-        per_level = cut_lineage(per_level)
-        top = exact_median(per_level, by, "median")
-    elif overall == "pooled":
-        top = exact_median(df, by, value)
-    else:
+    none = F.lit(None).cast(df.schema[level].dataType).alias(level)
+    if overall == "pooled":
+        counted = value_counts(df, [*by, level], value)
+        both = F.array(F.struct(level, F.lit(0).alias("__all")), F.struct(none, F.lit(1).alias("__all")))
+        spread = counted.select(*by, F.explode(both).alias("__s"), "__v", "__k", "__n")
+        pooled = spread.groupBy(*by, F.col(f"__s.{level}").alias(level), F.col("__s.__all").alias("__all"), "__v", "__k").agg(F.sum("__n").alias("__n"))
+        return _median_of_counts(pooled, [*by, level], "median")
+    if overall != "of_medians":
         raise ValueError(f"unknown overall {overall!r}")
-    return per_level.unionByName(top.withColumn(level, F.lit(None).cast(df.schema[level].dataType)))
+    within = Window.partitionBy(*by)
+    own, top = F.struct(level, "median", "n"), F.struct(none, F.median("median").over(within).alias("median"), F.count(F.lit(1)).over(within).alias("n"))
+    leads = F.row_number().over(within.orderBy(level)) == 1
+    rows = exact_median(df, [*by, level], value).select(*by, own.alias("__own"), top.alias("__top"), leads.alias("__leads"))
+    each = F.explode(F.when(F.col("__leads"), F.array("__own", "__top")).otherwise(F.array("__own"))).alias("__r")
+    return rows.select(*by, each).select(*by, "__r.*")
 
 
 # --- rollups and packing -------------------------------------------------------------------
@@ -163,12 +168,15 @@ def pack_rows(
 ) -> DataFrame:
     """Rows of a group as JSON lists, none of which is much longer than ``rows_per_record``.
 
-    A large group becomes several records (numbered by ``part``), so no list grows with the data.
+    A large group becomes several records (numbered by ``part``), so no list grows with the data. Equal rows are counted
+    first and dealt out by their number, so they spread like others and fall to the same part when a task runs again.
     """
-    sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_per_record).alias("__parts"))
-    joined = join_groups(df, sizes, by)
-    part = F.pmod(F.xxhash64(*fields), F.col("__parts")).alias("part")
-    packed = joined.groupBy(*by, part).agg(F.collect_list(F.struct(*fields)).alias(name))
+    keys = [*by, *[f for f in fields if f not in by]]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = counted.groupBy(*by).agg(F.ceil(F.sum("__n") / rows_per_record).alias("__parts"))
+    each = join_groups(counted, sizes, by).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
+    part = F.pmod(F.xxhash64(*fields, "__copy"), F.col("__parts")).alias("part")
+    packed = each.groupBy(*by, part).agg(F.collect_list(F.struct(*fields)).alias(name))
     return packed.withColumn(name, F.to_json(name))
 
 
@@ -227,7 +235,7 @@ def lot_counts(tenders: DataFrame, winners: DataFrame, keys: Sequence[str], tend
     """Tenders and distinct winning tenders per lot; lots without winners count 0."""
     offered = tenders.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_tenders"))
     won = winners.select(*keys, tender).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("num_winners"))
-    return offered.join(won, list(keys), "left").withColumn("num_winners", F.coalesce("num_winners", F.lit(0)))
+    return join_groups(offered, won, keys, "left").withColumn("num_winners", F.coalesce("num_winners", F.lit(0)))
 
 
 def merge_results(results: DataFrame, keys: Sequence[str], ordinal: str, values: Sequence[str]) -> DataFrame:

@@ -37,6 +37,23 @@ def audit(df: DataFrame, date: str, keys: Sequence[str], by: Sequence[str] = (),
     return joined.select(*by, "rows", "dates", "keys", "first_date", "last_date")
 
 
+def day_sketches(df: DataFrame, date: str, keys: Sequence[str], by: Sequence[str] = (), log2_size: int = 12) -> DataFrame:
+    """One row per day (and group): rows and a mergeable sketch of its keys.
+
+    An audit of a long history reads these rows instead of the history; new days are appended to them.
+    """
+    sketch = F.hll_sketch_agg(F.xxhash64(*keys), F.lit(log2_size))
+    return df.groupBy(*by, F.col(date).cast("date").alias(date)).agg(F.count(F.lit(1)).alias("rows"), sketch.alias("sketch"))
+
+
+def audit_days(days: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
+    """The audit from ``day_sketches``: all exact but ``keys``, whose standard error is about 1.04 / sqrt(2 ** log2_size)."""
+    return days.groupBy(*by).agg(
+        F.sum("rows").alias("rows"), F.count_distinct(date).alias("dates"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("keys"),
+        F.min(date).alias("first_date"), F.max(date).alias("last_date"),
+    )
+
+
 def gaps(df: DataFrame, date: str, max_gap_days: int = 1, keys: Sequence[str] = ()) -> DataFrame:
     """Captured dates (per key, if given) whose predecessor is older than allowed."""
     if keys:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A report is read by people; wider results stay in long form.
-MAX_REPORT_COLUMNS = 2_000
-
+from tidemark.operators.aggregates import join_groups
 
 def melt(df: DataFrame, ids: Sequence[str], name: str = "series", value: str = "value", columns=None) -> DataFrame:
     """Wide to long; missing values give no row."""
@@ -54,24 +52,26 @@ def pivot_fixed(
     return wide if fill is None else wide.fillna(fill, subset=list(values))
 
 
-def latest_order(df: DataFrame, date: str, column: str, order_by: str) -> list[str]:
-    """Members of ``column``, greatest value on the latest date first; the rest follow by name."""
+def latest_order(df: DataFrame, date: str, column: str, order_by: str) -> DataFrame:
+    """``column``, ``latest`` and ``position``: members by their value on the latest date, greatest first, the rest by name.
+
+    The window sees one row per member, never the facts.
+    """
     last = df.agg(F.max(date).alias("d")).select("d").scalar()
-    ordered = (
-        df.groupBy(column)
-        .agg(F.sum(F.when(F.col(date) == last, F.col(order_by))).alias("v"))
-        .orderBy(F.coalesce("v", F.lit(0)).desc(), F.col(column)).limit(MAX_REPORT_COLUMNS + 1).collect()
-    )
-    if len(ordered) > MAX_REPORT_COLUMNS:
-        raise ValueError(f"{column} has more than {MAX_REPORT_COLUMNS} members: keep the long form")
-    return [r[0] for r in ordered]
+    sums = df.groupBy(column).agg(F.coalesce(F.sum(F.when(F.col(date) == last, F.col(order_by))), F.lit(0)).alias("latest"))
+    return sums.withColumn("position", F.row_number().over(Window.orderBy(F.col("latest").desc(), column)))
+
+
+def long_by_latest(df: DataFrame, date: str, column: str, measures: Sequence[str], order_by: str) -> DataFrame:
+    """Dates x members in long form, with each member's ``position`` in the wide report; any number of members."""
+    sums = df.groupBy(date, column).agg(*[F.sum(m).alias(m) for m in measures])
+    return join_groups(sums, latest_order(df, date, column, order_by).select(column, "position"), [column])
 
 
 def pivot_by_latest(
-    df: DataFrame, date: str, column: str, measures: Mapping[str, str], order_by: str, scale: int | None = None
+    df: DataFrame, date: str, column: str, measures: Mapping[str, str], members: Sequence[str], scale: int | None = None
 ) -> DataFrame:
-    """Dates x (member, measure), members ordered by the latest day; ``measures`` maps column -> label."""
-    members = latest_order(df, date, column, order_by)
+    """Dates x (member, measure) for the members given, in their order; ``measures`` maps column -> label."""
     def cell(member: str, measure: str) -> Column:
         total = F.coalesce(F.sum(F.when(F.col(column) == member, F.col(measure))), F.lit(0))
         return total if scale is None else F.bround(total, scale)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import join_groups
+
 
 def to_month(
     df: DataFrame, date: str, value: str, keys: Sequence[str] = (), dense: bool = True, scale: int | None = None
@@ -19,7 +21,7 @@ def to_month(
     span = monthly.groupBy(*keys).agg(F.min("month").alias("a"), F.max("month").alias("b"))
     firsts = F.sequence(F.trunc("a", "month"), F.trunc("b", "month"), F.expr("interval 1 month"))
     months = span.select(*keys, F.explode(firsts).alias("m")).select(*keys, F.last_day("m").alias("month"))
-    return months.join(monthly, [*keys, "month"], "left")
+    return join_groups(months, monthly, [*keys, "month"], "left")
 
 
 def chunk_windows(start: Column, end: Column, step_months: int, overlap_months: int) -> Column:

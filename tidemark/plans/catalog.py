@@ -12,9 +12,9 @@ from tidemark.functions.numbers import discount_pct
 from tidemark.functions.text import base_key, two_level_path
 from tidemark.operators.aggregates import collect_events, discount_of_totals, rollups, weighted_revenue
 from tidemark.operators.deltas import snapshot_delta
-from tidemark.operators.joins import enrich
+from tidemark.operators.joins import enrich, presence_flags
 
-EVENT_FIELDS = ["product_key", "site", "brand", "title", "category", "stock_before", "stock_after", "delta", "sell_price"]
+EVENT_FIELDS = ["product_key", "site", "brand", "title", "category", "size", "stock_before", "stock_after", "delta", "sell_price"]
 
 
 def classified(snapshot: DataFrame, threshold: int = 10) -> DataFrame:
@@ -45,6 +45,32 @@ def site_daily_summary(snapshot: DataFrame, threshold: int = 10) -> DataFrame:
     return rollups(classified(snapshot, threshold), "snapshot_date", ["site", "category_group", "brand"], measures)
 
 
+def daily_row(snapshot: DataFrame, threshold: int = 10) -> DataFrame:
+    """One row per day: the totals, and maps from site, two-level category and brand to the same measures.
+
+    The maps hold the members of the dimensions, never products; ``to_json`` at the sink makes documents of them.
+    """
+    rows = site_daily_summary(snapshot, threshold)
+    measures = [c for c in rows.columns if c not in ("snapshot_date", "dimension", "member")]
+    named = F.coalesce("member", F.lit("Other"))
+
+    def by(dimension: str) -> Column:
+        entry = F.struct(named.alias("key"), F.struct(*measures).alias("value"))
+        return F.map_from_entries(F.collect_list(F.when(F.col("dimension") == dimension, entry)))
+
+    return rows.groupBy("snapshot_date").agg(
+        F.max(F.when(F.col("dimension") == "total", F.struct(*measures))).alias("__t"),
+        by("site").alias("by_site"), by("category_group").alias("by_category"), by("brand").alias("by_brand"),
+    ).select("snapshot_date", "__t.*", "by_site", "by_category", "by_brand")
+
+
+def detail_rows(snapshot: DataFrame, sites: Sequence[str], threshold: int = 10) -> DataFrame:
+    """Every listing of a day with its step, on which sites the product is listed that day, and on how many."""
+    step = classified(snapshot, threshold)
+    flags = presence_flags(snapshot, ["snapshot_date", "product_key"], "site", sites)
+    return step.join(flags, ["snapshot_date", "product_key"], "left")
+
+
 def daily_events(snapshot: DataFrame, kind: str, threshold: int = 10) -> DataFrame:
     """Restock or return events per day as packed records; large days take several records."""
     named = classified(snapshot, threshold).withColumns({"stock_before": F.col("prev_value"), "stock_after": F.col("stock")})
@@ -96,19 +122,27 @@ def counter_revenue(colours: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return weighted_revenue(colours, ["sale_last_week", "sale_last_days"], ["sell_price", "list_price"], by)
 
 
+def daily_estimate(colours: DataFrame) -> DataFrame:
+    """Product colours that sold in the last seven days, with their daily units and revenues, unrounded."""
+    return colours.where(F.col("sale_last_week") > 0).withColumn("units", F.col("sale_last_week") / 7.0).withColumns({
+        "revenue_sell": F.col("units") * F.col("sell_price"), "revenue_list": F.col("units") * F.col("list_price"),
+    })
+
+
 def category_estimate(colours: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Daily estimate per category from a seven-day counter, and a total row with a NULL category.
 
-    Product colours that sold nothing are left out.
+    Product colours that sold nothing are left out. A category rounds its sums; the total adds the products' rounded values.
     """
-    active = colours.where(F.col("sale_last_week") > 0).withColumn("units", F.col("sale_last_week") / 7.0)
+    scales = {"units": 1, "revenue_sell": 2, "revenue_list": 2}
+    active = daily_estimate(colours)
+    rounded = {c: F.bround(c, s).cast(f"decimal(38,{s})") for c, s in scales.items()}
     sets = [[F.col(c) for c in by], [*[F.col(c) for c in by], F.col("category")]]
-    sums = active.groupingSets(sets, *by, "category").agg(
-        F.sum("units").alias("units"), F.sum(F.col("units") * F.col("sell_price")).alias("revenue_sell"),
-        F.sum(F.col("units") * F.col("list_price")).alias("revenue_list"), F.count(F.lit(1)).alias("product_colours"),
+    sums = active.withColumns({f"__{c}": v for c, v in rounded.items()}).groupingSets(sets, *by, "category").agg(
+        *[F.sum(c).alias(c) for c in scales], *[F.sum(f"__{c}").cast("double").alias(f"__{c}") for c in scales],
+        F.count(F.lit(1)).alias("product_colours"), F.grouping("category").alias("__whole"),
     )
-    return sums.select(
-        *by, "category", F.bround("units", 1).alias("units"), F.bround("revenue_sell", 2).alias("revenue_sell"),
-        F.bround("revenue_list", 2).alias("revenue_list"), "product_colours",
-        discount_of_totals(F.col("revenue_sell"), F.col("revenue_list")).alias("avg_discount_pct"),
+    shown = {c: F.when(F.col("__whole") == 1, F.col(f"__{c}")).otherwise(F.bround(c, s)) for c, s in scales.items()}
+    return sums.withColumns(shown).select(
+        *by, "category", *scales, "product_colours", discount_of_totals(F.col("revenue_sell"), F.col("revenue_list")).alias("avg_discount_pct")
     )

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import share
 from tidemark.operators.aggregates import monthly_breakdown
 from tidemark.operators.deltas import snapshot_delta
+from tidemark.operators.filters import whole_word
 from tidemark.operators.joins import enrich
-from tidemark.operators.picks import first_seen, latest_run_per_key
+from tidemark.operators.picks import first_seen, latest_run_per_day
 from tidemark.operators.reshape import bucket_other
 
 
@@ -30,9 +31,10 @@ def proxy_summary(
     """Per day: total and new reviews, proxy value, new reviews per tracked country, new channels.
 
     ``counts`` holds cumulative counts by (snapshot_date, run, product, channel); the last run of a
-    day replaces earlier ones. A product's first sighting counts all its reviews as new.
+    day replaces all that earlier ones left. A product's first sighting counts all its reviews as new, and so does a
+    channel's when the captured day before lacks it.
     """
-    latest = latest_run_per_key(counts, "snapshot_date", "run", ["product", "channel"]).drop("run")
+    latest = latest_run_per_day(counts, "snapshot_date", "run").drop("run")
     per_product = latest.groupBy("snapshot_date", "product").agg(F.sum("count").alias("count"))
     grown = snapshot_delta(per_product, ["product"], "snapshot_date", "count", max_gap_days=None, mode="growth",
                            first_as_zero=True)
@@ -43,7 +45,7 @@ def proxy_summary(
     )
     per_channel = latest.groupBy("snapshot_date", "channel").agg(F.sum("count").alias("count"))
     moved = snapshot_delta(per_channel, ["channel"], "snapshot_date", "count", max_gap_days=None, mode="growth",
-                           first_as_zero=True)
+                           first_as_zero=True, adjacent=True)
     code = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
     bucket = bucket_other(F.try_element_at(code, F.col("channel")), tracked)
     country = [
@@ -83,3 +85,28 @@ def target_share(reviews: DataFrame, month: str, is_target: Column, by: Column |
     return reviews.groupBy(*group).agg(
         F.count_if(is_target).alias("targets"), F.count(F.lit(1)).alias("total")
     ).withColumn("share_pct", share(F.col("targets"), F.col("total")))
+
+
+def two_source_share(
+    items: DataFrame, totals: DataFrame, month: str, category: str, name: str, word: str, categories: Sequence[str],
+    excluded: Mapping[str, Sequence[str]],
+) -> DataFrame:
+    """Wide monthly shares: items named by the whole word, from one source, over category totals from another.
+
+    ``excluded`` lists words that rule an item out in its category. A month or category that one source lacks counts 0
+    there; the share is NULL without a total. ``totals`` has (month, category, total).
+    """
+    ruled_out = F.lit(False)
+    for member, words in excluded.items():
+        for part in words:
+            ruled_out = ruled_out | ((F.col(category) == member) & F.contains(F.lower(name), F.lit(part)))
+    wanted = whole_word(F.col(name), word, []) & ~ruled_out & F.col(category).isin(*categories)
+    counted = items.where(wanted).groupBy(F.col(month).alias("month"), F.col(category).alias("category")).agg(F.count(F.lit(1)).alias("targets"))
+    known = totals.where(F.col(category).isin(*categories)).select(F.col(month).alias("month"), F.col(category).alias("category"), "total")
+    both = counted.join(known, ["month", "category"], "full").fillna(0, subset=["targets", "total"])
+
+    def of(member: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("category") == member, F.col(column))), F.lit(0))
+
+    wide = both.groupBy("month").agg(*[of(m, c).alias(f"{m}_{c}") for m in categories for c in ("targets", "total")])
+    return wide.withColumns({f"{m}_share_pct": share(F.col(f"{m}_targets"), F.col(f"{m}_total")) for m in categories})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.fixed_values import MARKET_PRIORITY
 from tidemark.functions.text import canonical, names_company, org_number
 from tidemark.functions.numbers import within
-from tidemark.functions.dates import in_months, is_stale, month_key
+from tidemark.functions.dates import in_months, is_stale, month_key, month_range
 from tidemark.operators import filters as f
 from tidemark.operators import joins as j
 from tidemark.operators import picks as p
@@ -63,9 +63,17 @@ def f5(spark, d):
     SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders
     WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-03' AND '1997-02' GROUP BY ALL""")
 def f6(spark, d):
-    orders = table(spark, d, "orders").withColumn("month", month_key(F.col("o_orderdate")))
-    return orders.where(in_months(F.col("month"), "1996-03", "1997-02")).groupBy("month").agg(
-        F.count(F.lit(1)).alias("n"))
+    orders = table(spark, d, "orders")
+    inside = orders.where(month_range(orders, "o_orderdate", "1996-03", "1997-02"))
+    return inside.groupBy(month_key(F.col("o_orderdate")).alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("f6_month_range_of_keys", """
+    SELECT strftime(ts, '%Y-%m') AS month, event_type, count(*) AS n FROM events
+    WHERE strftime(ts, '%Y-%m') BETWEEN '2023-12' AND '2024-01' GROUP BY ALL""")
+def f6_keys(spark, d):
+    events = table(spark, d, "events").select(month_key(F.col("ts")).alias("month"), "event_type")
+    return events.where(in_months(F.col("month"), "2023-12", "2024-01")).groupBy("month", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("f7_whole_word_unless", r"""

@@ -142,6 +142,19 @@ def a11_whole(spark, d):
     return q.audit(table(spark, d, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("day")), "day", ["l_partkey"])
 
 
+@query("a11_audit_from_day_sketches", """
+    SELECT l_returnflag, count(*) AS rows, count(DISTINCT l_shipdate::DATE) AS dates, min(l_shipdate::DATE)::VARCHAR AS first_date,
+           max(l_shipdate::DATE)::VARCHAR AS last_date, count(DISTINCT l_partkey) AS keys, 1::BIGINT AS estimate_is_near FROM lineitem GROUP BY ALL""")
+def a11_days(spark, d):
+    """The estimate from merged day sketches is within four standard errors of the exact count."""
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_partkey", F.to_date("l_shipdate").alias("day"))
+    days = q.day_sketches(lines, "day", ["l_partkey"], ["l_returnflag"])
+    merged = q.audit_days(days, "day", ["l_returnflag"]).withColumnRenamed("keys", "estimate")
+    exact = q.audit(lines, "day", ["l_partkey"], ["l_returnflag"]).select("l_returnflag", "keys")
+    near = F.abs(F.col("estimate") - F.col("keys")) <= 4 * 1.04 / 64 * F.col("keys") + 1
+    return a.join_groups(merged, exact, ["l_returnflag"]).withColumn("estimate_is_near", near).drop("estimate")
+
+
 _CHANNELS = {"click": "DE", "view": "SE", "signup": "FI"}
 
 _REVIEW_ROWS = """
@@ -221,14 +234,15 @@ def a17(spark, d):
 
 
 @query("a17_month_end_mean_dense", """
-    WITH m AS (SELECT o_orderpriority AS grp, last_day(o_orderdate::DATE) AS month FROM orders WHERE o_totalprice > 480000 GROUP BY ALL),
+    WITH m AS (SELECT o_custkey AS grp, last_day(o_orderdate::DATE) AS month, sum(o_totalprice::DECIMAL(18,4))::DOUBLE / count(*) AS value
+               FROM orders GROUP BY ALL),
     k AS (SELECT grp, unnest(generate_series(date_trunc('month', min(month)), max(month), INTERVAL 1 MONTH)) AS f FROM m GROUP BY grp)
-    SELECT k.grp, last_day(f::DATE)::VARCHAR AS month, CASE WHEN m.grp IS NOT NULL THEN 1.0 END::DOUBLE AS value
+    SELECT k.grp, last_day(f::DATE)::VARCHAR AS month, round(m.value, 4) AS value
     FROM k LEFT JOIN m ON m.grp = k.grp AND m.month = last_day(f::DATE)""")
 def a17_dense(spark, d):
-    rows = table(spark, d, "orders").where("o_totalprice > 480000").select(
-        F.col("o_orderpriority").alias("grp"), F.to_date("o_orderdate").alias("day"), F.lit(1.0).alias("value"))
-    return s.to_month(rows, "day", "value", ["grp"])
+    rows = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("grp"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,4)").alias("value"))
+    return s.to_month(rows, "day", "value", ["grp"]).withColumn("value", F.round(F.col("value").cast("double"), 4))
 
 
 @query("a18_lot_counts", """
@@ -310,9 +324,12 @@ _MONTHLY = """
 
 
 @query("u1_melt_without_nulls", f"""
-    SELECT month, o_orderpriority AS series, sum(n)::BIGINT AS value FROM ({_MONTHLY}) WHERE o_orderstatus = 'P' GROUP BY ALL""")
+    SELECT month, o_orderpriority AS series, sum(n)::BIGINT AS value FROM ({_MONTHLY})
+    WHERE (substr(month, 6, 2)::INT + substr(o_orderpriority, 1, 1)::INT) % 3 <> 0 GROUP BY ALL""")
 def u1(spark, d):
-    wide = monthly_by_priority(spark, d).where("o_orderstatus = 'P'")
+    """Every third cell of the wide table is unknown."""
+    known = (F.substring("month", 6, 2).cast("int") + F.substring("o_orderpriority", 1, 1).cast("int")) % 3 != 0
+    wide = monthly_by_priority(spark, d).withColumn("n", F.when(known, F.col("n")))
     return r.melt(r.pivot_fixed(wide, ["month"], "o_orderpriority", PRIORITIES, "n", fill=None), ["month"])
 
 
@@ -347,17 +364,26 @@ def u3(spark, d):
     coalesce(sum(total) FILTER (o_orderpriority = '{p}'), 0)::DOUBLE AS "{p} (Value)"''' for p in PRIORITIES)}
     FROM ({_MONTHLY}) GROUP BY ALL""")
 def u4(spark, d):
-    return r.pivot_by_latest(monthly_by_priority(spark, d), "month", "o_orderpriority", {"n": "Orders", "total": "Value"}, "n")
+    return r.pivot_by_latest(monthly_by_priority(spark, d), "month", "o_orderpriority", {"n": "Orders", "total": "Value"}, PRIORITIES)
+
+
+@query("u4_long_by_latest", """
+    WITH f AS (SELECT year(l_shipdate) AS y, l_partkey, sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem GROUP BY ALL),
+    l AS (SELECT l_partkey, coalesce(sum(q) FILTER (y = (SELECT max(y) FROM f)), 0) AS latest FROM f GROUP BY ALL)
+    SELECT y::BIGINT AS y, l_partkey, q::BIGINT AS q, n::BIGINT AS n, position FROM f
+    JOIN (SELECT l_partkey, row_number() OVER (ORDER BY latest DESC, l_partkey) AS position FROM l) USING (l_partkey)""")
+def u4_long(spark, d):
+    """A report with as many columns as there are parts, as data."""
+    lines = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("y"), "l_partkey", F.col("l_quantity").cast("bigint").alias("q"), F.lit(1).cast("bigint").alias("n"))
+    return r.long_by_latest(lines, "y", "l_partkey", ["q", "n"], "q")
 
 
 @query("u4_column_order", f"""
     WITH m AS (SELECT month, o_orderpriority, sum(n) AS n FROM ({_MONTHLY}) GROUP BY ALL)
-    SELECT o_orderpriority, coalesce(sum(n) FILTER (month = (SELECT max(month) FROM m)), 0)::BIGINT AS latest FROM m GROUP BY ALL""")
+    SELECT *, row_number() OVER (ORDER BY latest DESC, o_orderpriority) AS position FROM (
+        SELECT o_orderpriority, coalesce(sum(n) FILTER (month = (SELECT max(month) FROM m)), 0)::BIGINT AS latest FROM m GROUP BY ALL)""")
 def u4_order(spark, d):
-    rows = monthly_by_priority(spark, d)
-    last = rows.agg(F.max("month").alias("m")).select("m").scalar()
-    return rows.groupBy("o_orderpriority").agg(
-        F.coalesce(F.sum(F.when(F.col("month") == last, F.col("n"))), F.lit(0)).alias("latest"))
+    return r.latest_order(monthly_by_priority(spark, d), "month", "o_orderpriority", "n")
 
 
 @query("u5_tracked_columns_and_other", f"""
@@ -391,12 +417,14 @@ def u7(spark, d):
 
 
 @query("j8_combine_series", f"""
-    SELECT month, max(n) FILTER (o_orderpriority = '1-URGENT')::DOUBLE AS urgent, max(n) FILTER (o_orderpriority = '5-LOW')::DOUBLE AS low
-    FROM ({_MONTHLY}) WHERE o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '5-LOW', '2-HIGH') GROUP BY ALL""")
+    SELECT month, max(n) FILTER (o_orderpriority = '1-URGENT' AND m % 2 = 0)::DOUBLE AS urgent, max(n) FILTER (o_orderpriority = '5-LOW' AND m % 3 = 0)::DOUBLE AS low
+    FROM (SELECT *, substr(month, 6, 2)::INT AS m FROM ({_MONTHLY})) GROUP BY ALL""")
 def j8(spark, d):
-    rows = monthly_by_priority(spark, d).where("o_orderstatus = 'P'").withColumn("n", F.col("n").cast("double"))
-    parts = {name: rows.where(F.col("o_orderpriority") == p)
-             for name, p in (("urgent", "1-URGENT"), ("low", "5-LOW"), ("anchor", "2-HIGH"))}
+    """Two series with unknown months beside an anchor that knows all of them."""
+    rows = monthly_by_priority(spark, d).withColumn("n", F.col("n").cast("double"))
+    month = F.substring("month", 6, 2).cast("int")
+    parts = {name: rows.where(F.col("o_orderpriority") == p).withColumn("n", F.when(month % every == 0, F.col("n")))
+             for name, p, every in (("urgent", "1-URGENT", 2), ("low", "5-LOW", 3), ("anchor", "2-HIGH", 1))}
     return r.combine_series(parts, "month", "n", anchor="anchor")
 
 
@@ -530,10 +558,10 @@ def q4_table(spark, d):
     SELECT coalesce(a.day, b.day) AS day, CASE WHEN b.day IS NULL THEN 'only_a' WHEN a.day IS NULL THEN 'only_b'
            WHEN a.n = b.n THEN 'exact' ELSE 'mismatch' END AS verdict
     FROM (SELECT o_orderdate::DATE::VARCHAR AS day, count(*) AS n FROM orders GROUP BY ALL) a
-    FULL JOIN (SELECT l_shipdate::DATE::VARCHAR AS day, count(*) AS n FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL) b USING (day)""")
+    FULL JOIN (SELECT l_shipdate::DATE::VARCHAR AS day, count(*) AS n FROM lineitem GROUP BY ALL) b USING (day)""")
 def q5(spark, d):
     a_side = table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    b_side = table(spark, d, "lineitem").where("l_linenumber = 1").groupBy(F.to_date("l_shipdate").alias("day")).agg(
+    b_side = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(
         F.count(F.lit(1)).alias("n"))
     return q.reconcile(a_side, b_side, ["day"], ["n"])
 

@@ -356,13 +356,3 @@ def c30(spark, d):
         F.col("o_orderkey") % 50, F.lit(",5 kr</i></td></tr><tr><td>only one</td></tr><tr><td>b</td><td>- "), "o_custkey",
         F.lit("</td></tr></tbody></table>"))
     return table(spark, d, "orders").select("o_orderkey", F.explode(t.table_column(html, "epc")).alias("cell"))
-
-
-@query("a23_counter_to_daily_estimate", f"""
-    SELECT base, sum(week) / 7.0 AS daily FROM (
-        SELECT split_part(key, '-', 1) AS base, market, max(sale_last_week)::DOUBLE AS week FROM ({b.COUNTER_SNAPSHOT}) GROUP BY ALL)
-    GROUP BY ALL HAVING sum(week) > 0""")
-def a23(spark, d):
-    per_market = b.counter_snapshot(spark, d).groupBy(t.base_key(F.col("key")).alias("base"), "market").agg(
-        F.max("sale_last_week").alias("week"))
-    return per_market.groupBy("base").agg(F.sum("week").alias("w")).where("w > 0").select("base", (F.col("w") / 7.0).alias("daily"))

@@ -28,7 +28,7 @@ def site_snapshot(spark, d):
     return b.store_snapshot(spark, d).select(
         "snapshot_date", F.col("store").alias("site"), key.alias("product_key"), F.concat(F.lit("brand"), key % 9).alias("brand"),
         F.concat(F.lit("title"), key).alias("title"), F.concat(F.lit("top"), key % 2, F.lit(" > mid"), key % 3, F.lit(" > leaf")).alias("category"),
-        F.col("quantity").alias("stock"), F.col("price").alias("sell_price"), (F.col("price") + 5).alias("list_price"))
+        F.concat(F.lit("S"), key % 4).alias("size"), F.col("quantity").alias("stock"), F.col("price").alias("sell_price"), (F.col("price") + 5).alias("list_price"))
 
 
 _STEPS = f"""
@@ -51,12 +51,40 @@ def v5(spark, d):
     return catalog.site_daily_summary(site_snapshot(spark, d))
 
 
+@query("v5_day_row", f"""
+    SELECT snapshot_date::VARCHAR AS snapshot_date, count(*) AS total_products, sum(sold)::BIGINT AS est_sold_units, sum(sold * price)::DOUBLE AS sell_rev,
+           sum(sold * (price + 5))::DOUBLE AS list_rev, count(*) FILTER (kind = 'restock') AS restocks, count(*) FILTER (kind = 'return') AS returns,
+           count(DISTINCT site) AS sites, count(DISTINCT category_group) AS categories, count(DISTINCT brand) AS brands,
+           sum(sold) FILTER (site = 'click')::BIGINT AS click_units, sum(sold * price) FILTER (brand = 'brand3')::DOUBLE AS brand3_rev,
+           count(*) FILTER (category_group = 'top1>mid2' AND kind = 'restock') AS group_restocks
+    FROM ({_STEPS}) GROUP BY ALL""")
+def v5_day(spark, d):
+    rows = catalog.daily_row(site_snapshot(spark, d))
+    maps = {"sites": "by_site", "categories": "by_category", "brands": "by_brand"}
+    return rows.select(
+        "snapshot_date", "total_products", "est_sold_units", "sell_rev", "list_rev", "restocks", "returns",
+        *[F.size(m).alias(name) for name, m in maps.items()],
+        F.try_element_at("by_site", F.lit("click"))["est_sold_units"].alias("click_units"),
+        F.try_element_at("by_brand", F.lit("brand3"))["sell_rev"].alias("brand3_rev"),
+        F.coalesce(F.try_element_at("by_category", F.lit("top1>mid2"))["restocks"], F.lit(0)).alias("group_restocks"))
+
+
+@query("v5_detail_rows", f"""
+    SELECT snapshot_date::VARCHAR AS snapshot_date, site, product_key, kind, sold::BIGINT AS sold,
+           {', '.join(f"max((site = '{s}')::INT) OVER w::BIGINT AS in_{s}" for s in ("click", "view", "signup"))},
+           (max((site = 'click')::INT) OVER w + max((site = 'view')::INT) OVER w + max((site = 'signup')::INT) OVER w)::BIGINT AS listed_count
+    FROM ({_STEPS}) WINDOW w AS (PARTITION BY snapshot_date, product_key)""")
+def v5_detail(spark, d):
+    rows = catalog.detail_rows(site_snapshot(spark, d), ["click", "view", "signup"])
+    return rows.select("snapshot_date", "site", "product_key", "kind", F.col("sold").cast("bigint").alias("sold"), "in_click", "in_view", "in_signup", "listed_count")
+
+
 @query("v5_restock_events", f"""
-    SELECT snapshot_date::VARCHAR AS snapshot_date, product_key, site, brand, before AS stock_before, stock AS stock_after, stock - before AS delta,
+    SELECT snapshot_date::VARCHAR AS snapshot_date, product_key, site, brand, 'S' || product_key % 4 AS size, before AS stock_before, stock AS stock_after, stock - before AS delta,
            price::DOUBLE AS sell_price FROM ({_STEPS}) WHERE kind = 'restock'""")
 def v5_events(spark, d):
     packed = catalog.daily_events(site_snapshot(spark, d), "restock")
-    return explode_events(packed, "restock_events", "product_key:bigint,site:string,brand:string,stock_before:bigint,"
+    return explode_events(packed, "restock_events", "product_key:bigint,site:string,brand:string,size:string,stock_before:bigint,"
                           "stock_after:bigint,delta:bigint,sell_price:decimal(10,2)")
 
 
@@ -93,33 +121,49 @@ def v6_revenue(spark, d):
     return rows.withColumns({c: F.round(c, 4) for c in rows.columns if "_x_" in c})
 
 
+def _summed(scale: int, value: str) -> str:
+    """A category rounds its sum; the total adds rounded products."""
+    each = f"sum(round_even({value}, {scale})::DECIMAL(18,{scale}))::DOUBLE"
+    return f"CASE WHEN grouping(category) = 1 THEN {each} ELSE round_even(sum({value}), {scale}) END"
+
+
 @query("v7_category_estimate", f"""
-    SELECT category, round_even(sum(sale_last_week / 7.0::DOUBLE), 1) AS units, round_even(sum(sale_last_week / 7.0::DOUBLE * sell_price), 2) AS revenue_sell,
-           round_even(sum(sale_last_week / 7.0::DOUBLE * list_price), 2) AS revenue_list, count(*) AS product_colours,
-           CASE WHEN sum(list_price) > 0 THEN round_even(100.0::DOUBLE * (1.0::DOUBLE - round_even(sum(sale_last_week / 7.0::DOUBLE * sell_price), 2)
-               / round_even(sum(sale_last_week / 7.0::DOUBLE * list_price), 2)), 1) ELSE 0 END AS avg_discount_pct
-    FROM ({_colours('last')}) WHERE sale_last_week > 0 GROUP BY GROUPING SETS ((), (category))""")
+    SELECT *, CASE WHEN revenue_list > 0 THEN round_even(100.0::DOUBLE * (1.0::DOUBLE - revenue_sell / revenue_list), 1) ELSE 0 END AS avg_discount_pct FROM (
+        SELECT category, {_summed(1, 'units')} AS units, {_summed(2, 'units * sell_price')} AS revenue_sell,
+               {_summed(2, 'units * list_price')} AS revenue_list, count(*) AS product_colours
+        FROM (SELECT *, sale_last_week / 7.0::DOUBLE AS units FROM ({_colours('last')})) WHERE sale_last_week > 0 GROUP BY GROUPING SETS ((), (category)))""")
 def v7(spark, d):
     colours = catalog.product_colours(
         b.counter_snapshot(spark, d), b.rates(spark, d), MARKET_CURRENCY, MARKET_PRIORITY, cut="last", rounded=False)
     return catalog.category_estimate(colours)
 
 
+@query("a23_counter_to_daily_estimate", f"""
+    SELECT base_key AS base, market, sale_last_week / 7.0::DOUBLE AS daily, round(sale_last_week / 7.0::DOUBLE * sell_price, 6) AS revenue
+    FROM ({_colours('first')}) WHERE sale_last_week > 0""")
+def a23(spark, d):
+    """The greatest counter in the first market that lists a base key, as units and revenue a day."""
+    colours = catalog.product_colours(b.counter_snapshot(spark, d), b.rates(spark, d), MARKET_CURRENCY, MARKET_PRIORITY, rounded=False)
+    return catalog.daily_estimate(colours).select(
+        F.col("base_key").alias("base"), "market", F.col("units").alias("daily"), F.round("revenue_sell", 6).alias("revenue"))
+
+
 # --- reviews -------------------------------------------------------------------------------
 
 REVIEW_LABELS = {"click": "DE", "view": "SE", "signup": "DE"}
 
 
 def review_runs(spark, d):
-    """Cumulative counts as captured every hour; only a day's last run holds the whole day."""
+    """Cumulative counts in two runs a day: the first one counted wrongly and knows products that the last one lacks."""
     from pyspark.sql import Window
 
-    hourly = table(spark, d, "events").groupBy(
-        F.to_date("ts").alias("snapshot_date"), F.hour("ts").alias("run"), F.col("user_id").alias("product"),
-        F.col("event_type").alias("channel")).agg(F.count(F.lit(1)).alias("n"))
-    # One row per hour and key after the count: the running window is no longer than the calendar.
-    running = Window.partitionBy("product", "channel").orderBy("snapshot_date", "run")
-    return hourly.select("snapshot_date", "run", "product", "channel", F.sum("n").over(running).alias("count"))
+    daily = table(spark, d, "events").groupBy(
+        F.to_date("ts").alias("snapshot_date"), F.col("user_id").alias("product"), F.col("event_type").alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per day and key after the count: the running window is no longer than the calendar.
+    running = Window.partitionBy("product", "channel").orderBy("snapshot_date")
+    last = daily.select("snapshot_date", F.lit(2).alias("run"), "product", "channel", F.sum("n").over(running).alias("count"))
+    wrong = last.withColumns({"run": F.lit(1), "count": F.col("count") + 100})
+    return last.union(wrong).union(wrong.withColumns({"product": F.col("product") + 1_000_000, "channel": F.lit("gone")}))
 
 
 @query("v8_review_proxy_summary", f"""
@@ -129,7 +173,9 @@ def review_runs(spark, d):
     t AS (SELECT snapshot_date, sum(count)::BIGINT AS total_reviews, sum(fresh)::BIGINT AS total_new_reviews,
                  sum(fresh * CASE WHEN product % 4 = 0 THEN 0 ELSE 10 + product % 7 END)::DOUBLE AS proxy_value FROM g GROUP BY ALL),
     ch AS (SELECT snapshot_date, channel, sum(count) AS count FROM c GROUP BY ALL),
-    gc AS (SELECT *, greatest(0, count - coalesce(lag(count) OVER (PARTITION BY channel ORDER BY snapshot_date), 0)) AS fresh FROM ch),
+    k AS (SELECT day, lag(day) OVER (ORDER BY day) AS prior FROM (SELECT DISTINCT snapshot_date AS day FROM c)),
+    gc AS (SELECT n.*, greatest(0, n.count - coalesce(o.count, 0)) AS fresh FROM ch n JOIN k ON k.day = n.snapshot_date
+           LEFT JOIN ch o ON o.snapshot_date = k.prior AND o.channel = n.channel),
     ct AS (SELECT snapshot_date, sum(CASE WHEN channel IN ('click', 'signup') THEN fresh ELSE 0 END)::BIGINT AS "new_DE",
                   sum(CASE WHEN channel = 'view' THEN fresh ELSE 0 END)::BIGINT AS "new_SE",
                   sum(CASE WHEN channel IN ('error', 'purchase') THEN fresh ELSE 0 END)::BIGINT AS new_other FROM gc GROUP BY ALL),
@@ -165,6 +211,26 @@ def v9_share(spark, d):
     return reviews.target_share(rows, "month", whole_word(F.col("p_name"), "ring", ["blue"]), F.col("category"))
 
 
+@query("v9_two_source_share", r"""
+    WITH i AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, CASE WHEN p_size % 2 = 0 THEN 'PANTS' ELSE 'JACKETS' END AS category, count(*) AS n
+               FROM lineitem JOIN part ON p_partkey = l_partkey
+               WHERE regexp_matches(p_name, '\bring\b') AND NOT (p_size % 2 = 0 AND p_name LIKE '%blue%') GROUP BY ALL),
+    h AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN o_orderkey % 2 = 0 THEN 'PANTS' ELSE 'JACKETS' END AS category, count(*) AS n FROM orders GROUP BY ALL),
+    f AS (SELECT coalesce(i.month, h.month) AS month, coalesce(i.category, h.category) AS category, coalesce(i.n, 0) AS s, coalesce(h.n, 0) AS t
+          FROM i FULL JOIN h ON i.month = h.month AND i.category = h.category)
+    SELECT month, coalesce(sum(s) FILTER (category = 'PANTS'), 0)::BIGINT AS "PANTS_targets", coalesce(sum(t) FILTER (category = 'PANTS'), 0)::BIGINT AS "PANTS_total",
+           round_even(100.0::DOUBLE * "PANTS_targets" / nullif("PANTS_total", 0), 2) AS "PANTS_share_pct",
+           coalesce(sum(s) FILTER (category = 'JACKETS'), 0)::BIGINT AS "JACKETS_targets", coalesce(sum(t) FILTER (category = 'JACKETS'), 0)::BIGINT AS "JACKETS_total",
+           round_even(100.0::DOUBLE * "JACKETS_targets" / nullif("JACKETS_total", 0), 2) AS "JACKETS_share_pct" FROM f GROUP BY ALL""")
+def v9_two_sources(spark, d):
+    category = F.when(F.col("p_size") % 2 == 0, "PANTS").otherwise("JACKETS")
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", category.alias("category"))
+    items = enrich(table(spark, d, "lineitem").select("l_partkey", month_key(F.col("l_shipdate")).alias("month")), parts, ["l_partkey"], "inner")
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "PANTS").otherwise("JACKETS")
+    totals = table(spark, d, "orders").groupBy(month_key(F.col("o_orderdate")).alias("month"), kind.alias("category")).agg(F.count(F.lit(1)).alias("total"))
+    return reviews.two_source_share(items, totals, "month", "category", "p_name", "ring", ["PANTS", "JACKETS"], {"PANTS": ["blue"]})
+
+
 # --- prices --------------------------------------------------------------------------------
 
 def partner_cells(spark, d):
