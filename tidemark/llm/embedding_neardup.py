@@ -7,8 +7,8 @@
 3. Inside a shard, points within half the link angle of a leader form its *ball*. All members of a ball are linked with
    each other by the triangle inequality, so a crowd of near copies is one node and its pairs are never listed.
 4. Leaders of a shard get a pruned adjacency list each; a leader's lists from all its shards are united.
-5. Every leader searches the graph of its home shard, from the medoid of that shard, widened by the neighbours that united
-   lists name outside it. The beam keeps growing while there are new leaders in range.
+5. Every leader searches the graph of its home shard, from the medoid of that shard, widened by the near neighbours that
+   united lists name outside it. The beam keeps growing while there are new leaders in range.
 6. Pairs of balls found are verified: all or no members are linked where their radii decide, and members are compared block
    by block where they don't, always in double precision.
 7. Recall is audited against brute force for ``AUDIT`` points chosen by hash; below ``LEAST_RECALL`` the search is run
@@ -37,10 +37,12 @@ SHARD = 1_024
 PIVOT_SAMPLE = 2_048
 MOST_PIVOTS = 64
 MOST_ROUNDS = 16
-DEGREE = 32
-POOL = 64
+DEGREE = 24
+POOL = 48
+SPREAD = 16
 ALPHA = 1.2
 BEAM = 32
+OPENED = 4
 AUDIT = 256
 LEAST_RECALL = 0.95
 MEMBERS = 256
@@ -179,12 +181,12 @@ def balls(sharded: DataFrame, cosine: float = COSINE) -> DataFrame:
 def prune(cosines: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha: float = ALPHA) -> list[np.ndarray]:
     """Robust-pruned neighbours of every point of a shard, given all cosines inside it.
 
-    Of the ``pool`` nearest and as many points spread over the shard, the nearest is taken, and every other one that is
+    Of the ``pool`` nearest and ``SPREAD`` points spread over the shard, the nearest is taken, and every other one that is
     ``alpha`` times nearer to it than to the point goes; and so on up to ``degree``.
     """
     n = len(cosines)
     far = np.sqrt(np.maximum(2 - 2 * cosines, 0))
-    spread = np.unique(np.linspace(0, n - 1, min(n, pool)).astype(int))
+    spread = np.unique(np.linspace(0, n - 1, min(n, SPREAD)).astype(int))
     out: list[np.ndarray] = []
     for start in range(0, n, 128):
         rows = np.arange(start, min(n, start + 128))
@@ -194,24 +196,23 @@ def prune(cosines: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha: fl
         pools = np.concatenate([nearest, np.tile(spread, (len(rows), 1))], axis=1)
         left = np.take_along_axis(own, pools, axis=1)
         between = far[pools[:, :, None], pools[:, None, :]]
-        chosen: list[list[int]] = [[] for _ in rows]
+        chosen = np.full((len(rows), degree), -1)
         reach = left.copy()
-        for _ in range(degree):
+        for step in range(degree):
             best = left.argmin(axis=1)
             open_rows = np.flatnonzero(np.isfinite(left[np.arange(len(rows)), best]))
             if not len(open_rows):
                 break
-            for r in open_rows:
-                chosen[r].append(int(pools[r, best[r]]))
+            chosen[open_rows, step] = pools[open_rows, best[open_rows]]
             taken = between[open_rows, best[open_rows]]
             left[open_rows] = np.where(alpha * taken <= reach[open_rows], np.inf, left[open_rows])
             left[open_rows, best[open_rows]] = np.inf
-        out += [np.array(c, dtype=np.int64) for c in chosen]
+        out += [c[c >= 0] for c in chosen]
     return out
 
 
 def _graph(leaders: DataFrame) -> DataFrame:
-    """United adjacency lists, ``node, links``, of leaders (shard, node, vector)."""
+    """United adjacency lists, ``node, links`` (each with its cosine), of leaders (shard, node, vector)."""
     def build(table: pa.Table) -> pa.Table:
         nodes = table.column("node").to_numpy()
         own = _unit(table.column("vector").to_pylist())
@@ -232,9 +233,10 @@ def _graph(leaders: DataFrame) -> DataFrame:
                 lists[int(known[cosines[k, known].argmax()])].add(k)
                 reached.add(k)
                 front.append(k)
-        return pa.table({"node": nodes, "links": pa.array([nodes[sorted(x)].tolist() for x in lists], pa.list_(pa.int64()))})
+        links = [[{"to": int(nodes[x]), "near": round(float(cosines[k, x]), 6)} for x in sorted(own_links)] for k, own_links in enumerate(lists)]
+        return pa.table({"node": nodes, "links": pa.array(links, pa.list_(pa.struct([("to", pa.int64()), ("near", pa.float64())])))})
 
-    built = _grouped(leaders.select("shard", "node", "vector"), "shard", build, "node long, links array<bigint>")
+    built = _grouped(leaders.select("shard", "node", "vector"), "shard", build, "node long, links array<struct<to: bigint, near: double>>")
     return stored(built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links")), "graph")
 
 
@@ -242,38 +244,47 @@ def _walk(own: np.ndarray, links: np.ndarray, start: int, queries: np.ndarray, r
     """Pairs (place in queries, point) whose cosine is at least the query's reach, by beams that grow with what is in range."""
     n, count = len(own), len(queries)
     cosines = np.full((count, n + 1), -np.inf)  # the last column stands for no neighbour
-    opened = np.zeros((count, n + 1), dtype=bool)
-    cosines[:, start] = own[queries] @ own[start]
-    cosines[np.arange(count), queries] = 1.0
+    waiting = np.full((count, n + 1), -np.inf)  # cosines of seen points that are not opened yet
+    for column, value in ((np.full(count, start), own[queries] @ own[start]), (queries, np.ones(count))):
+        cosines[np.arange(count), column] = waiting[np.arange(count), column] = value
     active = np.arange(count)
     while len(active):
-        seen = cosines[active]
+        seen, ahead = cosines[active, :n], waiting[active, :n]
+        # A beam is the best points seen; what is in range widens it, so a crowd is opened as a whole.
+        floor = -np.partition(-seen, beam - 1, axis=1)[:, beam - 1] if n > beam else np.full(len(active), -np.inf)
         in_range = (seen >= reach[active, None]).sum(axis=1)
-        width = np.minimum(beam + 2 * in_range, n)
-        ranked = -np.sort(-seen, axis=1)
-        floor = np.maximum(ranked[np.arange(len(active)), width - 1], -2.0)
-        free = np.where(opened[active] | (seen < floor[:, None]), -np.inf, seen)
-        best = free.argmax(axis=1)
-        going = np.isfinite(free[np.arange(len(active)), best])
-        active, best = active[going], best[going]
-        opened[active, best] = True
-        found = links[best]
-        rows = np.repeat(np.arange(len(active)), found.shape[1])
-        flat = found.reshape(-1)
-        new = np.isneginf(cosines[active[rows], flat]) & (flat < n)
-        rows, flat = rows[new], flat[new]
-        cosines[active[rows], flat] = np.einsum("ij,ij->i", own[queries[active[rows]]], own[flat])
+        for row in np.flatnonzero(in_range):
+            wide = min(beam + 2 * int(in_range[row]), n)
+            floor[row] = -np.partition(-seen[row], wide - 1)[wide - 1]
+        top = np.argpartition(-ahead, min(OPENED, n) - 1, axis=1)[:, :OPENED]
+        best = np.take_along_axis(ahead, top, axis=1)
+        rows, places = np.nonzero(np.isfinite(best) & (best >= floor[:, None]))
+        chosen = top[rows, places]
+        waiting[active[rows], chosen] = -np.inf
+        flat = links[chosen].reshape(-1)
+        asking = np.repeat(active[rows], links.shape[1])
+        pairs = np.unique((asking * (n + 1) + flat)[(flat < n) & np.isneginf(cosines[asking, flat])])
+        asking, flat = pairs // (n + 1), pairs % (n + 1)
+        found = np.einsum("ij,ij->i", own[queries[asking]], own[flat])
+        cosines[asking, flat] = waiting[asking, flat] = found
+        active = active[np.unique(rows)]
     return np.nonzero(cosines[:, :n] >= reach[:, None])
 
 
 def _searched(leaders: DataFrame, graph: DataFrame, cosine: float, beam: int) -> DataFrame:
-    """Pairs of leaders ``a < b`` whose balls may hold linked members, with their cosine."""
+    """Pairs of leaders ``a < b`` whose balls may hold linked members, with their cosine.
+
+    A neighbour outside the shard only helps where it and the point that names it can both be in range of one query, so
+    longer edges do not widen a shard; inside the shard they guide the search.
+    """
     lists = leaders.join(graph, "node")
-    inside = lists.select("shard", "node", "vector", "home", "wide", "links")
+    inside = lists.select("shard", "node", "vector", "home", "wide", F.col("links.to").alias("links"))
+    widest = 2 * float(np.arccos(cosine)) + 2 * F.col("wide")
+    named = lists.select("shard", "wide", F.explode("links").alias("l")).where(F.col("l.near") >= F.cos(F.least(widest, F.lit(np.pi))))
     outer = (
-        lists.select("shard", F.explode("links").alias("node")).distinct().join(leaders.select("shard", "node"), ["shard", "node"], "left_anti")
+        named.select("shard", F.col("l.to").alias("node")).distinct().join(leaders.select("shard", "node"), ["shard", "node"], "left_anti")
         .join(leaders.where("home").drop("shard", "home"), "node").join(graph, "node")
-        .select("shard", "node", "vector", F.lit(False).alias("home"), "wide", "links")
+        .select("shard", "node", "vector", F.lit(False).alias("home"), "wide", F.col("links.to").alias("links"))
     )
     link = np.arccos(cosine)
 
