@@ -352,3 +352,12 @@ def test_token_files_odd_rows(spark, odd, none):
         place = scratch_folder(spark, "tokens")
         manifest = token_files.write_token_files(frame, place, partitions=3)
         assert token_files.read_token_files(spark, manifest, place).count() == n
+
+
+@pytest.mark.parametrize("text, want", [
+    ("BE68 5390 0754 7034 CALL now account", ["BE68 5390 0754 7034"]), ("iban DE89370400440532013000", ["DE89370400440532013000"]),
+    ("account BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00 end", ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]),
+    ("XK11 BE68 5390 0754 7034 bank", ["BE68 5390 0754 7034"]), ("BE68 5390 0754 7035 WORD bank", []), ("NO93 8601 1117 947 transfer", ["NO93 8601 1117 947"]),
+])
+def test_accounts_end_where_the_checksum_holds(text, want):
+    assert [text[a:b] for kind, a, b in personal_data.added_spans(text) if kind == "iban"] == want

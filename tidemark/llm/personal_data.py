@@ -14,6 +14,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_id")
 KEEP_AT = 0.5
 CONTEXT_CHARS = 48
+LEAST_ACCOUNT = 15
 
 LOCAL_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -85,11 +86,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _accounts(text: str):
+    """Account numbers: the longest run of groups from a start that passes mod 97, since a word behind looks like a group."""
+    at = 0
+    while match := _IBAN.search(text, at):
+        start, end = match.span()
+        while end > start and not (end - start - text.count(" ", start, end) >= LEAST_ACCOUNT and mod97(text[start:end])):
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        at = max(end, start + 1)
+
+
 def added_spans(text: str) -> list[tuple[str, int, int]]:
     """Candidates beyond the base kinds: account numbers that pass mod 97, national ids by their form."""
     if not _DIGIT.search(text):
         return []
-    found = [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m[0])]
+    found = [("iban", *span) for span in _accounts(text)]
     return found + [("national_id", *m.span()) for m in _NATIONAL.finditer(text)]
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, embedding_neardup, language_model, length_histogram, merkle_manifest, ngram_join, packing, personal_data, quality_rules, secret_scan,
-    suffix_dedup, token_files, vector_codes,
+    decontamination, embedding_neardup, language_model, length_histogram, merkle_manifest, ngram_join, oracles, packing, personal_data, quality_rules,
+    secret_scan, suffix_dedup, token_files, vector_codes,
 )
 from tidemark.llm.common import scratch_folder, stored
 from tidemark.llm.spans import span_digest
@@ -106,5 +106,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    """None of these can be said in SQL over whole tables in reasonable time; tests/llm has brute-force versions."""
-    return {}
+    """The others cannot be said in SQL over whole tables in reasonable time; tests/llm has brute-force versions."""
+    return {"op12_embedding_neardup": oracles.EMBEDDING_NEARDUP, "op13_vector_codes": oracles.VECTOR_CODES}
