@@ -18,4 +18,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, name):
     verdict = compare(spark, con, FOLDER, all_queries()[name], all_oracles()[name])
-    assert verdict in ("", "no rows")
+    if verdict == "no rows":  # the smallest tables hold no such case; the next ones must
+        larger = FOLDER.replace("sf0.001", "sf0.01")
+        verdict = compare(spark, connect(larger), larger, all_queries()[name], all_oracles()[name])
+    assert verdict == ""
