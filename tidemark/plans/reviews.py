@@ -25,6 +25,18 @@ def rating_metrics(df: DataFrame, by: Sequence[str], rating: str, top, scale_to:
     )
 
 
+def _product_totals(latest: DataFrame, prices: DataFrame) -> DataFrame:
+    """Per day: total and new reviews and their value at the products' prices; no price counts 0."""
+    per_product = latest.groupBy("snapshot_date", "product").agg(F.sum("count").alias("count"))
+    grown = snapshot_delta(per_product, ["product"], "snapshot_date", "count", max_gap_days=None, mode="growth",
+                           first_as_zero=True)
+    priced = enrich(grown, prices, ["product"], "left", {"price": 0.0})
+    return priced.groupBy("snapshot_date").agg(
+        F.sum("count").alias("total_reviews"), F.sum("growth").alias("total_new_reviews"),
+        F.bround(F.sum(F.col("price") * F.col("growth")), 0).alias("proxy_value"),
+    )
+
+
 def proxy_summary(
     counts: DataFrame, prices: DataFrame, labels: Mapping[str, str], tracked: Sequence[str]
 ) -> DataFrame:
@@ -35,14 +47,7 @@ def proxy_summary(
     channel's when the captured day before lacks it.
     """
     latest = latest_run_per_day(counts, "snapshot_date", "run").drop("run")
-    per_product = latest.groupBy("snapshot_date", "product").agg(F.sum("count").alias("count"))
-    grown = snapshot_delta(per_product, ["product"], "snapshot_date", "count", max_gap_days=None, mode="growth",
-                           first_as_zero=True)
-    priced = enrich(grown, prices, ["product"], "left", {"price": 0.0})
-    totals = priced.groupBy("snapshot_date").agg(
-        F.sum("count").alias("total_reviews"), F.sum("growth").alias("total_new_reviews"),
-        F.bround(F.sum(F.col("price") * F.col("growth")), 0).alias("proxy_value"),
-    )
+    totals = _product_totals(latest, prices)
     per_channel = latest.groupBy("snapshot_date", "channel").agg(F.sum("count").alias("count"))
     moved = snapshot_delta(per_channel, ["channel"], "snapshot_date", "count", max_gap_days=None, mode="growth",
                            first_as_zero=True, adjacent=True)
@@ -58,6 +63,67 @@ def proxy_summary(
     return enrich(totals.join(by_country, "snapshot_date"), signals, ["snapshot_date"], "left", {"new_channels": 0})
 
 
+def _rated_days(ratings: DataFrame, scale_to: int, top: float) -> DataFrame:
+    """Per day: mean rating on a scale to ``scale_to`` and the share of the top rating, from counts per rating."""
+    rows = F.sum("count")
+    best = F.coalesce(F.sum(F.when(F.col("rating") == top, F.col("count"))), F.lit(0))
+    return ratings.where("rating is not null").groupBy("snapshot_date").agg(
+        F.bround(F.when(rows > 0, F.sum(F.col("rating") * F.col("count")) / rows * scale_to), 3).alias("avg_rating"),
+        F.when(rows > 0, F.bround(best / rows * 100, 1)).otherwise(0.0).alias("pct_top"),
+    )
+
+
+def _first_sightings(moved: DataFrame, signals: Mapping[str, str]) -> DataFrame:
+    """Per day: the members first seen then, sorted and comma-joined, one column per dimension; a dimension's first day seeds it."""
+    first = moved.where(F.col("dimension").isin(*signals)).groupBy("dimension", "member").agg(F.min("snapshot_date").alias("snapshot_date"))
+    start = first.groupBy("dimension").agg(F.min("snapshot_date").alias("__start"))
+    later = first.join(start, "dimension").where(F.col("snapshot_date") > F.col("__start"))
+    names = [
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("dimension") == d, F.col("member")))), ",").alias(column)
+        for d, column in signals.items()
+    ]
+    return later.groupBy("snapshot_date").agg(*names)
+
+
+def review_summary(
+    counts: DataFrame, prices: DataFrame, aggregates: DataFrame, ratings: DataFrame,
+    tracked: Mapping[str, Sequence[str]], labels: Mapping[str, Mapping[str, str]] | None = None,
+    others: Mapping[str, str] | None = None, signals: Mapping[str, str] | None = None, scale_to: int = 5, top: float = 1.0,
+) -> DataFrame:
+    """The whole daily review summary, one row per captured day.
+
+    ``counts`` (snapshot_date, run, product, channel, count) gives totals, new reviews and the proxy value, ``ratings``
+    (snapshot_date, run, rating, count) the mean and the share of the ``top`` rating. ``aggregates`` (snapshot_date, run,
+    dimension, member, count) gives new reviews per tracked member, ``new_<member>``, against the captured day before: a
+    member it lacks counts in full, a falling count as 0. ``labels`` renames members of a dimension, several to one name if
+    need be; ``others`` names the column of a dimension that takes all members that are not tracked, and NULL; ``signals`` names a
+    column of the members first seen on a day, by their own names. The last run of a day replaces earlier ones in each input.
+    Days come from ``counts``: where another input lacks a day, its numbers are 0, its signals empty and its ratings NULL.
+    """
+    labels, others, signals = labels or {}, others or {}, signals or {}
+    columns = [f"new_{m}" for members in tracked.values() for m in members] + list(others.values()) + list(signals.values())
+    if len(set(columns)) < len(columns):
+        raise ValueError(f"columns of several dimensions share a name: {sorted(columns)}")
+    totals = _product_totals(latest_run_per_day(counts, "snapshot_date", "run").drop("run"), prices)
+    latest = latest_run_per_day(aggregates, "snapshot_date", "run").drop("run")
+    per_member = latest.groupBy("snapshot_date", "dimension", "member").agg(F.sum("count").alias("count"))
+    moved = snapshot_delta(per_member, ["dimension", "member"], "snapshot_date", "count", max_gap_days=None, mode="growth",
+                           first_as_zero=True, adjacent=True)
+    cells = []
+    for dimension, members in tracked.items():
+        renamed = labels.get(dimension)
+        code = F.col("member")
+        if renamed is not None:
+            code = F.try_element_at(F.create_map(*[F.lit(x) for kv in renamed.items() for x in kv]), code)
+        bucket, here = bucket_other(code, members, "\0other"), F.col("dimension") == dimension
+        wanted = {m: f"new_{m}" for m in members} | ({"\0other": others[dimension]} if dimension in others else {})
+        cells += [F.coalesce(F.sum(F.when(here & (bucket == m), F.col("growth"))), F.lit(0)).alias(c) for m, c in wanted.items()]
+    numbers = [f"new_{m}" for members in tracked.values() for m in members] + list(others.values())
+    rated = _rated_days(latest_run_per_day(ratings, "snapshot_date", "run"), scale_to, top)
+    out = enrich(enrich(totals, rated, ["snapshot_date"]), moved.groupBy("snapshot_date").agg(*cells), ["snapshot_date"], "left", dict.fromkeys(numbers, 0))
+    return enrich(out, _first_sightings(moved, signals), ["snapshot_date"], "left", dict.fromkeys(signals.values(), "")) if signals else out
+
+
 def monthly_history(
     reviews: DataFrame, dims: Mapping[str, Column], tracked: Mapping[str, Sequence[str]], capped: Column
 ) -> DataFrame:

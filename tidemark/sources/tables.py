@@ -97,6 +97,18 @@ def derive_snapshot_date(df: DataFrame, stamp: str, date: str = "snapshot_date")
     return df.withColumn(date, F.coalesce(F.col(date), day) if date in df.columns else day)
 
 
+def backfill_violations(df: DataFrame, stamp: str, keys: Sequence[str], date: str = "snapshot_date") -> DataFrame:
+    """What forbids (date, keys) as a unique key once dates are derived: rows without a date, and keys held by several rows.
+
+    As in a unique index, a key with a NULL part repeats no other.
+    """
+    derived = derive_snapshot_date(df, stamp, date)
+    whole = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.col(date).isNotNull())
+    held = derived.select(date, *keys).groupBy(date, *keys).agg(F.count(F.lit(1)).alias("rows"))
+    fault = F.when(F.col(date).isNull(), "no date").when(whole & (F.col("rows") > 1), "repeated key")
+    return held.withColumn("fault", fault).where("fault is not null")
+
+
 # --- writers -------------------------------------------------------------------------------
 
 def _require(source: DataFrame, *columns: str) -> None:
@@ -147,6 +159,18 @@ def save_generation(df: DataFrame, path: str, number: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/generation={number}")
 
 
+def backfill_report(spark: SparkSession, path: str, stamp: str, keys: Sequence[str], date: str = "snapshot_date") -> int:
+    """Backfill the dates of a report table as a new generation; nothing is written if (date, keys) would not be unique."""
+    number, rows = latest_generation(spark, path)
+    if rows is None:
+        raise ValueError(f"no complete generation in {path}")
+    found = backfill_violations(rows, stamp, keys, date).groupBy("fault").agg(F.sum("rows").alias("rows")).collect()
+    if found:
+        raise ValueError("; ".join(sorted(f"{r.fault}: {r.rows} rows" for r in found)))
+    save_generation(derive_snapshot_date(rows, stamp, date), path, number + 1)
+    return number + 1
+
+
 def try_write(write: Callable[[], int]) -> tuple[int | None, str | None]:
     """(rows, None) on success, (None, message) on failure; never raises."""
     try:

@@ -17,6 +17,7 @@ from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
 from tidemark.sources.notices import notice_tables, parse_notices, read_notices, stored_notices
 from tidemark.operators.joins import link_graph
+from tidemark.operators.picks import union_labelled
 from tidemark.functions.once import keep_if
 from tidemark.functions.text import names_company
 from tidemark.streaming.incremental import incremental_delta, read_deltas
@@ -293,6 +294,18 @@ def s9(spark, d):
     return m.read_or_default(spark, "tidemark_tracked_companies", default)
 
 
+@query("s9_three_cases", """
+    SELECT 'missing' AS state, n_name AS company FROM nation WHERE n_regionkey = 0 UNION ALL SELECT 'empty', n_name FROM nation WHERE n_regionkey = 0
+    UNION ALL SELECT 'filled', s_name FROM supplier""")
+def s9_cases(spark, d):
+    """The default where the configured table is missing or has no row, else the table."""
+    default = table(spark, d, "nation").where("n_regionkey = 0").select(F.col("n_name").alias("company"))
+    tracked = table(spark, d, "supplier").select(F.col("s_name").alias("company"))
+    tracked.where("false").createOrReplaceTempView("tidemark_tracked_empty")
+    tracked.createOrReplaceTempView("tidemark_tracked_filled")
+    return union_labelled({s: m.read_or_default(spark, f"tidemark_tracked_{s}", default) for s in ("missing", "empty", "filled")}, "state")
+
+
 # --- merges --------------------------------------------------------------------------------
 
 def captured_events(spark, d) -> DataFrame:
@@ -420,6 +433,18 @@ def k7(spark, d):
     return m.derive_snapshot_date(rows, "ts").groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("k7_backfill_violations", """
+    SELECT snapshot_date::VARCHAR AS snapshot_date, user_id, count(*) AS rows, CASE WHEN snapshot_date IS NULL THEN 'no date' ELSE 'repeated key' END AS fault
+    FROM (SELECT CASE WHEN event_id % 50 <> 0 THEN CASE WHEN user_id % 2 = 0 THEN DATE '2023-12-31' ELSE ((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Stockholm')::DATE END END
+                 AS snapshot_date, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id FROM events)
+    GROUP BY ALL HAVING snapshot_date IS NULL OR (user_id IS NOT NULL AND count(*) > 1)""")
+def k7_violations(spark, d):
+    known = F.when((F.col("user_id") % 2 == 0) & (F.col("event_id") % 50 != 0), F.lit("2023-12-31").cast("date"))
+    rows = table(spark, d, "events").select(
+        known.alias("snapshot_date"), F.when(F.col("event_id") % 50 != 0, F.col("ts")).alias("ts"), F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"))
+    return m.backfill_violations(rows, "ts", ["user_id"])
+
+
 @query("q8_run_status", """
     SELECT 'report' AS "table", 'written' AS status, (SELECT count(DISTINCT o_custkey) FROM orders)::DOUBLE AS rows""")
 def q8(spark, d):

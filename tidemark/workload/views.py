@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_key
-from tidemark.functions.fixed_values import MARKET_CURRENCY, MARKET_PRIORITY
+from tidemark.functions.fixed_values import FALLBACK_RATES, MARKET_CURRENCY, MARKET_PRIORITY
 from tidemark.functions.once import keep_if
 from tidemark.operators.aggregates import explode_events
 from tidemark.operators.filters import whole_word
@@ -190,6 +190,69 @@ def v8(spark, d):
     return reviews.proxy_summary(review_runs(spark, d), prices_known, REVIEW_LABELS, ["DE", "SE"])
 
 
+_REVIEW_FACTS = """
+    SELECT ts::DATE AS day, event_type AS channel, ['PANTS', 'TOPS', 'HATS'][user_id % 3 + 1] AS category, ['MEN', 'WOMEN'][user_id % 2 + 1] AS gender,
+           'w' || weekofyear(ts) AS language, (event_id % 5) / 4.0::DOUBLE AS rating FROM events"""
+
+
+def review_aggregates(spark, d):
+    """Cumulative counts per member of four dimensions, and per rating, in two runs a day: the first one counted wrongly."""
+    from pyspark.sql import Window
+
+    user = F.col("user_id")
+    members = {
+        "channel": F.col("event_type"), "category": F.element_at(F.array(F.lit("PANTS"), F.lit("TOPS"), F.lit("HATS")), (user % 3 + 1).cast("int")),
+        "gender": F.element_at(F.array(F.lit("MEN"), F.lit("WOMEN")), (user % 2 + 1).cast("int")),
+        "language": F.concat(F.lit("w"), F.weekofyear("ts")), "rating": ((F.col("event_id") % 5) / 4).cast("string"),
+    }
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("dimension"), c.alias("member")) for n, c in members.items()])).alias("m")
+    daily = table(spark, d, "events").select(F.to_date("ts").alias("snapshot_date"), each).select("snapshot_date", "m.*").groupBy(
+        "snapshot_date", "dimension", "member").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("dimension", "member").orderBy("snapshot_date")
+    last = daily.select("snapshot_date", F.lit(2).alias("run"), "dimension", "member", F.sum("n").over(running).alias("count"))
+    wrong = last.withColumns({"run": F.lit(1), "count": F.col("count") + 100, "member": F.when(F.col("dimension") == "language", "gone").otherwise(F.col("member"))})
+    both = last.union(wrong)
+    rated = both.where("dimension = 'rating'").select("snapshot_date", "run", F.col("member").cast("double").alias("rating"), "count")
+    return both.where("dimension <> 'rating'"), rated
+
+
+@query("v8_review_summary", f"""
+    WITH c AS ({b.REVIEW_COUNTS}), facts AS ({_REVIEW_FACTS}),
+    p AS (SELECT snapshot_date, product, sum(count) AS count FROM c GROUP BY ALL),
+    g AS (SELECT *, greatest(0, count - coalesce(lag(count) OVER (PARTITION BY product ORDER BY snapshot_date), 0)) AS fresh FROM p),
+    t AS (SELECT snapshot_date, sum(count)::BIGINT AS total_reviews, sum(fresh)::BIGINT AS total_new_reviews,
+                 sum(fresh * CASE WHEN product % 4 = 0 THEN 0 ELSE 10 + product % 7 END)::DOUBLE AS proxy_value FROM g GROUP BY ALL),
+    long AS (SELECT day, 'channel' AS dim, channel AS member FROM facts UNION ALL SELECT day, 'category', category FROM facts
+             UNION ALL SELECT day, 'gender', gender FROM facts UNION ALL SELECT day, 'language', language FROM facts),
+    cum AS (SELECT day, dim, member, sum(count(*)) OVER (PARTITION BY dim, member ORDER BY day) AS count FROM long GROUP BY day, dim, member),
+    k AS (SELECT day, lag(day) OVER (ORDER BY day) AS prior FROM (SELECT DISTINCT day FROM cum)),
+    gm AS (SELECT n.*, greatest(0, n.count - coalesce(o.count, 0)) AS fresh FROM cum n JOIN k USING (day)
+           LEFT JOIN cum o ON o.day = k.prior AND o.dim = n.dim AND o.member = n.member),
+    w AS (SELECT day, coalesce(sum(fresh) FILTER (dim = 'channel' AND member IN ('click', 'signup')), 0)::BIGINT AS "new_DE",
+                 coalesce(sum(fresh) FILTER (dim = 'channel' AND member = 'view'), 0)::BIGINT AS "new_SE",
+                 coalesce(sum(fresh) FILTER (dim = 'channel' AND member NOT IN ('click', 'signup', 'view')), 0)::BIGINT AS new_other_country,
+                 coalesce(sum(fresh) FILTER (member = 'PANTS'), 0)::BIGINT AS "new_PANTS", coalesce(sum(fresh) FILTER (member = 'TOPS'), 0)::BIGINT AS "new_TOPS",
+                 coalesce(sum(fresh) FILTER (member = 'HATS'), 0)::BIGINT AS new_other_cat, coalesce(sum(fresh) FILTER (member = 'MEN'), 0)::BIGINT AS "new_MEN",
+                 coalesce(sum(fresh) FILTER (member = 'WOMEN'), 0)::BIGINT AS "new_WOMEN" FROM gm GROUP BY day),
+    s AS (SELECT f AS day, string_agg(member, ',' ORDER BY member) FILTER (dim = 'channel') AS ch, string_agg(member, ',' ORDER BY member) FILTER (dim = 'language') AS la
+          FROM (SELECT dim, member, min(day) AS f FROM cum GROUP BY ALL) WHERE f > (SELECT min(day) FROM cum) GROUP BY f),
+    r AS (SELECT day, rating, sum(count(*)) OVER (PARTITION BY rating ORDER BY day) AS count FROM facts GROUP BY day, rating),
+    rr AS (SELECT day, round_even(sum(rating * count) / sum(count) * 5, 3) AS avg_rating,
+                  round_even(coalesce(sum(count) FILTER (rating = 1), 0)::DOUBLE / sum(count) * 100, 1) AS pct_top FROM r GROUP BY day)
+    SELECT t.snapshot_date::VARCHAR AS snapshot_date, total_reviews, total_new_reviews, proxy_value, avg_rating, pct_top, w.* EXCLUDE (day),
+           coalesce(ch, '') AS new_channels, coalesce(la, '') AS new_languages
+    FROM t JOIN w ON w.day = t.snapshot_date JOIN rr ON rr.day = t.snapshot_date LEFT JOIN s ON s.day = t.snapshot_date""")
+def v8_summary(spark, d):
+    product = F.col("user_id").alias("product")
+    known = table(spark, d, "events").select(product).distinct().where(F.col("product") % 4 != 0).withColumn(
+        "price", (10 + F.col("product") % 7).cast("double"))
+    aggregates, ratings = review_aggregates(spark, d)
+    return reviews.review_summary(
+        review_runs(spark, d), known, aggregates, ratings,
+        {"channel": ["DE", "SE"], "category": ["PANTS", "TOPS"], "gender": ["MEN", "WOMEN"]}, {"channel": REVIEW_LABELS},
+        {"channel": "new_other_country", "category": "new_other_cat"}, {"channel": "new_channels", "language": "new_languages"})
+
+
 @query("v9_monthly_history", f"""
     SELECT month, count(*) AS total, count(*) FILTER (NOT is_big) AS total_uncapped, count(*) FILTER (country = 'DE') AS "country_DE",
            count(*) FILTER (country = 'SE') AS "country_SE", count(*) FILTER (country NOT IN ('DE', 'SE')) AS country_other,
@@ -280,6 +343,33 @@ def v14(spark, d):
     return prices.source_price_stats(rows, ["month", "o_orderpriority"], "text")
 
 
+@query("v14_wide_price_report", """
+    WITH l AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS p, count(*) AS n, sum(c)::BIGINT AS s, list_sort(list(c)) AS l
+               FROM (SELECT o_orderdate, o_orderpriority, floor(o_totalprice)::BIGINT * 100 + o_orderkey % 50 * 2 AS c FROM orders) GROUP BY ALL),
+    v AS (SELECT month, p, (s // n + CASE WHEN 2 * (s % n) > n OR (2 * (s % n) = n AND (s // n) % 2 = 1) THEN 1 ELSE 0 END)::DOUBLE / 100 AS a,
+                 (l[(n + 1) // 2] + l[n // 2 + 1])::DOUBLE / 200 AS m FROM l)
+    SELECT month, max(a) FILTER (p = '1-URGENT') AS average_price_urgent, max(a) FILTER (p = '5-LOW') AS average_price_low, NULL::DOUBLE AS average_price_closed,
+           max(m) FILTER (p = '1-URGENT') AS median_price_urgent, max(m) FILTER (p = '5-LOW') AS median_price_low, NULL::DOUBLE AS median_price_closed
+    FROM v GROUP BY month""")
+def v14_wide(spark, d):
+    return prices.wide_price_report(v14(spark, d), "month", "o_orderpriority", {"urgent": "1-URGENT", "low": "5-LOW", "closed": "none"})
+
+
+@query("c23_rate_table", """
+    WITH q AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, ['SEK', 'EUR', 'NOK', 'GBP', 'DKK'][o_orderkey % 5 + 1] AS c,
+                      max(floor(o_totalprice / 1000)) FILTER (o_totalprice >= 1000) AS q FROM orders GROUP BY ALL),
+    h AS (SELECT day, max(q) FILTER (c = 'SEK') AS home FROM q GROUP BY day)
+    SELECT h.day, n.c AS currency, CASE n.c WHEN 'SEK' THEN 1.0::DOUBLE WHEN 'EUR' THEN coalesce(home, 11.5::DOUBLE) ELSE coalesce(home / q.q, n.f) END AS rate
+    FROM h CROSS JOIN (SELECT unnest(['SEK', 'EUR', 'NOK', 'GBP', 'DKK', 'PLN']) AS c, unnest([1.0::DOUBLE, 11.5, 0.97, 13.0, 1.0, 1.0]) AS f) n
+    LEFT JOIN q ON q.day = h.day AND q.c = n.c""")
+def c23_rates(spark, d):
+    """Daily quotes of five currencies; days without a quote take the defaults."""
+    currency = F.element_at(F.array(*[F.lit(x) for x in ("SEK", "EUR", "NOK", "GBP", "DKK")]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    quotes = table(spark, d, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), currency.alias("currency"), F.floor(F.col("o_totalprice") / 1000).cast("double").alias("quote"))
+    return prices.rate_table(quotes, ["SEK", "EUR", "NOK", "GBP", "DKK", "PLN"], "SEK", "EUR", FALLBACK_RATES, ["day"])
+
+
 @query("v11_trend_latest_state", f"""
     SELECT 'events' AS pipeline, 'default' AS sheet, series, last_day(day)::VARCHAR AS month, round(avg(value), 6) AS value
     FROM ({_STITCHED}) GROUP BY ALL""")
@@ -414,6 +504,19 @@ def v15(spark, d):
                                   {"small ring": ["blue bolt"], "red widget": ["red (gear)"]})
 
 
+@query("v15_listing_ranks_in_runs", """
+    WITH f AS (SELECT 1 + l_suppkey % 2 AS list, l_partkey AS item, min(l_linenumber * 100000000 + l_orderkey) AS place FROM lineitem GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY list ORDER BY place, item) AS rank FROM f)
+    SELECT list, CASE WHEN p_name LIKE '%ring%' THEN 'ring' ELSE 'bolt' END AS target, min(rank) AS rank
+    FROM r JOIN part ON p_partkey = item WHERE p_name LIKE '%ring%' OR p_name LIKE '%bolt%' GROUP BY ALL""")
+def v15_runs(spark, d):
+    """Two long lists, numbered in runs of 500 positions; titles join after repeated links are gone."""
+    lines = table(spark, d, "lineitem").select(
+        (1 + F.col("l_suppkey") % 2).alias("list"), F.col("l_linenumber").alias("page"), F.col("l_orderkey").alias("position"), F.col("l_partkey").alias("link"))
+    titles = table(spark, d, "part").select(F.col("p_partkey").alias("link"), F.col("p_name").alias("title"))
+    return rankings.listing_ranks(lines, ["list"], "page", "position", "link", "title", {"ring": [], "bolt": []}, span=500, titles=titles)
+
+
 @query("v15_marketplace_rows", """
     SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN l_quantity * 1000 WHEN 1 THEN l_quantity ELSE 0 END::BIGINT AS bought_past_month,
            CASE WHEN l_suppkey > 0 THEN least(l_suppkey, l_partkey + 1) ELSE l_partkey + 1 END AS best_sellers_rank FROM lineitem""")
@@ -441,3 +544,27 @@ def v16(spark, d):
 def v16_seed(spark, d):
     brands = rankings.brand_rows(table(spark, d, "pages"), "html", 'href="/')
     return rankings.new_brand_log(brands, brands.where("brand is null")).agg(F.count(F.lit(1)).alias("brands"))
+
+
+@query("v16_brand_log", r"""
+    WITH b AS (SELECT p_name || ' ' || p_size AS brand, replace(p_name, ' ', '-') || '-' || p_size AS slug, p_partkey % 2 = 0 AS is_old, p_size % 3 <> 0 AS has_page,
+                      replace(p_name, ' ', '-') || '-' || p_size AS page, 'home-' || lower(p_type) AS category FROM part),
+    c AS (SELECT page, string_agg(list_aggregate(list_transform(string_split(category, '-'), lambda w: upper(w[1]) || w[2:]), 'string_agg', ' '), ', ' ORDER BY category) AS categories
+          FROM (SELECT DISTINCT page, category FROM b) GROUP BY page)
+    SELECT 'brand' AS kind, n.brand, n.slug, CASE WHEN n.slug IN (SELECT slug FROM b WHERE has_page) THEN coalesce(c.categories, '') ELSE '' END AS categories
+    FROM (SELECT DISTINCT brand, slug FROM b WHERE brand NOT IN (SELECT brand FROM b WHERE is_old)) n LEFT JOIN c ON c.page = n.slug
+    UNION ALL SELECT DISTINCT 'page', NULL, slug, '' FROM b WHERE has_page AND slug NOT IN (SELECT slug FROM b WHERE is_old AND has_page)""")
+def v16_log(spark, d):
+    """Brands linked from one page per part; those of a third of the sizes have no page of their own."""
+    name, plain = F.concat("p_name", F.lit(" "), "p_size"), F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), "p_size")
+    kind = F.concat(F.lit("home-"), F.lower("p_type"))
+    html = F.concat(
+        F.lit('<a href="/search?brand='), F.replace(name, F.lit(" "), F.lit("+")), F.lit('"><a href="/brands/'),
+        F.when(F.col("p_size") % 3 != 0, plain).otherwise(""), F.lit('.html">'))
+    own = F.concat(F.lit('<a href="/brands/'), plain, F.lit("/"), kind, F.lit('.html"><a href="/brands/other/lamps.html">'))
+    pages = table(spark, d, "part").select((F.col("p_partkey") % 2 == 0).alias("is_old"), plain.alias("slug"), html.alias("html"), own.alias("own"))
+    brands = rankings.brand_rows(pages, "html", r"search\?brand=", ["is_old"])
+    featured = rankings.featured_slugs(pages, "html", "/brands/", ["is_old"])
+    categories = rankings.brand_categories(pages, "slug", "own", "/brands/")
+    log = rankings.brand_log(brands, brands.where("is_old").select("brand"), featured, featured.where("is_old").select("slug"), categories)
+    return log.withColumn("categories", F.array_join("categories", ", "))
