@@ -6,22 +6,17 @@ import functools
 import json
 import os
 import re
-import struct
 
 import numpy as np
-import regex
 
 VOCABULARY = "byte_bpe_50k.json"
 CACHE_WORDS = 700_000
 CACHE_CHARS = 40
 CLOSING = ".,;:!?"
-CACHE_UNITS = 50_000
-
-# Fixed value: how byte-level vocabularies of this kind cut a text before merging.
-UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+JOINED_WORDS = 1_000
 
 # Where white space runs this long or ends the text, a cut before a space could part a run that the vocabulary reads whole.
-_LONG_BLANK = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
+_LONG_BLANK = re.compile(r"\s(?:(?<=[\x1c-\x1f])|\s(?:\s|\Z))")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -38,13 +33,14 @@ class TextEncoder:
 
     The vocabulary never merges over the start of a word with its leading space, so the ids of the
     pieces in a row are the ids of the text. Texts with long white space, and those that hold the text of an added token,
-    are encoded whole by the library. A piece of letters with
-    closing punctuation is two units of the vocabulary's own split and goes straight to the library's model.
+    are encoded whole by the library. New pieces are encoded many at once, joined by what comes before them, a space or a line
+    feed: as their first ids alone begin with it, these tell the pieces apart again. Closing punctuation after letters is a
+    unit of its own in the vocabulary's split, and so is a single line feed between two words.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, models
 
         with open(path, encoding="utf-8") as file:
             whole = json.load(file)
@@ -53,57 +49,97 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Pieces are remembered here, so the library's own cache of single words only costs time.
         self.tokenizer.model = models.BPE(vocab=spec["vocab"], merges=merges, cache_capacity=0)
-        marks = [t["content"] for t in whole.get("added_tokens") or []]
-        self.marks = re.compile("|".join(map(re.escape, marks)) if marks else r"(?!)")
-        self.model = self.tokenizer.model
-        self.spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = [t["content"] for t in whole.get("added_tokens") or []]
         self.size = max(spec["vocab"].values()) + 1
-        self.known: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32).tobytes()
-
-    def _unit(self, text: str) -> bytes:
-        """Ids of one unit of the vocabulary's split."""
-        found = self.units.get(text)
+        # How byte-level vocabularies of this kind spell a space and a line feed.
+        self.opens = {}
+        for gap, spelled in ((" ", "\u0120"), ("\n", "\u010a")):
+            self.opens[gap] = np.zeros(self.size, dtype=bool)
+            self.opens[gap][[i for token, i in spec["vocab"].items() if token.startswith(spelled)]] = True
+        self.joins = not any(c.isspace() for m in self.marks for c in m)
+        self.after = {" ": {}, "\n": {}}
+        self.ends: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _end(self, marks: str) -> bytes:
+        found = self.ends.get(marks)
         if found is None:
-            spelled = text.replace(" ", "\u0120") if text.isascii() and text.isprintable() else self.spell.pre_tokenize_str(text)[0][0]
-            tokens = self.model.tokenize(spelled)
-            found = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if len(text) <= 4 and len(self.units) < CACHE_UNITS:
-                self.units[text] = found
+            found = self.ends[marks] = self._ids(marks).tobytes()
         return found
 
-    def _learn(self, word: str) -> bytes:
-        """Ids of ``" " + word``."""
-        core = word.rstrip(CLOSING)
-        if core.isalpha():
-            stem = self.known.get(core) or self._unit(" " + core)
-            return stem if len(core) == len(word) else stem + self._unit(word[len(core):])
-        return b"".join([self._unit(u) for u in UNITS.findall(" " + word)])
+    def _learn(self, words: set[str], gap: str) -> list[str]:
+        """Remember the ids of ``gap + word``, of words without white space at their ends, and inside if the gap is a line feed.
+
+        Returns the words that are too long to be kept.
+        """
+        known, closed, plain = self.after[gap], [], set()
+        for word in words:
+            core = word.rstrip(CLOSING)
+            # The library may know fewer letters than Python does, but not of the Latin ones.
+            if 0 < len(word) - len(core) <= 4 and core.isalpha() and core[-1] < "\u0250":
+                closed.append((word, core))
+                if core not in known:
+                    plain.add(core)
+            else:
+                plain.add(word)
+        joined = [w for w in plain if w] if self.joins else []
+        for at in range(0, len(joined), JOINED_WORDS):
+            part = joined[at:at + JOINED_WORDS]
+            ids = self._ids(gap + gap.join(part))
+            data, cuts = ids.tobytes(), (np.flatnonzero(self.opens[gap][ids]) * 4).tolist()
+            if len(cuts) == len(part):
+                known.update(zip(part, [data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)])]))
+        for word in plain:
+            if word not in known:
+                known[word] = self._ids(gap + word).tobytes()
+        for word, core in closed:
+            known[word] = known[core] + self._end(word[len(core):])
+        return [w for w in (*plain, *words) if len(w) > CACHE_CHARS]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of unsigned 32-bit ids per text."""
-        parts = [None if _LONG_BLANK.search(t) or self.marks.search(t) else t.split(" ") for t in texts]
+        spaced, lined = self.after[" "], self.after["\n"]
+        parts: list[list[str] | None] = []
         wanted: set[str] = set()
-        for words in parts:
+        for text in texts:
+            whole = _LONG_BLANK.search(text) or any(m in text for m in self.marks)
+            words = None if whole else text.split(" ")
+            parts.append(words)
             if words:
-                wanted.update(words[1:])
-        known = self.known
-        if len(known) + len(wanted) > CACHE_WORDS:
-            known.clear()
-        for word in wanted.difference(known):
-            known[word] = self._learn(word)
+                wanted.update(words)
+        if len(spaced) + len(lined) + len(wanted) > CACHE_WORDS:
+            spaced.clear()
+            lined.clear()
+        # A text's first word has no space before it; where it opens with white space it is left to the library.
+        starts = [None if words is None or words[0].split() != [words[0]] else words[0] for words in parts]
+        fresh, lines, broken, odd = set(), {s for s in starts if s is not None}, [], []
+        for word in wanted.difference(spaced):
+            if "\n" in word and word.split() == (pieces := word.split("\n")):
+                broken.append((word, pieces))
+                fresh.add(pieces[0])
+                lines.update(pieces[1:])
+            elif word and (word[0].isspace() or word[-1].isspace()):
+                odd.append(word)
+            else:
+                fresh.add(word)
+        long_spaced, long_lined = self._learn(fresh.difference(spaced), " "), self._learn(lines.difference(lined), "\n")
+        for word in odd:
+            spaced[word] = self._ids(" " + word).tobytes()
+        for word, pieces in broken:
+            spaced[word] = spaced[pieces[0]] + b"".join([lined[p] for p in pieces[1:]])
         out = []
-        for text, words in zip(texts, parts):
+        for text, words, start in zip(texts, parts, starts):
             if words is None:
-                ids = self._encode(text)
-            else:
-                ids = (self._encode(words[0]) if words[0] else b"") + b"".join([known[w] for w in words[1:]])
-            out.append(np.frombuffer(ids, dtype=np.uint32))
-        for word in [w for w in wanted if len(w) > CACHE_CHARS]:
-            del known[word]
+                out.append(self._ids(text))
+                continue
+            first = lined[start][4:] if start is not None else self._ids(words[0]).tobytes() if words[0] else b""
+            rest = b"".join(map(spaced.__getitem__, words[1:]))
+            out.append(np.frombuffer(first + rest, dtype=np.uint32))
+        for cache, words in ((spaced, long_spaced), (lined, long_lined), (spaced, odd), (spaced, [w for w, _ in broken])):
+            for word in words:
+                cache.pop(word, None)
         return out
 
 
