@@ -68,6 +68,19 @@ def test_append_is_idempotent(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [5, 7]
 
 
+def test_append_counts_nothing_after_a_shuffled_join(spark, tmp_path):
+    """A table too large to broadcast: the empty result of the join is found only while the write runs."""
+    path = str(tmp_path / "t")
+    batch = spark.range(50).selectExpr("date'2024-01-01' + cast(id % 5 as int) as d", "id as k", "id as ordinal")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [m.append_absent(batch, path, ["d", "k"], "ordinal", "d") for _ in range(3)] == [50, 0, 0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert spark.read.parquet(path).count() == 50
+
+
 def folders(path, depth):
     return {str(x.relative_to(path)) for x in path.glob("/".join(["*=*"] * depth))}
 

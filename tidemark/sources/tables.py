@@ -133,9 +133,10 @@ def append_absent(source: DataFrame, path: str, keys: Sequence[str], ordinal: st
     else:
         rows = absent_rows(target, source, keys, ordinal, date)
     seen = Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    # One task per date would make a huge day a single file; AQE splits it when rebalancing.
-    counted.hint("rebalance", date).write.mode("append").partitionBy(date).parquet(path)
+    # One task per date would make a huge day a single file; AQE splits it when rebalancing. The count comes last: AQE
+    # drops what lies below a shuffle that turns out empty, a count included.
+    counted = rows.hint("rebalance", date).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").partitionBy(date).parquet(path)
     return seen.get["rows"]
 
 
