@@ -123,6 +123,18 @@ def test_contains_agrees_with_brute_force(spark):
     assert j.match_contains(docs, "t", dim.limit(0), "n", ["id"]).collect() == []
 
 
+def test_contains_reads_texts_in_cuts_and_never_broadcasts_their_places(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.grams.CUT", 5)
+    texts = [(1, "north wind and æther, northwards"), (1, "second text of one key"), (None, "north"), (2, ""), (3, "nor"), (4, "th wind")]
+    docs = spark.createDataFrame(texts, "id long, t string")
+    names = ["north", "NORTHWARDS", "wind and", "ther", "æ", "or", "key", "d", "northern", "text of one key", "northwind", "wind"]
+    found = j.match_contains(docs, "t", spark.createDataFrame([(n,) for n in names], "n string"), "n", ["id"])
+    want = {(i, n) for i, t in texts if i for n in names if n.lower() in t.lower()}
+    assert sorted((x.id, x.name) for x in found.collect()) == sorted(want)
+    # The places of a text are many times its size, which Spark does not see: a shuffle joins them to the names.
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_contains_plans_without_a_job(spark):
     started = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")

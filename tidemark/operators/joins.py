@@ -7,12 +7,14 @@ Dimension joins carry no broadcast hint: Spark broadcasts a side whose measured
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.once import let
 from tidemark.functions.text import canonical, strip_suffix
+from tidemark.operators.grams import GRAM, gram_counts, places, short_strings
 from tidemark.operators.picks import first_by
 
 def enrich(
@@ -52,53 +54,45 @@ def overlaps(df: DataFrame, array_column: str, ids: DataFrame, id_column: str, r
     return df.join(hits, list(row_keys), "left_semi")
 
 
-GRAM = 4
-CUT = 256
-
-
-def _places(texts: DataFrame, keep: Sequence[str], body: str, inside: bool = False) -> DataFrame:
-    """The ``GRAM`` characters from every place of a text on, filled up with zero characters at its end.
-
-    ``inside`` leaves out the places that need filling up. Texts are first cut into overlapping pieces: finding a place in
-    a string costs its distance from the start.
-    """
-    last = F.length(body) - (GRAM - 1 if inside else 0)
-    pieces = texts.where(last > 0).withColumn("__k", F.explode(F.sequence(F.lit(0), F.floor((last - 1) / CUT).cast("int"))))
-    padded = F.concat(F.col(body), F.lit("\0" * (GRAM - 1)))
-    pieces = pieces.select(*keep, F.substr(padded, F.col("__k") * CUT + 1, F.lit(CUT + GRAM - 1)).alias("__piece"),
-                           F.least(F.lit(CUT), last - F.col("__k") * CUT).alias("__n"))
-    each = pieces.select(*keep, "__piece", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__at"))
-    return each.select(*keep, F.substr("__piece", F.col("__at"), F.lit(GRAM)).alias("__gram"))
+WANTED = 1 << 20
 
 
 def match_contains(df: DataFrame, text: str, names: DataFrame, name: str, row_keys: Sequence[str], with_core: bool = False) -> DataFrame:
     """(row keys, name), each once, for every name that occurs anywhere in the text, in any case.
 
-    ``with_core`` also tries each name without its corporate form. A name is looked up by one of its pieces of four
-    characters, the one that is rarest in the texts; a name with a piece that no text holds drops out at once. A shorter
-    name is looked up by all pieces in the texts that start with it. What is found is verified in full. It takes one pass
-    over the texts to count pieces of names and one to look them up; names of any number and length go the same way.
+    ``with_core`` also tries each name without its corporate form. A name is looked up by one of its strings of four
+    bytes, the one that is rarest in the texts, and verified in full; a name with a string that no text holds drops out at
+    once. A shorter name is a string of the texts itself. It takes one pass over the texts to count strings, one to look
+    them up and, where there are short names, one for these; names of any number and length go the same way.
     """
     needles = F.array(F.lower(name), strip_suffix(F.col(name))) if with_core else F.array(F.lower(name))
     wanted = names.where(F.col(name) != "").select(F.col(name).alias("name"), F.explode(F.array_distinct(needles)).alias("needle"))
     wanted = wanted.where("needle <> ''").distinct()
-    texts = df.select(*row_keys, F.lower(F.col(text)).alias("__body"))
-    held = _places(texts, row_keys, "__body")
-
-    long = _places(wanted, ["name", "needle"], "needle", inside=True).distinct()
-    counts = held.join(long.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(F.count(F.lit(1)).alias("__times"))
-    weighed = long.join(counts, "__gram", "left").groupBy("name", "needle").agg(
-        F.min_by("__gram", F.struct("__times", "__gram")).alias("__gram"), F.count_if(F.col("__times").isNull()).alias("__lacking"))
-    anchors = weighed.where("__lacking = 0").drop("__lacking")
-
-    short = wanted.where(F.length("needle") < GRAM).withColumn("__letter", F.substring("needle", 1, 1))
-    first = F.substring("__gram", 1, 1)
-    starts = held.join(short.select("__letter").distinct(), first == F.col("__letter"), "left_semi").select("__gram").distinct()
-    starting = short.join(starts, F.col("__letter") == first).where(F.startswith("__gram", "needle"))
-    anchors = anchors.unionByName(starting.select("name", "needle", "__gram"))
-
-    found = held.join(anchors, "__gram").select(*row_keys, "name", "needle").distinct()
-    return texts.join(found, list(row_keys)).where(F.contains(F.col("__body"), F.col("needle"))).select(*row_keys, "name").distinct()
+    keyed = reduce(lambda a, k: a & F.col(k).isNotNull(), row_keys, F.lit(True))
+    texts = df.where(keyed).select(*row_keys, F.lower(F.col(text)).alias("__body"))
+
+    # A place in a long name that another four bytes follow is better: these are compared, too.
+    long = F.octet_length("needle") >= 2 * GRAM
+    known = places(wanted, ["name", "needle"], "needle").join(gram_counts(texts, "__body"), "__gram", "left")
+    best = F.struct(long & (F.col("__left") < 2 * GRAM), "__times", "__gram", "__next")
+    weighed = known.groupBy("name", "needle").agg(
+        F.min_by(F.struct("__gram", "__next"), best).alias("__at"), F.count_if(F.col("__times").isNull()).alias("__lacking"))
+    anchors = weighed.where("__lacking = 0").select(
+        "name", "needle", F.col("__at.__gram").alias("__gram"), F.when(long, F.col("__at.__next")).alias("__then"))
+
+    # At most WANTED numbers are broadcast, however many names there are. What passes is joined by a shuffle: Spark takes
+    # the places of the texts for as small as their file and would broadcast them.
+    slot = F.col("__gram") % WANTED
+    passed = places(texts, row_keys, "__body").drop("__left").withColumn("__slot", slot).join(
+        F.broadcast(anchors.select(slot.alias("__slot")).distinct()), "__slot", "left_semi").drop("__slot")
+    found = passed.join(anchors.hint("merge"), "__gram").where("__then is null or __then = __next")
+    found = found.select(*row_keys, "name", "needle").distinct()
+    verified = texts.join(found, list(row_keys)).where(F.contains(F.col("__body"), F.col("needle"))).select(*row_keys, "name")
+
+    # Names of up to three bytes: as few as there are such strings, so that they can be broadcast.
+    short = short_strings(wanted, ["name", "needle"], "needle").where(F.shiftright("__gram", 24) == F.octet_length("needle"))
+    held = short_strings(texts, row_keys, "__body").join(F.broadcast(short.select("name", "__gram")), "__gram").select(*row_keys, "name")
+    return verified.unionByName(held).distinct()
 
 
 def rank_first_seen(
