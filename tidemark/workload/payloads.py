@@ -19,7 +19,7 @@ from tidemark.sources.notices import notice_tables, parse_notices, read_notices,
 from tidemark.operators.joins import link_graph
 from tidemark.operators.picks import union_labelled
 from tidemark.functions.once import keep_if
-from tidemark.functions.text import names_company
+from tidemark.functions.text import may_name_company, names_company
 from tidemark.streaming.incremental import incremental_delta, read_deltas
 from tidemark.workload import bindings as b
 from tidemark.workload.registry import query, table
@@ -259,11 +259,14 @@ def s6_broken(spark, d):
     FROM {_AWARDED} CROSS JOIN (SELECT unnest(['TEN-1', 'TEN-3']) AS tender_id, unnest(['LOT-1', 'LOT-2']) AS lot_id)
     WHERE c_mktsegment = 'BUILDING'""")
 def j10(spark, d):
-    # Seven tables come from one parse: it is kept instead of being repeated for each.
-    t = notice_tables(cut_lineage(parse_notices(notice_documents(spark, d))), "publication_number")
+    # Seven tables come from one parse: it is kept instead of being repeated for each. Documents whose text cannot name the
+    # company end no chain and are not parsed.
+    company = F.lit("Building GmbH")
+    candidates = notice_documents(spark, d).where(may_name_company(F.col("xml"), company))
+    t = notice_tables(cut_lineage(parse_notices(candidates)), "publication_number")
     rows = link_graph(
         t["orgs"], t["parties"], t["tenders"], t["lots"], t["results"].select("publication_number", "lot_id").distinct(),
-        t["winners"], t["contracts"], names_company(F.col("name"), F.lit("Building GmbH")), "publication_number")
+        t["winners"], t["contracts"], names_company(F.col("name"), company), "publication_number")
     return rows.select("publication_number", "tender_id", "lot_id", "lot_title", "tender_value", "is_winner", "contract_title")
 
 
