@@ -1,6 +1,7 @@
 import json
 import random
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from tidemark.sources import payloads as p
 from tidemark.sources import tables as m
 from tidemark.sources.notices import lot_tenders, notice_tables, parse_notices, read_notices, stored_notices
 from tidemark.streaming.incremental import incremental_delta, read_deltas
+from tidemark.workload import payloads
 from tidemark.workload.payloads import NOTICE_NAMESPACES
+from tidemark.workload.views import v12
 
 
 def test_dated_files(spark, tmp_path):
@@ -244,3 +247,35 @@ def test_date_pair_forms_agree_on_null_keys(spark):
     df = spark.createDataFrame(rows, "d date, k long, q long")
     one, two = (sorted(map(str, date_pair_delta(df, ["k"], "d", "q", form).collect())) for form in ("full_outer", "union_sum"))
     assert one == two and len(one) == 2
+
+
+@pytest.fixture
+def orders(spark, tmp_path):
+    spark.sql("select id as o_orderkey, id % 5 as o_custkey, 'F' as o_orderstatus, id + 0.5d as o_totalprice, timestamp'1999-01-02' as o_orderdate, "
+              "'1-URGENT' as o_orderpriority from range(400)").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("select id as c_custkey, cast(id as int) as c_nationkey, 'BUILDING' as c_mktsegment from range(5)").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    return str(tmp_path)
+
+
+def test_notice_files_are_packed(spark, orders):
+    folder = payloads.notice_files(spark, orders)
+    files = [f for f in Path(folder.removeprefix("file://")).rglob("part-*") if "file=-1" not in str(f)]
+    plain = payloads.notice_documents(spark, orders).selectExpr("sum(octet_length(xml))").collect()[0][0]
+    assert sum(f.stat().st_size for f in files) * 10 < plain
+    found = read_notices(spark, folder)
+    assert found.where("broken is null").select("publication_number").distinct().count() == 400 and found.where("broken is not null").count() == 1
+
+
+def test_notices_are_parsed_once_before_the_upsert(spark, orders):
+    rows = v12(spark, orders)
+    assert rows.count() == 400 and rows.where("status = 'outdated'").count() == 0
+    assert "parse_json" not in rows._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_reference_chain_parses_only_documents_that_may_name_the_company(spark, orders, monkeypatch):
+    spark.sql("select id as c_custkey, cast(id as int) as c_nationkey, if(id = 3, 'BUILDING', 'MACHINERY') as c_mktsegment from range(5)").write.mode(
+        "overwrite").parquet(orders + "/customer.parquet")
+    parsed = []
+    monkeypatch.setattr(payloads, "cut_lineage", lambda df: parsed.append(df.count()) or df)
+    assert payloads.j10(spark, orders).count() == 160 and parsed == [80]

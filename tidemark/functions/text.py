@@ -121,10 +121,12 @@ def any_text(value: Column, first: Column | None = None, preferred: Sequence[str
     def one(v: Column) -> Column:
         return F.coalesce(listed(v), plain(v))
 
-    languages = F.try_variant_get(value, "$", "map<string,variant>")
-    choices = [one(F.try_element_at(languages, F.lit(lang))) for lang in preferred]
-    other = F.get(F.map_values(languages), F.lit(0)) if first is None else F.try_element_at(languages, first)
-    spoken = F.when(languages.isNotNull(), F.coalesce(*choices, one(other), F.lit("")))
+    def chosen(languages: Column) -> Column:
+        choices = [one(F.try_element_at(languages, F.lit(lang))) for lang in preferred]
+        other = F.get(F.map_values(languages), F.lit(0)) if first is None else F.try_element_at(languages, first)
+        return F.when(languages.isNotNull(), F.coalesce(*choices, one(other), F.lit("")))
+
+    spoken = let(F.try_variant_get(value, "$", "map<string,variant>"), chosen)
     return F.coalesce(listed(value), spoken, plain(value), F.lit(""))
 
 
@@ -155,9 +157,11 @@ def any_texts(value: Column) -> Column:
 
 def is_given(value: Column) -> Column:
     """False for a VARIANT that is missing, null, false, zero, an empty text, an empty list or an empty object."""
-    text = F.try_variant_get(value, "$", "string")
-    plain = ~text.isin("[]", "{}", "false") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0)
-    return text.isNotNull() & F.when(F.schema_of_variant(value) == "STRING", text != "").otherwise(plain)
+    def filled(text: Column) -> Column:
+        plain = ~text.isin("[]", "{}", "false") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0)
+        return text.isNotNull() & F.when(F.schema_of_variant(value) == "STRING", text != "").otherwise(plain)
+
+    return let(F.try_variant_get(value, "$", "string"), filled)
 
 
 def pick_link(links: Column, preferred: Sequence[str] = ("ENG", "SWE")) -> Column:

@@ -55,8 +55,7 @@ def notice_rows(
         return F.coalesce(F.arrays_overlap(plain, org_numbers), F.lit(False))
 
     def given(first: str, second: str) -> Column:
-        one = member(F.col("__n"), first)
-        return F.when(is_given(one), one).otherwise(member(F.col("__n"), second))
+        return let(member(F.col("__n"), first), lambda one: F.when(is_given(one), one).otherwise(member(F.col("__n"), second)))
 
     is_winner = names_company(F.col("__winner"), company) | tracked("winner-identifier")
     is_buyer = names_company(F.col("__buyer"), company) | tracked("buyer-identifier")
@@ -66,8 +65,8 @@ def notice_rows(
         F.get(F.split(text("publication-date"), r"\+"), F.lit(0)).alias("publication_date"),
         won_flag(is_winner, F.col("__winner")).alias("won_by_company"),
         role_of(is_winner, names_company(F.col("__tenderer"), company), is_buyer).alias("role"),
-        any_number(given("tender-value", "total-value")).alias("awarded_value"), F.col("__buyer").alias("buyer_name"),
-        any_number(member(F.col("__n"), "estimated-value-lot")).alias("estimated_value"), F.col("__winner").alias("winner_name"),
+        let(given("tender-value", "total-value"), any_number).alias("awarded_value"), F.col("__buyer").alias("buyer_name"),
+        let(member(F.col("__n"), "estimated-value-lot"), any_number).alias("estimated_value"), F.col("__winner").alias("winner_name"),
         relabel(F.col("__type"), NOTICE_TYPE_LABELS).alias("notice_type"),
         F.coalesce(F.nullif(text("notice-title"), F.lit("")), text("title-proc")).alias("title"), clip(text("description-proc")).alias("description"),
         F.when(is_given(member(F.col("__n"), "tender-value-cur")), text("tender-value-cur")).otherwise(text("total-value-cur")).alias("awarded_currency"), text("estimated-value-cur-lot").alias("estimated_currency"),

@@ -16,7 +16,7 @@ from tidemark.operators.series import stitch, to_month
 from tidemark.sources.tables import upsert
 from tidemark.workload import bindings as b
 from tidemark.workload.measures import _REVIEW_ROWS, _STITCHED, review_rows, trend_chunks
-from tidemark.workload.payloads import _AWARDED, notice_documents
+from tidemark.workload.payloads import _AWARDED, new_folder, notice_documents
 from tidemark.workload.registry import query, table
 
 
@@ -450,6 +450,10 @@ def v12(spark, d):
     active = docs.where("listed_active").select(F.col("number").alias("publication_number"))
     seen = F.lit("2024-01-01").cast("timestamp")
     fresh = notices.notice_rows(docs.select("payload"), "payload", active, F.lit("Building GmbH"), F.array(F.lit("5577")), seen)
+    # The upsert reads the rows three times: they are stored instead of being parsed for each.
+    folder = new_folder(spark)
+    fresh.write.parquet(folder)
+    fresh = spark.read.schema(fresh.schema).parquet(folder)
     # Latest state: an earlier, outdated load of the same notices is replaced.
     old = fresh.withColumn("status", F.lit("outdated"))
     return upsert(old, fresh.withColumn("ordinal", F.lit(1)), ["company", "publication_number"], "ordinal")
