@@ -7,6 +7,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,15 @@ def test_suffix_dedup_in_small_runs(docs, rows, monkeypatch):
     assert got == brute.repeated_bytes([(d, t) for d, t, *_ in rows])
 
 
+def test_suffix_dedup_packs_what_many_tasks_sent():
+    # Forty tasks each send two rows to one bucket: what they share goes on in a row a bucket, not in one for every sender.
+    rng = np.random.default_rng(3)
+    sent = [suffix_dedup._gram_rows(rng.integers(0, 300, 400), rng.integers(0, 500, 400).astype(np.uint64), 1) for _ in range(40)]
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("value", pa.binary())])
+    given = list(suffix_dedup._compared(iter([pa.RecordBatch.from_pydict(x, schema=schema) for x in sent]), 8))
+    assert 0 < sum(len(x["bucket"]) for x in given) <= 8
+
+
 @pytest.mark.parametrize("heavy_docs", [1, 25])
 def test_suffix_dedup_splits_grams_of_many_documents(spark, docs, rows, heavy_docs):
     # A phrase of many documents between words of their own.

@@ -195,29 +195,47 @@ def shared_grams(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield _gram_rows(*(np.concatenate(x) for x in zip(*held)), width)
 
-    def compare(batches):
-        current, held = None, []
-        for batch in batches:
-            for bucket, kind, value in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if bucket != current and held:
-                    yield _shared(held, width)
-                    held = []
-                current = bucket
-                delta, number, known, flags = unpack_arrays(value)
-                docs, grams = np.cumsum(known)[number], np.cumsum(delta, dtype=np.uint64)
-                if kind:
-                    yield _dealt(docs, [grams], width)
-                else:
-                    held.append((docs, grams, flags > 0))
-        if held:
-            yield _shared(held, width)
-
     sent = arrow_map(_docs(docs).where("doc_id is not null and text is not null"), send, "bucket int, kind int, value binary")
     dealt = sent.repartition(width, "bucket").sortWithinPartitions("bucket")
-    return _collected(arrow_map(dealt, compare, "bucket int, value binary"), width, _gram_lists, "doc_id long, marks binary")
+    return _collected(arrow_map(dealt, lambda batches: _compared(batches, width), "bucket int, value binary"), width, _gram_lists, "doc_id long, marks binary")
+
+
+def _compared(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[dict]:
+    """What the documents share in the buckets of one task, packed for the buckets of documents.
+
+    It is collected over the task's rows, whose number grows with the senders: each of them would else give a row a bucket.
+    """
+    current, held, found, count = None, [], [], 0
+
+    def flush():
+        docs, grams = (np.concatenate(x) for x in zip(*found))
+        return _dealt(docs, [grams], width)
+
+    for batch in batches:
+        for bucket, kind, value in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if bucket != current and held:
+                found.append(_shared(held))
+                count += len(found[-1][0])
+                held = []
+            current = bucket
+            delta, number, known, flags = unpack_arrays(value)
+            docs, grams = np.cumsum(known)[number], np.cumsum(delta, dtype=np.uint64)
+            if kind:
+                found.append((docs, grams))
+                count += len(docs)
+            else:
+                held.append((docs, grams, flags > 0))
+            if count > FLUSH_ANCHORS:
+                yield flush()
+                found, count = [], 0
+    if held:
+        found.append(_shared(held))
+    if found:
+        yield flush()
 
 
-def _shared(held: list[tuple], width: int) -> dict:
+def _shared(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and grams of one bucket, where another document has the gram."""
     docs, grams, many = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((docs, grams))
     docs, grams, many = docs[order], grams[order], many[order]
@@ -227,7 +245,7 @@ def _shared(held: list[tuple], width: int) -> dict:
     end = np.concatenate([start[1:], [len(grams)]]) - 1
     wide = (docs[start] != docs[end]) | (np.maximum.reduceat(many.astype(np.uint8), start) > 0)
     keep = wide[group]
-    return _dealt(docs[keep], [grams[keep]], width)
+    return docs[keep], grams[keep]
 
 
 def _runs(suffixes: list[tuple], width: int) -> dict:
@@ -460,19 +478,43 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, Run]]:
         same = run.advance()
         keys[top], shared[top] = run.key, same or 0
         node = (top + size) // 2
+        # The same rule as ``play``, without a call for each match.
+        x = keys[top]
         while node:
-            top, losers[node] = play(top, losers[node])
+            other = losers[node]
+            y = keys[other]
+            if y is not None:
+                if x is None:
+                    losers[node], top, x = top, other, y
+                else:
+                    known, theirs = shared[top], shared[other]
+                    if known == theirs:
+                        same = common_prefix(x, y, known)
+                        if same == len(x) or (same < len(y) and x[same] < y[same]):
+                            shared[other] = same
+                        else:
+                            shared[top] = same
+                            losers[node], top, x = top, other, y
+                    elif known < theirs:
+                        losers[node], top, x = top, other, y
             node //= 2
 
 
 class Groups:
-    """Collects merged suffixes that share a gram and finds who had each string first."""
+    """Collects merged suffixes of some runs that share a gram and finds who had each string first."""
 
-    def __init__(self) -> None:
+    def __init__(self, runs: list[Run]) -> None:
         self.rows: list[tuple] = []
         self.group = 0
         self.spans: list[tuple[np.ndarray, ...]] = []
         self.count = 0
+        # The occurrences of all runs lie one behind the other; a suffix names its own by their places there.
+        none = np.zeros(0, dtype=np.int64)
+        self.docs, self.checks, self.places = (np.concatenate([none, *[getattr(r, k) for r in runs]]) for k in ("docs", "checks", "places"))
+        base = 0
+        for r in runs:
+            r.base = base
+            base += len(r.docs)
 
     def add(self, same: int, run: Run) -> None:
         if same < GRAM:
@@ -480,45 +522,61 @@ class Groups:
             if len(self.rows) >= GROUP_ROWS:
                 self.settle()
         at = run.at
-        own = slice(run.starts[at], run.starts[at + 1])
-        self.rows.append((self.group, run.key, run.lefts[run.left_ends[at]: run.left_ends[at + 1]], run.docs[own], run.checks[own], run.places[own]))
+        self.rows.append((
+            self.group, run.key, run.lefts[run.left_ends[at]: run.left_ends[at + 1]], run.base + run.starts[at], run.starts[at + 1] - run.starts[at],
+        ))
 
     def settle(self) -> None:
         """Spans of all occurrences collected so far."""
         if not self.rows:
             return
-        group, rights, lefts, docs, checks, places = zip(*self.rows)
+        group, rights, lefts, starts, sizes = zip(*self.rows)
         self.rows = []
         n = len(group)
-        group = np.array(group, dtype=np.uint64)
+        group, sizes = np.array(group, dtype=np.uint64), np.array(sizes, dtype=np.int64)
+        row = np.repeat(np.arange(n), sizes)
+        first = np.cumsum(sizes) - sizes
+        occurrence = np.arange(len(row)) + np.repeat(np.array(starts, dtype=np.int64) - first, sizes)
+        doc, place = self.docs[occurrence], self.places[occurrence]
+        least = np.minimum.reduceat(doc, first)
         left_size, right_size = np.array([len(x) for x in lefts]), np.array([len(x) for x in rights])
-        window = np.frombuffer(b"".join(a.rjust(BEFORE, b"\0") + b.ljust(SIZE, b"\0") for a, b in zip(lefts, rights)), dtype=np.uint8).reshape(n, BEFORE + SIZE)
-        least = np.array([d.min() for d in docs])
-        total = np.zeros((n, BEFORE + SIZE + 1), dtype=np.uint64)
-        np.cumsum(BYTE_CODE[window] * POWERS[: BEFORE + SIZE], axis=1, out=total[:, 1:])
         low, high = np.full(n, SIZE), np.full(n, -1)
-        for back in range(BEFORE + 1):
-            ok = np.flatnonzero((left_size >= back) & (right_size >= SIZE - back))
-            if not len(ok):
-                continue
-            key = mix(total[ok, BEFORE + SIZE - back] - total[ok, BEFORE - back] + mix(group[ok]))
-            order = np.lexsort((least[ok], key))
-            key, ok = key[order], ok[order]
-            first = np.concatenate([[True], key[1:] != key[:-1]])
-            owner = least[ok[np.maximum.accumulate(np.where(first, np.arange(len(ok)), 0))]]
-            later = ok[owner < least[ok]]
-            low[later], high[later] = np.minimum(low[later], back), np.maximum(high[later], back)
-        sizes = np.array([len(d) for d in docs])
-        row = np.repeat(np.arange(n), sizes)
-        doc, place = np.concatenate(docs), np.concatenate(places).astype(np.int64)
+        # Only where the suffixes of a group differ in their smallest document can one take a string from another.
+        opens = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        mixed = np.minimum.reduceat(least, opens) < np.maximum.reduceat(least, opens)
+        some = np.flatnonzero(np.repeat(mixed, np.diff(np.append(opens, n))))
+        if len(some):
+            self._earlier(some, group[some], [rights[k] for k in some.tolist()], [lefts[k] for k in some.tolist()], left_size[some], right_size[some], least[some], low, high)
         # A later document of the same run has the whole window of the run's smallest one.
         whole = doc > least[row]
         begin = place - np.where(whole, left_size[row], high[row])
         end = place - np.where(whole, np.maximum(0, SIZE - right_size[row]), low[row]) + SIZE
         keep = np.where(whole, left_size[row] + right_size[row] >= SIZE, high[row] >= 0)
-        self.spans.append((doc[keep], np.concatenate(checks)[keep], begin[keep], end[keep]))
+        self.spans.append((doc[keep], self.checks[occurrence][keep], begin[keep], end[keep]))
         self.count += int(keep.sum())
 
+    @staticmethod
+    def _earlier(some, group, rights, lefts, left_size, right_size, least, low, high) -> None:
+        """Sets for the rows ``some`` how far back from the anchor the first and last string starts that a smaller document has."""
+        n = len(some)
+        window = np.frombuffer(b"".join([a.rjust(BEFORE, b"\0") + b.ljust(SIZE, b"\0") for a, b in zip(lefts, rights)]), dtype=np.uint8).reshape(n, BEFORE + SIZE)
+        # One row a byte position, so that a string's hash is the difference of two rows that lie together.
+        total = np.zeros((BEFORE + SIZE + 1, n), dtype=np.uint64)
+        for k in range(BEFORE + SIZE):
+            np.add(total[k], BYTE_CODE[window[:, k]] * POWERS[k], out=total[k + 1])
+        salt = mix(group)
+        for back in range(BEFORE + 1):
+            ok = np.flatnonzero((left_size >= back) & (right_size >= SIZE - back))
+            if not len(ok):
+                continue
+            key = mix(total[BEFORE + SIZE - back] - total[BEFORE - back] + salt)[ok]
+            order = np.argsort(key)
+            key, own = key[order], least[ok[order]]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            owner = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(key))))
+            later = some[ok[order[owner < own]]]
+            low[later], high[later] = np.minimum(low[later], back), np.maximum(high[later], back)
+
     def take(self, width: int) -> dict:
         """All spans found, packed for the buckets of their documents."""
         none = np.zeros(0, dtype=np.int64)
@@ -530,8 +588,9 @@ class Groups:
 def repeated_spans(runs: DataFrame, width: int, others: DataFrame | None = None) -> DataFrame:
     """Merges the runs of each bucket; spans to remove as packed (start, end) per document, with those in ``others``."""
     def merge(values: list[bytes]):
-        groups = Groups()
-        for same, run in merged([Run(v) for v in values]):
+        runs = [Run(v) for v in values]
+        groups = Groups(runs)
+        for same, run in merged(runs):
             groups.add(same, run)
             if groups.count > 500_000:
                 yield groups.take(width)
