@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -81,6 +82,23 @@ def test_quality_model_separates_held_out_rows(spark):
     assert quality_rules.fit(frame, marks.where("quality = 1")) is None
 
 
+def test_quality_memory_does_not_follow_the_batch(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality_rules, "arrow_map", lambda rows, body, schema: taken.append((rows, body)))
+    model = {"weights": np.arange(quality_rules.DIMENSIONS) / 1e5, "slope": 1.0, "intercept": 0.0}
+    quality_rules.score_quality(spark.createDataFrame([(1, "x")], "doc_id long, text string"), model)
+    (rows, body), = taken
+    assert rows.columns == ["doc_id", "text"]  # the text goes to the tasks once
+    texts = [None, "", *[f"word{k} and more words of row {k * k}, " * 40 for k in range(2000)]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    got = [(x["text"].to_pylist(), x["n_words"].tolist()) for x in body(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [t for own, _ in got for t in own] == texts and [n for _, own in got for n in own] == [len((t or "").split()) for t in texts]
+    assert peak < 60_000_000
+
+
 def test_quality_odd_rows(odd, none):
     assert quality_rules.score_quality(none, None).count() == 0
     assert quality_rules.score_quality(odd, None).count() == 6

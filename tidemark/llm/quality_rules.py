@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bytework import BYTE_CODE, LOWER, SPACE, mix, run_hashes, runs, text_bytes, whole_windows, window_hashes
 from tidemark.llm.common import arrow_map, pieces
@@ -17,6 +18,8 @@ KEEP_AT = 0.5
 EPOCHS = 120
 STEP = 20.0
 SHRINK = 1e-6
+# Bytes of text whose n-grams a task holds at once; an n-gram takes some 100 bytes on its way.
+SCAN_BYTES = 250_000
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -119,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions:
     and intercept that turn scores into probabilities.
     """
     def sparse(batches):
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SCAN_BYTES):
             data, offsets = text_bytes(batch.column(1))
             n = batch.num_rows
             keys, values = [], []
@@ -138,10 +141,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions:
             }
 
     def train(batches):
-        tables = [pa.Table.from_batches([b]) for b in batches]
-        if not tables:
+        held = list(batches)
+        if not held:
             return
-        got = pa.concat_tables(tables).sort_by([("doc_id", "ascending")])
+        got = pa.Table.from_batches(held).sort_by([("doc_id", "ascending")])
+        held.clear()
         y = (got["quality"].to_numpy() > 0).astype(np.float64)
         if len(y) < 10 or y.min() == y.max():
             return
@@ -164,14 +168,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions:
 def _train(at: list[np.ndarray], x: list[np.ndarray], y: np.ndarray, dimensions: int) -> np.ndarray:
     """Logistic regression by full gradients; the classes weigh the same."""
     sizes = np.array([len(a) for a in at])
-    at, x = np.concatenate(at), np.concatenate(x).astype(np.float64)
+    at, x = np.concatenate(at, dtype=np.intp), np.concatenate(x, dtype=np.float64)
     row = np.repeat(np.arange(len(sizes)), sizes)
+    # One array takes every product of the sweeps.
+    part = np.empty(len(x))
     share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
     weights, seen, bias, bias_seen = np.zeros(dimensions), np.full(dimensions, 1e-12), 0.0, 1e-12
     for _ in range(EPOCHS):
-        scores = np.bincount(row, weights[at] * x, len(sizes)) + bias
+        np.multiply(np.take(weights, at, out=part, mode="clip"), x, out=part)
+        scores = np.bincount(row, part, len(sizes)) + bias
         error = share * (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - y)
-        slope = np.bincount(at, error[row] * x, dimensions) + SHRINK * weights
+        np.multiply(np.take(error, row, out=part, mode="clip"), x, out=part)
+        slope = np.bincount(at, part, dimensions) + SHRINK * weights
         seen += slope * slope
         weights -= STEP * slope / np.sqrt(seen) / 10
         bias_slope = error.sum()
@@ -207,7 +215,10 @@ def score_quality(docs: DataFrame, model: dict | None, keep_at: float = KEEP_AT,
     added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "probability", "kept"}
     carried = [c for c in docs.columns if c not in added]
     scan = "_scan_text"
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_column).cast("string").alias(scan))
+    # A carried text goes to the tasks once.
+    once = text_column in carried and docs.schema[text_column].dataType == T.StringType()
+    sent = [] if once else [F.col(text_column).cast("string").alias(scan)]
+    rows = docs.select(*[F.col(f"`{c}`") for c in carried], *sent)
     shape = docs.select(*[F.col(f"`{c}`") for c in carried]).schema
     for name in COUNTS.split(", "):
         shape = shape.add(name.split(" ")[0], "long")
@@ -216,7 +227,9 @@ def score_quality(docs: DataFrame, model: dict | None, keep_at: float = KEEP_AT,
 
     def run(batches):
         own = spread.value
-        for batch in pieces(batches, scan):
+        if once:
+            batches = (b.append_column(scan, b.column(carried.index(text_column))) for b in batches)
+        for batch in pieces(batches, scan, SCAN_BYTES):
             data, offsets = text_bytes(batch.column(batch.num_columns - 1))
             counts = rule_counts(data, offsets)
             failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
