@@ -165,6 +165,23 @@ def test_ngram_join_with_a_crowd(docs, rows):
     assert got == want and max(Counter(c for _, c in want.values()).values()) > 32
 
 
+def test_ngram_join_memory_does_not_follow_the_batch(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(ngram_join, "arrow_map", lambda rows, body, schema: taken.append(body))
+    frame = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    ngram_join.sketches(frame)
+    ngram_join.prefix_rows(frame, (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)))
+    texts = [None, "", *[f"word{k} and more words of row {k * k}, " * 40 for k in range(2000)]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    sizes = [n for x in taken[0](iter([batch])) for n in x["n_shingles"].tolist()]
+    nodes = [n for x in taken[1](iter([batch])) for n in x["node"].tolist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [0, 0, *[7] * 2000] and len(set(nodes)) == 2000
+    assert peak < 40_000_000
+
+
 def test_ngram_join_in_small_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_NODES", 8)
     got = by_id(ngram_join.near_duplicate_groups(docs), "n_shingles", "component_id")
