@@ -182,6 +182,31 @@ def test_ngram_join_memory_does_not_follow_the_batch(spark, monkeypatch):
     assert peak < 40_000_000
 
 
+def passages(seed=8):
+    """Documents that share one of a few passages in two thirds of their words, which links none of them."""
+    rng = random.Random(seed)
+    shared = [" ".join(f"p{k}x{i}" for i in range(60)) for k in range(3)]
+    rows = [(k, f"{shared[k % 3]} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(30))) for k in range(180)]
+    return [*rows, (1000, rows[5][1] + " end"), (1001, rows[6][1] + " end")]
+
+
+def test_ngram_join_ranks_passages_of_some_documents_last(spark, monkeypatch):
+    crowds = []
+    monkeypatch.setattr(ngram_join, "member_blocks", lambda *x, own=ngram_join.member_blocks: crowds.append(own(*x)) or crowds[-1])
+    rows = passages()
+    got = by_id(ngram_join.near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows) and {5, 6} == {c for d, (_, c) in got.items() if d >= 1000}
+    assert crowds[0].count() == 4
+
+
+def test_ngram_join_bounds_what_is_common(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "a b c d e f" if k < 6 else f"a b c d x{k}") for k in range(10)], "doc_id long, text string").coalesce(1)
+    tokens, levels = ngram_join.common_shingles(docs)
+    assert sorted(levels.tolist()) == [5, 5, 6] and (np.diff(tokens.astype(object)) > 0).all()
+    monkeypatch.setattr(ngram_join, "COMMON_MOST", 2)
+    assert ngram_join.common_shingles(docs)[1].tolist() == [6]
+
+
 def test_ngram_join_in_small_blocks(docs, rows, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_NODES", 8)
     got = by_id(ngram_join.near_duplicate_groups(docs), "n_shingles", "component_id")
