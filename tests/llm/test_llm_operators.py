@@ -2,9 +2,11 @@
 
 import math
 import random
+import resource
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -16,7 +18,7 @@ from tidemark.llm import (
     components, decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup,
     token_files, token_ids,
 )
-from tidemark.llm.common import scratch_folder
+from tidemark.llm.common import arrow_map, scratch_folder
 from tidemark.llm.spans import span_digest
 
 
@@ -182,6 +184,28 @@ def test_ngram_join_memory_does_not_follow_the_batch(spark, monkeypatch):
     assert peak < 40_000_000
 
 
+def resident():
+    return int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize()
+
+
+def test_tasks_return_their_memory(spark, monkeypatch):
+    taken, pins, seen = [], [], []
+    frame = spark.createDataFrame([(1,)], "n long")
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda rows, body, schema: taken.append(body))
+
+    def body(batches):
+        held = [np.ones(1000) for _ in range(40_000)]
+        pins.append(np.ones(1000))
+        seen.append(resident())
+        del held
+        yield {"n": [1]}
+
+    arrow_map(frame, body, "n long")
+    before = resident()
+    assert [b.num_rows for b in taken[0](iter([]))] == [1]
+    assert seen[0] - before > 250_000_000 and resident() - before < 100_000_000
+
+
 def passages(seed=8):
     """Documents that share one of a few passages in two thirds of their words, which links none of them."""
     rng = random.Random(seed)
