@@ -455,3 +455,20 @@ def test_token_files_odd_rows(spark, odd, none):
 ])
 def test_accounts_end_where_the_checksum_holds(text, want):
     assert [text[a:b] for kind, a, b in personal_data.added_spans(text) if kind == "iban"] == want
+
+
+def test_fit_widens_few_entries_at_once(monkeypatch):
+    """The fit holds little beside its sparse rows, and blocks do not change a bit of the weights."""
+    rng = np.random.default_rng(3)
+    at = [np.sort(rng.choice(2**16, n, replace=False)).astype("<i4") for n in rng.integers(1, 16_000, 250)]
+    x = [rng.random(len(a)).astype("<f4") for a in at]
+    y = (rng.random(len(at)) < 0.7).astype(np.float64)
+    monkeypatch.setattr(quality_rules, "EPOCHS", 3)
+    whole = quality_rules._train(at, x, y, 2**16)
+    monkeypatch.setattr(quality_rules, "FIT_ENTRIES", 10_000)
+    tracemalloc.start()
+    blocks = quality_rules._train(at, x, y, 2**16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(whole, blocks)
+    assert peak < 8 * sum(map(len, at)) + 8_000_000

@@ -20,6 +20,8 @@ STEP = 20.0
 SHRINK = 1e-6
 # Bytes of text whose n-grams a task holds at once; an n-gram takes some 100 bytes on its way.
 SCAN_BYTES = 250_000
+# Entries of the sample's sparse rows that a sweep of the fit takes at once.
+FIT_ENTRIES = 500_000
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -168,18 +170,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions:
 def _train(at: list[np.ndarray], x: list[np.ndarray], y: np.ndarray, dimensions: int) -> np.ndarray:
     """Logistic regression by full gradients; the classes weigh the same."""
     sizes = np.array([len(a) for a in at])
-    at, x = np.concatenate(at, dtype=np.intp), np.concatenate(x, dtype=np.float64)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    # One array takes every product of the sweeps.
-    part = np.empty(len(x))
+    at, x = np.concatenate(at, dtype=np.int32), np.concatenate(x, dtype=np.float32)
+    ends = np.cumsum(sizes)
+    # A sweep takes whole rows of some FIT_ENTRIES entries at a time, so that only these are widened.
+    firsts = np.flatnonzero(np.diff((ends - sizes) // FIT_ENTRIES, prepend=-1)).tolist()
+    blocks = [(i, j, int(ends[i] - sizes[i]), int(ends[j - 1])) for i, j in zip(firsts, [*firsts[1:], len(sizes)])]
     share = np.where(y > 0, 0.5 / max(1.0, y.sum()), 0.5 / max(1.0, (1 - y).sum()))
     weights, seen, bias, bias_seen = np.zeros(dimensions), np.full(dimensions, 1e-12), 0.0, 1e-12
+    every = np.arange(dimensions)
     for _ in range(EPOCHS):
-        np.multiply(np.take(weights, at, out=part, mode="clip"), x, out=part)
-        scores = np.bincount(row, part, len(sizes)) + bias
-        error = share * (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - y)
-        np.multiply(np.take(error, row, out=part, mode="clip"), x, out=part)
-        slope = np.bincount(at, part, dimensions) + SHRINK * weights
+        slope = np.zeros(dimensions)
+        error = np.empty(len(sizes))
+        for i, j, a, b in blocks:
+            row = np.repeat(np.arange(j - i), sizes[i:j])
+            error[i:j] = np.bincount(row, weights[at[a:b]] * x[a:b], j - i) + bias
+        error = share * (1 / (1 + np.exp(-np.clip(error, -30, 30))) - y)
+        for i, j, a, b in blocks:
+            # The sums so far stand before the block's products, so the order of the additions does not depend on the blocks.
+            part = np.concatenate([slope, np.repeat(error[i:j], sizes[i:j]) * x[a:b]])
+            slope = np.bincount(np.concatenate([every, at[a:b]]), part, dimensions)
+        slope += SHRINK * weights
         seen += slope * slope
         weights -= STEP * slope / np.sqrt(seen) / 10
         bias_slope = error.sum()
