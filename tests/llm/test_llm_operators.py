@@ -18,6 +18,7 @@ from tidemark.llm import (
     components, decontamination, language_model, length_histogram, ngram_join, packing, personal_data, quality_rules, secret_scan, suffix_dedup,
     token_files, token_ids,
 )
+from tidemark.llm.bytework import run_hashes, runs
 from tidemark.llm.common import arrow_map, scratch_folder
 from tidemark.llm.spans import span_digest
 
@@ -237,6 +238,36 @@ def test_ngram_join_in_small_blocks(docs, rows, monkeypatch):
     assert got == brute.jaccard_components([(d, t) for d, t, *_ in rows])
 
 
+def test_ngram_join_takes_the_prefixes_of_many_blocks_at_once(spark, monkeypatch):
+    taken, calls = [], []
+    monkeypatch.setattr(ngram_join, "arrow_map", lambda rows, body, schema: taken.append(body))
+    monkeypatch.setattr(ngram_join.Order, "prefixes", lambda *x, own=ngram_join.Order.prefixes: calls.append(1) or own(*x))
+    none = np.zeros(0, dtype=np.uint64)
+    rows = spark.createDataFrame([(1, 1)], "work long, node long")
+    ngram_join.linked_blocks(rows, spark.createDataFrame([(1, b"")], "node long, tokens binary"), (none, none))
+    rng, works, tokens = np.random.default_rng(4), np.repeat(np.arange(300), 2), []
+    for work in range(300):
+        value = np.sort(rng.integers(0, 2**48, 50, dtype=np.uint64))
+        tokens += ngram_join._packed(value, np.array([0, 50])) + ngram_join._packed(value[: 48 if work % 3 else 20], np.array([0, 48 if work % 3 else 20]))
+    batch = pa.RecordBatch.from_pydict({"work": works, "node": np.arange(600), "tokens": tokens})
+    got = [pair for x in taken[0](iter([batch.slice(0, 101), batch.slice(101)])) for pair in zip(x["b"], x["a"])]
+    assert sorted(map(sorted, got)) == [[2 * w, 2 * w + 1] for w in range(300) if w % 3] and len(calls) <= 4
+
+
+def test_hashes_of_runs_at_any_place():
+    texts = ["", "a b " + "c" * 70_000 + " a", "b" * 65_536 + " a b", "é a  b " * 50_000, "a b"]
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    starts, ends, row = runs(data != 32, offsets)
+    hashes, seen = run_hashes(data, starts, ends), {}
+    assert row.tolist() == (np.searchsorted(offsets, starts, side="right") - 1).tolist() and set(row.tolist()) == {1, 2, 3, 4}
+    for a, b, value in zip(starts.tolist(), ends.tolist(), hashes.tolist()):
+        assert seen.setdefault(data[a:b].tobytes(), value) == value
+    assert len(seen) == 5 == len(set(seen.values()))
+    short = ends - starts < 65_537
+    assert run_hashes(data, starts[short], ends[short]).tolist() == hashes[short].tolist()
+
+
 def test_ngram_join_odd_rows(odd, none):
     assert ngram_join.near_duplicate_groups(none).count() == 0
     got = sorted(map(tuple, ngram_join.near_duplicate_groups(odd).collect()), key=str)
