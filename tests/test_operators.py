@@ -135,6 +135,25 @@ def test_contains_reads_texts_in_cuts_and_never_broadcasts_their_places(spark, m
     assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_contains_shuffles_texts_but_not_what_it_finds(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.grams.CUT", 7)
+    monkeypatch.setattr("tidemark.operators.grams.PACKED", 2)
+    rnd = random.Random(3)
+    # Two keys; all texts of a pair of keys are in several batches and cuts.
+    texts = [((k % 3, "x" if k % 2 else "y"), "".join(rnd.choice("ab é") for _ in range(rnd.choice([0, 2, 30])))) for k in range(90)]
+    docs = spark.createDataFrame([(a, b, t) for (a, b), t in texts] + [(None, "x", "ab ab ab ab"), (1, None, "ab")], "a long, b string, t string")
+    names = ["".join(rnd.choice("aAb é") for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        found = j.match_contains(docs, "t", spark.createDataFrame([(n,) for n in names], "n string"), "n", ["a", "b"])
+        got = sorted((*x,) for x in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted({(*k, n) for k, t in texts for n in names if n.lower() in t.lower()}) and len(got) > 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("MapInArrow")]
+
+
 def test_contains_plans_without_a_job(spark):
     started = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.once import let
 from tidemark.functions.text import canonical, strip_suffix
-from tidemark.operators.grams import GRAM, gram_counts, places, short_strings
+from tidemark.operators.grams import GRAM, gram_counts, names_in_texts, packed_names, places
 from tidemark.operators.picks import first_by
 
 def enrich(
@@ -54,16 +54,13 @@ def overlaps(df: DataFrame, array_column: str, ids: DataFrame, id_column: str, r
     return df.join(hits, list(row_keys), "left_semi")
 
 
-WANTED = 1 << 20
-
-
 def match_contains(df: DataFrame, text: str, names: DataFrame, name: str, row_keys: Sequence[str], with_core: bool = False) -> DataFrame:
     """(row keys, name), each once, for every name that occurs anywhere in the text, in any case.
 
     ``with_core`` also tries each name without its corporate form. A name is looked up by one of its strings of four
     bytes, the one that is rarest in the texts, and verified in full; a name with a string that no text holds drops out at
-    once. A shorter name is a string of the texts itself. It takes one pass over the texts to count strings, one to look
-    them up and, where there are short names, one for these; names of any number and length go the same way.
+    once. A shorter name is looked up whole. It takes one pass over the texts to count strings and one to look the names up,
+    to which all names are sent; names of any number and length go the same way.
     """
     needles = F.array(F.lower(name), strip_suffix(F.col(name))) if with_core else F.array(F.lower(name))
     wanted = names.where(F.col(name) != "").select(F.col(name).alias("name"), F.explode(F.array_distinct(needles)).alias("needle"))
@@ -73,26 +70,17 @@ def match_contains(df: DataFrame, text: str, names: DataFrame, name: str, row_ke
 
     # A place in a long name that another four bytes follow is better: these are compared, too.
     long = F.octet_length("needle") >= 2 * GRAM
-    known = places(wanted, ["name", "needle"], "needle").join(gram_counts(texts, "__body"), "__gram", "left")
+    # Spark takes the strings of the texts for as small as their file and would broadcast them: they are joined by a shuffle.
+    known = places(wanted, ["name", "needle"], "needle").join(gram_counts(texts, "__body").hint("merge"), "__gram", "left")
     best = F.struct(long & (F.col("__left") < 2 * GRAM), "__times", "__gram", "__next")
     weighed = known.groupBy("name", "needle").agg(
         F.min_by(F.struct("__gram", "__next"), best).alias("__at"), F.count_if(F.col("__times").isNull()).alias("__lacking"))
     anchors = weighed.where("__lacking = 0").select(
         "name", "needle", F.col("__at.__gram").alias("__gram"), F.when(long, F.col("__at.__next")).alias("__then"))
 
-    # At most WANTED numbers are broadcast, however many names there are. What passes is joined by a shuffle: Spark takes
-    # the places of the texts for as small as their file and would broadcast them.
-    slot = F.col("__gram") % WANTED
-    passed = places(texts, row_keys, "__body").drop("__left").withColumn("__slot", slot).join(
-        F.broadcast(anchors.select(slot.alias("__slot")).distinct()), "__slot", "left_semi").drop("__slot")
-    found = passed.join(anchors.hint("merge"), "__gram").where("__then is null or __then = __next")
-    found = found.select(*row_keys, "name", "needle").distinct()
-    verified = texts.join(found, list(row_keys)).where(F.contains(F.col("__body"), F.col("needle"))).select(*row_keys, "name")
-
-    # Names of up to three bytes: as few as there are such strings, so that they can be broadcast.
-    short = short_strings(wanted, ["name", "needle"], "needle").where(F.shiftright("__gram", 24) == F.octet_length("needle"))
-    held = short_strings(texts, row_keys, "__body").join(F.broadcast(short.select("name", "__gram")), "__gram").select(*row_keys, "name")
-    return verified.unionByName(held).distinct()
+    # What is found may be many times the texts, so it is not shuffled: the texts are, once, and the names go to all of them.
+    short = wanted.where(F.octet_length("needle") < GRAM).select("name", "needle", F.lit(None).alias("__gram"), F.lit(None).alias("__then"))
+    return names_in_texts(texts, row_keys, "__body", packed_names(anchors.unionByName(short)))
 
 
 def rank_first_seen(
