@@ -254,6 +254,28 @@ def test_ngram_join_takes_the_prefixes_of_many_blocks_at_once(spark, monkeypatch
     assert sorted(map(sorted, got)) == [[2 * w, 2 * w + 1] for w in range(300) if w % 3] and len(calls) <= 4
 
 
+def test_ngram_join_packs_sketches_and_prefixes_in_one_pass(docs, odd, monkeypatch):
+    none = np.zeros(0, dtype=np.uint64)
+    monkeypatch.setattr(ngram_join, "PACKED_ROWS", 100)
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", 3)
+    for frame in (docs.coalesce(1), odd.coalesce(1)):
+        got = ngram_join.packed_prefixes(frame, (none, none.astype(np.uint8)))
+        own = sorted(map(str, ngram_join.sketches(frame).collect()))
+        assert sorted(map(str, got.where("bucket is null").select("doc_id", "n_shingles", "node").collect())) == own
+        packed = got.where("bucket is not null").collect()
+        rows = [x for r in packed for x in zip(*[c.tolist() for c in ngram_join._unpacked([r["rows"]])])]
+        want = [tuple(r) for r in ngram_join.prefix_rows(frame, (none, none.astype(np.uint8))).collect()]
+        assert sorted(rows) == sorted(want) and len(packed) < len(rows)
+        met = Counter()
+        for r in ngram_join.token_lists(got.where("bucket is not null")).where("b is not null").collect():
+            met[r["a"], r["b"]] += r["hits"]
+        lists = {}
+        for token, n, node in set(want):
+            lists.setdefault(token, []).append((n, node))
+        pairs = Counter((x[1], y[1]) for own in lists.values() if len(own) <= 32 for k, x in enumerate(sorted(own)) for y in sorted(own)[k + 1:] if x[0] * 100 >= 85 * y[0])
+        assert met == pairs
+
+
 def test_hashes_of_runs_at_any_place():
     texts = ["", "a b " + "c" * 70_000 + " a", "b" * 65_536 + " a b", "é a  b " * 50_000, "a b"]
     data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
